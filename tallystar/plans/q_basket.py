@@ -1 +1,133 @@
-"""Registered queries."""
+"""Registered queries for basket analysis and cannibalisation screening."""
+
+from __future__ import annotations
+
+from tallystar.operators import basket
+from tallystar.plans.oracle_sql import with_star, xround
+from tallystar.plans.registry import query
+from tallystar.sources.testdata import star_from_dir as star
+
+_ITEMS = """
+items AS (SELECT DISTINCT f.order_id, f.product_id, p.name, p.category
+          FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id)"""
+_SUPPORT = """
+support AS (SELECT product_id, name, category, COUNT(*) AS orders_with_item
+            FROM items GROUP BY product_id, name, category)"""
+_PAIRS = """
+pairs AS (SELECT a.product_id AS product_id_a, a.name AS name_a, a.category AS category_a,
+                 b.product_id AS product_id_b, b.name AS name_b, b.category AS category_b,
+                 COUNT(DISTINCT a.order_id) AS orders_with_both
+          FROM items a JOIN items b ON a.order_id = b.order_id AND a.name < b.name
+          GROUP BY ALL)"""
+_LIFT = f"""
+lift AS (SELECT p.*, sa.orders_with_item AS orders_a, sb.orders_with_item AS orders_b,
+                {xround("p.orders_with_both * (SELECT COUNT(DISTINCT order_id) FROM items)",
+                        "sa.orders_with_item * sb.orders_with_item", 3, "half_even")} AS lift
+         FROM pairs p JOIN support sa ON p.product_id_a = sa.product_id
+         JOIN support sb ON p.product_id_b = sb.product_id
+         WHERE p.orders_with_both >= 50)"""
+_WITHIN = """
+within AS (SELECT category_a AS category, name_a, name_b, orders_with_both, lift FROM lift
+           WHERE category_a = category_b AND orders_with_both >= 30)"""
+_DAILY = """
+daily AS (SELECT f.date_id, f.product_id, p.name, p.category, CAST(SUM(f.quantity) AS BIGINT) AS daily_qty
+          FROM fact_sales f JOIN dim_product p ON f.product_id = p.product_id
+          GROUP BY f.date_id, f.product_id, p.name, p.category)"""
+_CORR = """
+mom AS (SELECT a.category, a.name AS name_a, b.name AS name_b, COUNT(*) AS shared_days,
+               CAST(COUNT(*) AS DOUBLE) AS n,
+               CAST(SUM(a.daily_qty) AS DOUBLE) AS sa, CAST(SUM(b.daily_qty) AS DOUBLE) AS sb,
+               CAST(SUM(a.daily_qty * a.daily_qty) AS DOUBLE) AS saa,
+               CAST(SUM(b.daily_qty * b.daily_qty) AS DOUBLE) AS sbb,
+               CAST(SUM(a.daily_qty * b.daily_qty) AS DOUBLE) AS sab
+        FROM daily a JOIN daily b ON a.date_id = b.date_id AND a.category = b.category
+                                  AND a.name < b.name
+        GROUP BY a.category, a.name, b.name HAVING COUNT(*) >= 100),
+corr AS (SELECT category, name_a, name_b, shared_days,
+                CASE WHEN sqrt((n*saa - sa*sa) * (n*sbb - sb*sb)) > 0
+                     THEN round_even((n*sab - sa*sb) / sqrt((n*saa - sa*sa) * (n*sbb - sb*sb)), 3)
+                END AS correlation
+         FROM mom)"""
+
+
+def _items(spark, sf):
+    s = star(spark, sf)
+    return basket.order_items(s.fact, s.dim_product), s
+
+
+@query("order_items", "F", with_star("SELECT * FROM items", _ITEMS))
+def _order_items(spark, sf):
+    return _items(spark, sf)[0]
+
+
+@query("total_baskets", "F", with_star("SELECT COUNT(DISTINCT order_id) AS n_orders FROM items", _ITEMS))
+def _total_baskets(spark, sf):
+    return basket.total_baskets(_items(spark, sf)[0])
+
+
+@query("item_support", "F", with_star("SELECT * FROM support", _ITEMS + "," + _SUPPORT))
+def _item_support(spark, sf):
+    return basket.item_support(_items(spark, sf)[0])
+
+
+@query("pair_support", "F", with_star("SELECT * FROM pairs", _ITEMS + "," + _PAIRS))
+def _pair_support(spark, sf):
+    items, s = _items(spark, sf)
+    return basket.pair_support(items, s.dim_product)
+
+
+_LIFT_CTES = ",".join([_ITEMS, _SUPPORT, _PAIRS, _LIFT])
+
+
+@query("pair_lift", "F", with_star("SELECT * FROM lift", _LIFT_CTES))
+def _pair_lift(spark, sf):
+    items, s = _items(spark, sf)
+    return basket.pair_lift(items, s.dim_product)
+
+
+@query("top_pairs", "F", with_star("""
+SELECT concat(regexp_replace(name_a, '^The ', ''), ' + ', regexp_replace(name_b, '^The ', ''))
+         AS pair_label, name_a, name_b, orders_with_both, lift, CAST(lift_rank AS INT) AS lift_rank
+FROM (SELECT *, RANK() OVER (ORDER BY lift DESC) AS lift_rank FROM lift) t
+WHERE lift_rank <= 15""", _LIFT_CTES))
+def _top_pairs(spark, sf):
+    items, s = _items(spark, sf)
+    return basket.top_pairs(basket.pair_lift(items, s.dim_product), 15)
+
+
+@query("within_category_lift", "F", with_star("SELECT * FROM within", _LIFT_CTES + "," + _WITHIN))
+def _within(spark, sf):
+    items, s = _items(spark, sf)
+    return basket.within_category_lift(basket.pair_lift(items, s.dim_product))
+
+
+@query("within_category_low_lift", "F",
+       with_star("SELECT * FROM within WHERE lift < 1.0", _LIFT_CTES + "," + _WITHIN))
+def _within_low(spark, sf):
+    items, s = _items(spark, sf)
+    return basket.within_category_lift(basket.pair_lift(items, s.dim_product), max_lift=1.0)
+
+
+@query("daily_product_units", "F", with_star("SELECT * FROM daily", _DAILY))
+def _daily_units(spark, sf):
+    s = star(spark, sf)
+    return basket.daily_units(s.fact, s.dim_product)
+
+
+@query("daily_sales_correlation", "F",
+       with_star("SELECT category, name_a, name_b, shared_days, correlation FROM corr",
+                 _DAILY + "," + _CORR))
+def _daily_corr(spark, sf):
+    s = star(spark, sf)
+    return basket.daily_correlation(basket.daily_units(s.fact, s.dim_product), s.dim_product)
+
+
+@query("cannibalisation_candidates", "F", with_star("""
+SELECT w.category, w.name_a, w.name_b, w.lift, c.correlation
+FROM within w JOIN corr c ON w.category = c.category AND w.name_a = c.name_a AND w.name_b = c.name_b
+WHERE w.lift < 1.0 OR c.correlation < 0.05""", _LIFT_CTES + "," + _WITHIN + "," + _DAILY + "," + _CORR))
+def _candidates(spark, sf):
+    items, s = _items(spark, sf)
+    within = basket.within_category_lift(basket.pair_lift(items, s.dim_product))
+    corr = basket.daily_correlation(basket.daily_units(s.fact, s.dim_product), s.dim_product)
+    return basket.candidates(within, corr)
