@@ -69,13 +69,14 @@ def exact_round(num: str | Column, den: str | Column, scale: int = 2,
                 mode: str = "half_up") -> Column:
     """Round the exact rational num/den to ``scale`` decimals, as DOUBLE.
 
-    ``num`` and ``den`` must be whole numbers (counts, cents); ``num >= 0``
-    and ``den > 0``. The quotient is computed in DECIMAL(38,0) so no
-    floating-point tie can flip the last digit: the same result comes out
-    of any engine that does integer arithmetic.
+    ``num`` and ``den`` must be whole numbers (counts, cents) and ``den > 0``.
+    The quotient is computed in DECIMAL(38,0), so no floating-point tie can
+    flip the last digit: any engine doing integer arithmetic prints the same
+    result. Rounding is symmetric around zero.
     ``mode``: ``half_up`` (SQL ROUND) or ``half_even`` (R / pandas round).
     """
-    n = col(num).cast("decimal(38,0)") * F.lit(10 ** scale).cast("decimal(38,0)")
+    raw = col(num).cast("decimal(38,0)")
+    n = F.abs(raw) * F.lit(10 ** scale).cast("decimal(38,0)")
     d = col(den).cast("decimal(38,0)")
     r = n % d
     q = ((n - r) / d).cast("long")
@@ -88,6 +89,7 @@ def exact_round(num: str | Column, den: str | Column, scale: int = 2,
              .otherwise(q))
     else:
         raise ValueError(mode)
+    q = F.when(raw < 0, -q).otherwise(q)
     return F.when(d == 0, F.lit(None).cast("double")).otherwise(
         q.cast("double") / F.lit(float(10 ** scale)))
 

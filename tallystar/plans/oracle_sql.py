@@ -61,7 +61,8 @@ def with_star(body: str, extra_ctes: str = "") -> str:
 
 def xround(num: str, den: str, scale: int = 2, mode: str = "half_up") -> str:
     """SQL twin of ``functions.scalar.exact_round`` (integer arithmetic)."""
-    n = f"(CAST({num} AS HUGEINT) * {10 ** scale})"
+    raw = f"CAST({num} AS HUGEINT)"
+    n = f"(abs({raw}) * {10 ** scale})"
     d = f"CAST({den} AS HUGEINT)"
     q = f"({n} // {d})"
     r = f"({n} % {d})"
@@ -70,6 +71,7 @@ def xround(num: str, den: str, scale: int = 2, mode: str = "half_up") -> str:
     else:
         qq = (f"(CASE WHEN 2*{r} > {d} THEN {q}+1 WHEN 2*{r} = {d} THEN {q} + ({q} % 2) "
               f"ELSE {q} END)")
+    qq = f"(CASE WHEN {raw} < 0 THEN -{qq} ELSE {qq} END)"
     return f"(CASE WHEN {d} = 0 THEN NULL ELSE CAST({qq} AS DOUBLE) / CAST({10 ** scale} AS DOUBLE) END)"
 
 
