@@ -50,7 +50,8 @@ ORDERS_PER_STAFF_HOUR = 7    # orders one person handles per hour
 def training_window(series: DataFrame, holdout: int = 14, keys: Sequence[str] = ()) -> DataFrame:
     """Drop the last ``holdout`` days of each series."""
     last = F.max("date_id").over(Window.partitionBy(*keys))
-    return series.filter(F.col("date_id") <= F.date_sub(last, holdout))
+    return (series.withColumn("_last", last)
+            .filter(F.col("date_id") <= F.date_sub(F.col("_last"), holdout)).drop("_last"))
 
 
 def holiday_calendar(bounds: DataFrame, holidays=HOLIDAYS) -> DataFrame:

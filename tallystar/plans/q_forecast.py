@@ -1 +1,169 @@
-"""Registered queries."""
+"""Registered queries for the forecast and staffing plan."""
+
+from __future__ import annotations
+
+from tallystar.operators import forecast, sales, series
+from tallystar.plans.oracle_sql import with_star, xround
+from tallystar.plans.registry import query
+from tallystar.sources.testdata import star_from_dir as star
+
+HORIZON = 30
+HOLDOUT = 14
+Z90 = 1.6448536269514715   # normal quantile for a 90 % interval
+
+
+def _rules_sql() -> str:
+    rows = ", ".join(f"('{n.replace(chr(39), chr(39) * 2)}', '{k}', {m}, {d}, {lo}, {hi})"
+                     for n, k, m, d, lo, hi in forecast.HOLIDAYS)
+    return f"(VALUES {rows}) r(holiday, kind, m, d, lo, hi)"
+
+
+FC_CTES = f"""
+ds AS (SELECT date_id, COUNT(DISTINCT order_id) AS total_orders FROM fact_sales GROUP BY date_id),
+cal AS (SELECT CAST(unnest(generate_series(MIN(date_id), MAX(date_id), INTERVAL 1 DAY)) AS DATE) AS date_id
+        FROM ds),
+ser AS (SELECT c.date_id, s.total_orders FROM cal c LEFT JOIN ds s ON c.date_id = s.date_id),
+train AS (SELECT * FROM ser WHERE date_id <= (SELECT MAX(date_id) FROM ser) - INTERVAL {HOLDOUT} DAY),
+yrs AS (SELECT unnest(generate_series(year(MIN(date_id)),
+                                      year(MAX(date_id) + INTERVAL {HOLDOUT + HORIZON} DAY))) AS y FROM ser),
+hd AS (SELECT holiday,
+              CASE WHEN kind = 'thanksgiving'
+                   THEN make_date(y, 11, 1) + CAST((4 - isodow(make_date(y, 11, 1)) + 7) % 7 + 21 + d AS INT)
+                   ELSE make_date(y, m, d) END AS ds, lo, hi
+       FROM yrs CROSS JOIN {_rules_sql()}),
+hol_days AS (SELECT holiday, CAST(unnest(generate_series(ds + lo, ds + hi, INTERVAL 1 DAY)) AS DATE) AS date_id
+             FROM hd),
+obs AS (SELECT date_id, CAST(total_orders AS DOUBLE) AS yv FROM train WHERE total_orders IS NOT NULL),
+org AS (SELECT MIN(date_id) AS origin FROM obs),
+base AS (SELECT o.date_id, o.yv, CAST(datediff('day', g.origin, o.date_id) AS DOUBLE) AS t,
+                dayname(o.date_id) AS day_name
+         FROM obs o CROSS JOIN org g),
+sums AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, SUM(t) AS st, SUM(yv) AS sy, SUM(t*t) AS stt,
+                SUM(t*yv) AS sty FROM base),
+tb AS (SELECT CASE WHEN n*stt - st*st <> 0 THEN (n*sty - st*sy) / (n*stt - st*st) ELSE 0.0 END AS b,
+              n, st, sy FROM sums),
+trend AS (SELECT (SELECT origin FROM org) AS origin, (sy - b*st)/n AS a, b FROM tb),
+wk AS (SELECT x.day_name, (x.syk - tr.a*x.nk - tr.b*x.stk)/x.nk AS effect
+       FROM (SELECT day_name, CAST(COUNT(*) AS DOUBLE) AS nk, SUM(t) AS stk, SUM(yv) AS syk
+             FROM base GROUP BY day_name) x CROSS JOIN trend tr),
+r1 AS (SELECT b.date_id, b.yv - tr.a - tr.b*b.t - COALESCE(w.effect, 0.0) AS r1
+       FROM base b CROSS JOIN trend tr LEFT JOIN wk w ON b.day_name = w.day_name),
+hol AS (SELECT h.holiday, round(AVG(r1.r1), 9) AS effect FROM r1 JOIN hol_days h ON r1.date_id = h.date_id
+        GROUP BY h.holiday),
+hsum AS (SELECT h.date_id, SUM(e.effect) AS h FROM hol_days h JOIN hol e ON h.holiday = e.holiday
+         GROUP BY h.date_id),
+sig AS (SELECT round(stddev_samp(r1.r1 - COALESCE(hs.h, 0.0)), 9) AS sigma
+        FROM r1 LEFT JOIN hsum hs ON r1.date_id = hs.date_id),
+frame AS (SELECT CAST(unnest(generate_series(MIN(date_id), MAX(date_id) + INTERVAL {HOLDOUT + HORIZON} DAY,
+                                             INTERVAL 1 DAY)) AS DATE) AS date_id,
+                 MAX(date_id) AS hi FROM train),
+pred AS (SELECT f.date_id, dayname(f.date_id) AS day_name, f.date_id > f.hi AS is_future,
+                tr.a + tr.b*CAST(datediff('day', tr.origin, f.date_id) AS DOUBLE) AS trend,
+                COALESCE(w.effect, 0.0) AS weekly, COALESCE(hs.h, 0.0) AS holidays, s.sigma
+         FROM frame f CROSS JOIN trend tr CROSS JOIN sig s
+         LEFT JOIN wk w ON dayname(f.date_id) = w.day_name
+         LEFT JOIN hsum hs ON f.date_id = hs.date_id),
+yh AS (SELECT *, trend + weekly + holidays AS yhat,
+              trend + weekly + holidays - {Z90}*sigma AS yhat_lower,
+              trend + weekly + holidays + {Z90}*sigma AS yhat_upper FROM pred),
+fc AS (SELECT date_id, day_name,
+              CAST(round_even(yhat*10000.0, 0) AS BIGINT) AS yhat_e4,
+              CAST(round_even(yhat_lower*10000.0, 0) AS BIGINT) AS lower_e4,
+              CAST(round_even(yhat_upper*10000.0, 0) AS BIGINT) AS upper_e4,
+              CAST(round_even(trend*10000.0, 0) AS BIGINT) AS trend_e4,
+              CAST(round_even(weekly*10000.0, 0) AS BIGINT) AS weekly_e4,
+              CAST(round_even(holidays*10000.0, 0) AS BIGINT) AS holidays_e4
+       FROM yh WHERE date_id > (SELECT MAX(date_id) FROM ser)),
+plan AS (SELECT date_id, day_name, CAST(yhat_e4 AS DOUBLE) / 10000.0 AS yhat, CAST(lower_e4 AS DOUBLE) / 10000.0 AS yhat_lower,
+                {xround("greatest(upper_e4, 0)", "10000", 0, "half_even")} AS yhat_upper, upper_e4, yhat_e4,
+                lower_e4
+         FROM fc),
+plan2 AS (SELECT *, {xround("CAST(yhat_upper AS BIGINT) * 95000", "1000000", 0, "half_even")}
+                      AS peak_hour_orders FROM plan)"""
+
+
+def _pipeline(spark, sf):
+    fact = star(spark, sf).fact
+    ser = series.gap_fill(series.daily_orders(fact), how="null")
+    train = forecast.training_window(ser, HOLDOUT)
+    hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, HOLDOUT + HORIZON))
+    model = forecast.fit(train, hol, value="total_orders")
+    frame = forecast.future_frame(train, HOLDOUT + HORIZON)
+    pred = forecast.predict(model, frame)
+    return ser, train, hol, model, frame, pred
+
+
+@query("training_window", "H", with_star("SELECT date_id, total_orders FROM train", FC_CTES))
+def _training(spark, sf):
+    return _pipeline(spark, sf)[1]
+
+
+@query("holiday_features", "H", with_star("SELECT holiday, date_id FROM hol_days", FC_CTES))
+def _holidays(spark, sf):
+    return _pipeline(spark, sf)[2]
+
+
+@query("forecast_fit", "H", with_star("""
+SELECT 'intercept' AS term, CAST(NULL AS VARCHAR) AS level, round(a, 6) AS estimate FROM trend
+UNION ALL SELECT 'slope', NULL, round(b, 6) FROM trend
+UNION ALL SELECT 'weekday', day_name, round(effect, 6) FROM wk
+UNION ALL SELECT 'holiday', holiday, round(effect, 6) FROM hol
+UNION ALL SELECT 'sigma', NULL, round(sigma, 6) FROM sig""", FC_CTES))
+def _fit(spark, sf):
+    return forecast.model_table(_pipeline(spark, sf)[3], keys=[])
+
+
+@query("future_frame", "H", with_star("SELECT date_id, date_id > hi AS is_future FROM frame", FC_CTES))
+def _future(spark, sf):
+    return _pipeline(spark, sf)[4]
+
+
+def _fc(spark, sf):
+    ser, _, _, _, _, pred = _pipeline(spark, sf)
+    return forecast.forecast_rows(pred, ser)
+
+
+@query("forecast_predict", "H", with_star("""
+SELECT date_id, day_name, CAST(yhat_e4 AS DOUBLE) / 10000.0 AS yhat, CAST(lower_e4 AS DOUBLE) / 10000.0 AS yhat_lower,
+       CAST(upper_e4 AS DOUBLE) / 10000.0 AS yhat_upper FROM fc""", FC_CTES))
+def _predict(spark, sf):
+    return _fc(spark, sf).select("date_id", "day_name", "yhat", "yhat_lower", "yhat_upper")
+
+
+@query("forecast_components", "H", with_star("""
+SELECT date_id, CAST(trend_e4 AS DOUBLE) / 10000.0 AS trend, CAST(weekly_e4 AS DOUBLE) / 10000.0 AS weekly,
+       CAST(holidays_e4 AS DOUBLE) / 10000.0 AS holidays, CAST(yhat_e4 AS DOUBLE) / 10000.0 AS yhat FROM fc""", FC_CTES))
+def _components(spark, sf):
+    return _fc(spark, sf).select("date_id", "trend", "weekly", "holidays", "yhat")
+
+
+@query("staffing_plan", "H", with_star("""
+SELECT date_id, day_name, yhat, yhat_lower, yhat_upper, peak_hour_orders,
+       CAST(ceil(peak_hour_orders / 7.0) AS INT) AS staff_needed FROM plan2""", FC_CTES))
+def _staffing(spark, sf):
+    return forecast.staffing(_fc(spark, sf))
+
+
+@query("staffing_report", "H", with_star(f"""
+SELECT date_id AS date, day_name,
+       {xround("yhat_e4", "1000", 0, "half_even")} / 10.0 AS forecast_orders,
+       {xround("lower_e4", "1000", 0, "half_even")} / 10.0 AS forecast_lower,
+       {xround("round_even(yhat_upper*10000.0, 0)", "1000", 0, "half_even")} / 10.0 AS forecast_upper,
+       peak_hour_orders AS forecast_peak_hour_orders,
+       CAST(ceil(peak_hour_orders / 7.0) AS INT) AS staff_needed
+FROM plan2""", FC_CTES))
+def _report(spark, sf):
+    return forecast.report(forecast.staffing(_fc(spark, sf)))
+
+
+@query("peak_hour_ratio", "H", with_star(f"""
+SELECT hour AS peak_hour, total_orders AS peak_orders, all_orders,
+       {xround("total_orders", "all_orders", 4)} AS peak_ratio
+FROM (SELECT t.hour, COUNT(DISTINCT f.order_id) AS total_orders,
+             SUM(COUNT(DISTINCT f.order_id)) OVER () AS all_orders,
+             ROW_NUMBER() OVER (ORDER BY COUNT(DISTINCT f.order_id) DESC, t.hour) AS rn
+      FROM fact_sales f JOIN dim_time t ON f.time_id = t.time_id GROUP BY t.hour) x
+WHERE rn = 1"""))
+def _peak(spark, sf):
+    s = star(spark, sf)
+    return forecast.peak_ratio(sales.sales_by_hour(s.fact, s.dim_time))
