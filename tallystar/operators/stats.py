@@ -14,9 +14,10 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _erfc(z: pd.Series) -> pd.Series:
     # Spark SQL has no erf/erfc; this runs on the one-row test result only.
     return z.map(math.erfc)

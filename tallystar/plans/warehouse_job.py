@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.session import ensure_checkpoint_dir
@@ -32,21 +32,31 @@ def _target(spark: SparkSession, sf_dir: str) -> str:
 
 
 def build(spark: SparkSession, sf_dir: str, target: str | None = None) -> str:
-    """Write fact and dimensions as parquet and register them for ``sf_dir``."""
-    from tallystar.sources.testdata import read_table, star_from_tables
+    """Write fact and dimensions as parquet and register them for ``sf_dir``.
 
-    star = star_from_tables(read_table(spark, sf_dir, "lineitem"),
-                            read_table(spark, sf_dir, "orders"),
-                            read_table(spark, sf_dir, "part"))
+    The fact is written first; the time dimension is then derived from the
+    written fact, so the big join runs exactly once.
+    """
+    from tallystar.sources.testdata import (dim_date_from_dates, dim_product, dim_sku,
+                                            dim_time_from_ids, fact_sales, read_table)
+
+    part = read_table(spark, sf_dir, "part")
+    orders = read_table(spark, sf_dir, "orders")
     target = target or _target(spark, sf_dir)
+    sku = dim_sku(part)
+    sku.write.mode("overwrite").parquet(f"{target}/dim_sku")
+    sku = spark.read.parquet(f"{target}/dim_sku")
+    fact = fact_sales(read_table(spark, sf_dir, "lineitem"), orders, part, sku)
     # Sorting inside each output file (no extra shuffle) keeps parquet
     # min/max statistics tight on date, so date filters skip row groups.
-    (star.fact.sortWithinPartitions("date_id", "order_id")
+    (fact.sortWithinPartitions("date_id", "order_id")
      .write.mode("overwrite").parquet(f"{target}/fact_sales"))
-    for name, df in star.tables().items():
-        if name == "fact_sales":
-            continue
-        df.write.mode("overwrite").parquet(f"{target}/{name}")
+    written = spark.read.parquet(f"{target}/fact_sales")
+    dim_product(part).write.mode("overwrite").parquet(f"{target}/dim_product")
+    dates = orders.select(F.col("o_orderdate").cast("date").alias("date_id")).distinct()
+    dim_date_from_dates(dates).write.mode("overwrite").parquet(f"{target}/dim_date")
+    dim_time_from_ids(written.select("time_id").distinct()) \
+        .write.mode("overwrite").parquet(f"{target}/dim_time")
     _BUILT[_key(spark, sf_dir)] = target
     return target
 
@@ -65,7 +75,3 @@ def lookup(spark: SparkSession, sf_dir: str):
     return Star(fact=r(f"{target}/fact_sales"), dim_sku=r(f"{target}/dim_sku"),
                 dim_product=r(f"{target}/dim_product"), dim_date=r(f"{target}/dim_date"),
                 dim_time=r(f"{target}/dim_time"))
-
-
-def fact_row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))
