@@ -5,7 +5,8 @@ check is one Spark job over the table it inspects:
 
 * NULL counts take one pass per table (all columns summed together), then an
   unpivot; never one scan per column.
-* Orphan checks are LEFT ANTI joins against broadcast dimensions.
+* Orphan checks are LEFT ANTI joins against the dimension keys (Spark's
+  size check decides whether the dimension side is broadcast).
 * Key-duplicate checks compare ``count(*)`` with ``count(DISTINCT key)``.
 """
 
@@ -70,7 +71,7 @@ def audit_orphans(fact: DataFrame, relations: Sequence[tuple[str, DataFrame, str
     """Rows of ``fact`` whose key has no match in the dimension (LEFT ANTI)."""
     parts = []
     for name, dim, key in relations:
-        n = (fact.select(key).join(B(dim.select(key).distinct()), key, "left_anti")
+        n = (fact.select(key).join(dim.select(key).distinct(), key, "left_anti")
              .agg(F.count(F.lit(1)).alias("orphaned_rows")))
         parts.append(n.select(F.lit(name).alias("check_name"), "orphaned_rows"))
     return _union_all(parts).withColumn("status", _status(F.col("orphaned_rows") == 0))
@@ -150,7 +151,7 @@ def price_conflicts(df: DataFrame, key: str, price: str) -> DataFrame:
 
 # C11 ---------------------------------------------------------------------
 def size_audit(fact: DataFrame, dim_sku: DataFrame) -> DataFrame:
-    return (fact.join(B(dim_sku.select("sku_id", "size")), "sku_id")
+    return (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
             .groupBy("size")
             .agg(F.count(F.lit(1)).alias("line_items"),
                  F.sum("total_price").alias("_rev"), F.sum("unit_price").alias("_up"))

@@ -3,8 +3,10 @@
 Pairs are oriented by product name (the reference keeps ``name_a <
 name_b``); products are numbered in that order so the pair statistics can
 be computed as Gram matrices (see ``operators.cooccur``). Item-level tables
-(support per product, the product index) are bounded by the menu and are
-broadcast; the order-level work is shuffled by order id.
+(support per product, the product index) are menu-sized; they carry no
+broadcast hint, so Spark's size check (static, then AQE runtime) decides
+and a large catalogue falls back to a shuffled join. The order-level work
+is shuffled by order id.
 """
 
 from __future__ import annotations
@@ -15,13 +17,11 @@ from pyspark.sql import functions as F
 from tallystar.functions.scalar import exact_round, strip_the
 from tallystar.operators.cooccur import pair_moments, pearson
 
-B = F.broadcast
-
 
 def order_items(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """One row per (order, product): map-side partial distinct, then names."""
     return (fact.select("order_id", "product_id").distinct()
-            .join(B(dim_product.select("product_id", "name", "category")), "product_id")
+            .join(dim_product.select("product_id", "name", "category"), "product_id")
             .select("order_id", "product_id", "name", "category"))
 
 
@@ -46,13 +46,13 @@ def _label_pairs(pairs: DataFrame, index: DataFrame) -> DataFrame:
                      F.col("name").alias("name_a"), F.col("category").alias("category_a"))
     b = index.select(F.col("idx").alias("item_b"), F.col("product_id").alias("product_id_b"),
                      F.col("name").alias("name_b"), F.col("category").alias("category_b"))
-    return pairs.join(B(a), "item_a").join(B(b), "item_b")
+    return pairs.join(a, "item_a").join(b, "item_b")
 
 
 def pair_support(items: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Orders containing both products, for every co-occurring pair."""
     index = product_index(dim_product)
-    rows = items.select("order_id", "product_id").join(B(index.select("product_id", "idx")),
+    rows = items.select("order_id", "product_id").join(index.select("product_id", "idx"),
                                                        "product_id")
     pairs = pair_moments(rows, ["order_id"], "idx")
     return (_label_pairs(pairs, index)
@@ -70,7 +70,7 @@ def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -
     n_orders = items.agg(F.countDistinct("order_id")).scalar()
     return (pair_support(items, dim_product)
             .filter(F.col("orders_with_both") >= min_support)
-            .join(B(sa), "product_id_a").join(B(sb), "product_id_b")
+            .join(sa, "product_id_a").join(sb, "product_id_b")
             .withColumn("lift", exact_round(F.col("orders_with_both") * n_orders,
                                             F.col("orders_a") * F.col("orders_b"), 3, "half_even"))
             .select("product_id_a", "name_a", "category_a", "product_id_b", "name_b", "category_b",
@@ -102,7 +102,7 @@ def within_category_lift(lift: DataFrame, min_support: int = 30,
 def daily_units(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     return (fact.groupBy("date_id", "product_id")
             .agg(F.sum("quantity").cast("long").alias("daily_qty"))
-            .join(B(dim_product.select("product_id", "name", "category")), "product_id")
+            .join(dim_product.select("product_id", "name", "category"), "product_id")
             .select("date_id", "product_id", "name", "category", "daily_qty"))
 
 
@@ -114,7 +114,7 @@ def daily_correlation(daily: DataFrame, dim_product: DataFrame, min_days: int =
     """
     index = product_index(dim_product)
     rows = daily.select("date_id", "category", "product_id", "daily_qty").join(
-        B(index.select("product_id", "idx")), "product_id")
+        index.select("product_id", "idx"), "product_id")
     m = pair_moments(rows, ["date_id", "category"], "idx", "daily_qty")
     r = pearson(F.col("n"), F.col("sa"), F.col("sb"), F.col("saa"), F.col("sbb"), F.col("sab"))
     return (_label_pairs(m.filter(F.col("n") >= min_days), index)

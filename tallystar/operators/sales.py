@@ -2,8 +2,11 @@
 
 Plan rules used throughout:
 
-* Dimensions (time of day, date, SKU, product) are bounded by the calendar or
-  the menu, never by the order volume, so they are broadcast explicitly.
+* Broadcast hints only go on sides with a structural size bound: time of day
+  (at most 86,400 seconds), calendar dates, literal tables. Menu-sized
+  tables (products, SKUs) carry no hint: Spark checks their size against
+  ``spark.sql.autoBroadcastJoinThreshold`` (static statistics, then AQE's
+  runtime statistics) and falls back to a shuffled join when they are large.
 * The fact is aggregated *before* it meets any dimension whose columns are
   only needed per group (menu, size, upsell), so joins run on a handful of
   aggregate rows instead of order lines.
@@ -139,7 +142,7 @@ def menu_ranking(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     Grouped by (name, category) as the reference does; the rank windows run
     over that menu-sized aggregate only.
     """
-    per_name = (product_totals(fact).join(B(dim_product), "product_id")
+    per_name = (product_totals(fact).join(dim_product, "product_id")
                 .groupBy("name", "category")
                 .agg(F.sum("total_quantity").cast("long").alias("total_quantity"),
                      F.sum("revenue_dec").alias("revenue_dec"),
@@ -180,7 +183,7 @@ def top_n_by_revenue(ranking: DataFrame, n: int = 5) -> DataFrame:
 def menu_bottom_n(fact: DataFrame, dim_product: DataFrame, n: int | None = 7,
                   share: float | None = None) -> DataFrame:
     """Lowest-revenue products. ``n`` fixed, or ``share`` of the menu rounded up."""
-    per_name = (product_totals(fact).join(B(dim_product), "product_id")
+    per_name = (product_totals(fact).join(dim_product, "product_id")
                 .groupBy("name", "category")
                 .agg(F.sum("total_quantity").cast("long").alias("total_quantity"),
                      F.sum("revenue_dec").alias("revenue_dec")))
@@ -205,7 +208,7 @@ def category_performance(fact: DataFrame, dim_product: DataFrame,
     category aggregate. ``total="subquery"``: grand total over the whole
     fact as a scalar subquery (Spark runs it once and inlines the value).
     """
-    df = (fact.join(B(dim_product.select("product_id", "category")), "product_id")
+    df = (fact.join(dim_product.select("product_id", "category"), "product_id")
           .groupBy("category")
           .agg(F.countDistinct("product_id").alias("menu_items"),
                F.sum("quantity").cast("long").alias("total_quantity"),
@@ -241,7 +244,7 @@ def low_sellers(dim_product: DataFrame, fact: DataFrame, max_units: int = 500) -
 
 # --------------------------------------------------------------------- D10
 def size_performance(fact: DataFrame, dim_sku: DataFrame, total: str = "window") -> DataFrame:
-    df = (fact.join(B(dim_sku.select("sku_id", "size")), "sku_id")
+    df = (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
           .groupBy("size")
           .agg(F.sum("quantity").cast("long").alias("total_quantity"),
                F.sum("total_price").alias("revenue_dec"),
@@ -280,8 +283,8 @@ def size_share_long(size_perf: DataFrame) -> DataFrame:
 def size_mix_by_category(fact: DataFrame, dim_sku: DataFrame, dim_product: DataFrame) -> DataFrame:
     per = (fact.groupBy("sku_id", "product_id")
            .agg(F.sum("quantity").cast("long").alias("q"), F.sum("total_price").alias("r")))
-    df = (per.join(B(dim_sku.select("sku_id", "size")), "sku_id")
-          .join(B(dim_product.select("product_id", "category")), "product_id")
+    df = (per.join(dim_sku.select("sku_id", "size"), "sku_id")
+          .join(dim_product.select("product_id", "category"), "product_id")
           .groupBy("category", "size")
           .agg(F.sum("q").cast("long").alias("total_quantity"), F.sum("r").alias("revenue_dec")))
     cat_total = F.sum("total_quantity").over(Window.partitionBy("category"))
@@ -325,8 +328,8 @@ def upsell_base_from_sales(fact: DataFrame, dim_sku: DataFrame, dim_product: Dat
                            frm: str = "M", to: str = "L") -> DataFrame:
     """Same base from sold SKUs only: conditional MAX pivots, both prices required."""
     sku_units = fact.groupBy("sku_id", "product_id").agg(F.sum("quantity").cast("long").alias("q"))
-    df = (sku_units.join(B(dim_sku.select("sku_id", "size", "price")), "sku_id")
-          .join(B(dim_product.select("product_id", "name", "category")), "product_id")
+    df = (sku_units.join(dim_sku.select("sku_id", "size", "price"), "sku_id")
+          .join(dim_product.select("product_id", "name", "category"), "product_id")
           .groupBy("name", "category")
           .agg(F.max(F.when(F.col("size") == frm, F.col("price"))).alias("m_price"),
                F.max(F.when(F.col("size") == to, F.col("price"))).alias("l_price"),
