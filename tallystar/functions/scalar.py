@@ -60,11 +60,6 @@ def month_name(d: str | Column) -> Column:
     return F.date_format(col(d), "MMMM")
 
 
-def money_cents(c: str | Column) -> Column:
-    """Exact DECIMAL money -> whole cents as DECIMAL(38,0)."""
-    return (col(c) * F.lit(100)).cast("decimal(38,0)")
-
-
 def exact_round(num: str | Column, den: str | Column, scale: int = 2,
                 mode: str = "half_up") -> Column:
     """Round the exact rational num/den to ``scale`` decimals, as DOUBLE.
@@ -99,6 +94,21 @@ def money(c: str | Column) -> Column:
     return col(c).cast("double")
 
 
+def cents(c: str | Column) -> Column:
+    """DECIMAL(p<=15, 2) money -> whole cents as BIGINT, per row.
+
+    Summing BIGINT cents keeps aggregation buffers as primitive longs (a
+    DECIMAL sum widens to precision 22 and falls back to BigDecimal
+    arithmetic); the sum is exact, and ANSI mode raises on overflow.
+    """
+    return (col(c) * F.lit(100).cast("decimal(3,0)")).cast("long")
+
+
+def from_cents(c: str | Column) -> Column:
+    """Whole cents -> money as DOUBLE (correctly rounded, like CAST(DECIMAL AS DOUBLE))."""
+    return col(c).cast("double") / F.lit(100.0)
+
+
 def share_pct(part: str | Column, total: str | Column, scale: int = 1) -> Column:
     """100 * part / total rounded half-up, for whole-number parts (units, cents)."""
     return exact_round(col(part) * F.lit(100), total, scale)

@@ -17,8 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.functions.scalar import (MEAL_PERIOD_ORDER, exact_round, level_position,
-                                        money, money_cents)
+from tallystar.functions.scalar import (MEAL_PERIOD_ORDER, cents, exact_round, from_cents,
+                                        level_position)
 
 B = F.broadcast
 
@@ -154,9 +154,9 @@ def size_audit(fact: DataFrame, dim_sku: DataFrame) -> DataFrame:
     return (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
             .groupBy("size")
             .agg(F.count(F.lit(1)).alias("line_items"),
-                 F.sum("total_price").alias("_rev"), F.sum("unit_price").alias("_up"))
-            .select("size", "line_items", money("_rev").alias("total_revenue"),
-                    exact_round(money_cents("_up"), F.col("line_items") * 100, 2).alias("avg_price"))
+                 F.sum(cents("total_price")).alias("_rev"), F.sum(cents("unit_price")).alias("_up"))
+            .select("size", "line_items", from_cents("_rev").alias("total_revenue"),
+                    exact_round("_up", F.col("line_items") * 100, 2).alias("avg_price"))
             .orderBy(F.desc("line_items"), "size"))
 
 
@@ -182,8 +182,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def summary(fact: DataFrame) -> DataFrame:
     return (fact.agg(F.countDistinct("order_id").alias("total_orders"),
                      F.count(F.lit(1)).alias("total_line_items"),
-                     F.sum("total_price").alias("_rev"),
+                     F.sum(cents("total_price")).alias("_rev"),
                      F.min("date_id").alias("period_start"), F.max("date_id").alias("period_end"))
-            .select("total_orders", "total_line_items", money("_rev").alias("total_revenue"),
-                    exact_round(money_cents("_rev"), F.col("total_line_items") * 100, 2)
+            .select("total_orders", "total_line_items", from_cents("_rev").alias("total_revenue"),
+                    exact_round("_rev", F.col("total_line_items") * 100, 2)
                     .alias("avg_line_item_value"), "period_start", "period_end"))

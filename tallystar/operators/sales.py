@@ -26,9 +26,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.scalar import (MEAL_PERIOD_ORDER, SHARE_LABELS, SIZE_ORDER,
-                                        exact_round, level_position, money,
-                                        money_cents, share_pct, strip_the)
+from tallystar.functions.scalar import (MEAL_PERIOD_ORDER, SHARE_LABELS, SIZE_ORDER, cents,
+                                        exact_round, from_cents, level_position, money,
+                                        share_pct, strip_the)
 
 B = F.broadcast
 
@@ -40,7 +40,7 @@ def _measures(orders: bool = True, units: bool = True, revenue: bool = True):
     if units:
         out.append(F.sum("quantity").cast("long").alias("total_units"))
     if revenue:
-        out.append(F.sum("total_price").alias("revenue_dec"))
+        out.append(F.sum(cents("total_price")).alias("rev_cents"))
     return out
 
 
@@ -48,8 +48,8 @@ def _finish(df: DataFrame, aov: bool = False) -> DataFrame:
     """Turn the DECIMAL revenue into the reported columns."""
     if aov:
         df = df.withColumn("avg_order_value",
-                           exact_round(money_cents("revenue_dec"), F.col("total_orders") * 100, 2))
-    return df.withColumn("total_revenue", money("revenue_dec")).drop("revenue_dec")
+                           exact_round("rev_cents", F.col("total_orders") * 100, 2))
+    return df.withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents")
 
 
 # --------------------------------------------------------------------- D0
@@ -71,10 +71,10 @@ def sales_by_hour(fact: DataFrame, dim_time: DataFrame, avg: str = "line") -> Da
           .agg(*_measures(), F.count(F.lit(1)).alias("lines")))
     if avg == "line":
         df = df.withColumn("avg_line_item_value",
-                           exact_round(money_cents("revenue_dec"), F.col("lines") * 100, 2))
+                           exact_round("rev_cents", F.col("lines") * 100, 2))
     elif avg == "unit":
         df = df.withColumn("avg_unit_value",
-                           exact_round(money_cents("revenue_dec"), F.col("total_units") * 100, 2))
+                           exact_round("rev_cents", F.col("total_units") * 100, 2))
     else:
         raise ValueError(avg)
     return _finish(df).drop("lines").orderBy("hour")
@@ -131,8 +131,8 @@ def product_totals(fact: DataFrame) -> DataFrame:
     """Per-product units, revenue, line count and summed unit price (partial-aggregated)."""
     return (fact.groupBy("product_id")
             .agg(F.sum("quantity").cast("long").alias("total_quantity"),
-                 F.sum("total_price").alias("revenue_dec"),
-                 F.sum("unit_price").alias("unit_price_sum"),
+                 F.sum(cents("total_price")).alias("rev_cents"),
+                 F.sum(cents("unit_price")).alias("up_cents"),
                  F.count(F.lit(1)).alias("lines")))
 
 
@@ -145,15 +145,15 @@ def menu_ranking(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     per_name = (product_totals(fact).join(dim_product, "product_id")
                 .groupBy("name", "category")
                 .agg(F.sum("total_quantity").cast("long").alias("total_quantity"),
-                     F.sum("revenue_dec").alias("revenue_dec"),
-                     F.sum("unit_price_sum").alias("unit_price_sum"),
+                     F.sum("rev_cents").alias("rev_cents"),
+                     F.sum("up_cents").alias("up_cents"),
                      F.sum("lines").alias("lines")))
     return (per_name
             .withColumn("avg_unit_price",
-                        exact_round(money_cents("unit_price_sum"), F.col("lines") * 100, 2))
+                        exact_round("up_cents", F.col("lines") * 100, 2))
             .withColumn("volume_rank", F.rank().over(Window.orderBy(F.desc("total_quantity"))))
-            .withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("revenue_dec"))))
-            .withColumn("total_revenue", money("revenue_dec"))
+            .withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("rev_cents"))))
+            .withColumn("total_revenue", from_cents("rev_cents"))
             .select("name", "category", "total_quantity", "total_revenue", "avg_unit_price",
                     "volume_rank", "revenue_rank")
             .orderBy(F.desc("total_revenue"), "name"))
@@ -186,8 +186,8 @@ def menu_bottom_n(fact: DataFrame, dim_product: DataFrame, n: int | None = 7,
     per_name = (product_totals(fact).join(dim_product, "product_id")
                 .groupBy("name", "category")
                 .agg(F.sum("total_quantity").cast("long").alias("total_quantity"),
-                     F.sum("revenue_dec").alias("revenue_dec")))
-    w = Window.orderBy("revenue_dec", "name")
+                     F.sum("rev_cents").alias("rev_cents")))
+    w = Window.orderBy("rev_cents", "name")
     ranked = per_name.withColumn("_rn", F.row_number().over(w))
     if share is not None:
         limit = F.ceil(F.lit(share) * F.count(F.lit(1)).over(Window.partitionBy()))
@@ -195,7 +195,7 @@ def menu_bottom_n(fact: DataFrame, dim_product: DataFrame, n: int | None = 7,
         limit = F.lit(n)
     return (ranked.withColumn("_limit", limit).filter(F.col("_rn") <= F.col("_limit"))
             .select("name", "category", "total_quantity",
-                    money("revenue_dec").alias("total_revenue"))
+                    from_cents("rev_cents").alias("total_revenue"))
             .orderBy("total_revenue", "name"))
 
 
@@ -212,17 +212,17 @@ def category_performance(fact: DataFrame, dim_product: DataFrame,
           .groupBy("category")
           .agg(F.countDistinct("product_id").alias("menu_items"),
                F.sum("quantity").cast("long").alias("total_quantity"),
-               F.sum("total_price").alias("revenue_dec")))
+               F.sum(cents("total_price")).alias("rev_cents")))
     if total == "window":
-        grand = F.sum("revenue_dec").over(Window.partitionBy())
+        grand = F.sum("rev_cents").over(Window.partitionBy())
     elif total == "subquery":
-        grand = fact.agg(F.sum("total_price")).scalar()
+        grand = fact.agg(F.sum(cents("total_price"))).scalar()
     else:
         raise ValueError(total)
     return (df.withColumn("avg_revenue_per_unit",
-                          exact_round(money_cents("revenue_dec"), F.col("total_quantity") * 100, 2))
-            .withColumn("revenue_share_pct", share_pct(money_cents("revenue_dec"), money_cents(grand)))
-            .withColumn("total_revenue", money("revenue_dec")).drop("revenue_dec")
+                          exact_round("rev_cents", F.col("total_quantity") * 100, 2))
+            .withColumn("revenue_share_pct", share_pct("rev_cents", grand))
+            .withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents")
             .orderBy(F.desc("total_revenue"), "category"))
 
 
@@ -233,11 +233,11 @@ def low_sellers(dim_product: DataFrame, fact: DataFrame, max_units: int = 500) -
     The fact is reduced to one row per product first; the LEFT JOIN from the
     product list then runs on menu-sized inputs.
     """
-    totals = product_totals(fact).select("product_id", "total_quantity", "revenue_dec")
+    totals = product_totals(fact).select("product_id", "total_quantity", "rev_cents")
     return (dim_product.join(totals, "product_id", "left")
             .select("product_id", "name", "category",
                     F.coalesce("total_quantity", F.lit(0).cast("long")).alias("total_quantity"),
-                    F.coalesce(money("revenue_dec"), F.lit(0.0)).alias("total_revenue"))
+                    F.coalesce(from_cents("rev_cents"), F.lit(0.0)).alias("total_revenue"))
             .filter(F.col("total_quantity") < max_units)
             .orderBy("total_quantity", "product_id"))
 
@@ -247,22 +247,22 @@ def size_performance(fact: DataFrame, dim_sku: DataFrame, total: str = "window")
     df = (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
           .groupBy("size")
           .agg(F.sum("quantity").cast("long").alias("total_quantity"),
-               F.sum("total_price").alias("revenue_dec"),
-               F.sum("unit_price").alias("unit_price_sum"),
+               F.sum(cents("total_price")).alias("rev_cents"),
+               F.sum(cents("unit_price")).alias("up_cents"),
                F.count(F.lit(1)).alias("lines")))
     if total == "window":
         w = Window.partitionBy()
-        units_total, rev_total = F.sum("total_quantity").over(w), F.sum("revenue_dec").over(w)
+        units_total, rev_total = F.sum("total_quantity").over(w), F.sum("rev_cents").over(w)
     elif total == "subquery":
         units_total = fact.agg(F.sum("quantity")).scalar()
-        rev_total = fact.agg(F.sum("total_price")).scalar()
+        rev_total = fact.agg(F.sum(cents("total_price"))).scalar()
     else:
         raise ValueError(total)
     return (df.withColumn("avg_unit_price",
-                          exact_round(money_cents("unit_price_sum"), F.col("lines") * 100, 2))
+                          exact_round("up_cents", F.col("lines") * 100, 2))
             .withColumn("volume_share_pct", share_pct("total_quantity", units_total))
-            .withColumn("revenue_share_pct", share_pct(money_cents("revenue_dec"), money_cents(rev_total)))
-            .withColumn("total_revenue", money("revenue_dec"))
+            .withColumn("revenue_share_pct", share_pct("rev_cents", rev_total))
+            .withColumn("total_revenue", from_cents("rev_cents"))
             .select("size", "total_quantity", "total_revenue", "avg_unit_price",
                     "volume_share_pct", "revenue_share_pct")
             .orderBy(level_position("size", SIZE_ORDER)))
@@ -282,14 +282,14 @@ def size_share_long(size_perf: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- D11
 def size_mix_by_category(fact: DataFrame, dim_sku: DataFrame, dim_product: DataFrame) -> DataFrame:
     per = (fact.groupBy("sku_id", "product_id")
-           .agg(F.sum("quantity").cast("long").alias("q"), F.sum("total_price").alias("r")))
+           .agg(F.sum("quantity").cast("long").alias("q"), F.sum(cents("total_price")).alias("r")))
     df = (per.join(dim_sku.select("sku_id", "size"), "sku_id")
           .join(dim_product.select("product_id", "category"), "product_id")
           .groupBy("category", "size")
-          .agg(F.sum("q").cast("long").alias("total_quantity"), F.sum("r").alias("revenue_dec")))
+          .agg(F.sum("q").cast("long").alias("total_quantity"), F.sum("r").alias("rev_cents")))
     cat_total = F.sum("total_quantity").over(Window.partitionBy("category"))
     return (df.withColumn("volume_share_within_category", share_pct("total_quantity", cat_total))
-            .withColumn("total_revenue", money("revenue_dec")).drop("revenue_dec")
+            .withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents")
             .orderBy("category", level_position("size", SIZE_ORDER)))
 
 

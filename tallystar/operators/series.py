@@ -14,8 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallystar.functions.scalar import (COMPONENT_LABELS, day_name, exact_round, money,
-                                        money_cents)
+from tallystar.functions.scalar import (COMPONENT_LABELS, cents, day_name, exact_round,
+                                        from_cents)
 from tallystar.sources.literal import calendar_of
 
 B = F.broadcast
@@ -26,15 +26,15 @@ def _measures(units: bool = True, revenue: bool = True):
     if units:
         out.append(F.sum("quantity").cast("long").alias("total_units"))
     if revenue:
-        out.append(F.sum("total_price").alias("_rev"))
+        out.append(F.sum(cents("total_price")).alias("_rev"))
     return out
 
 
 def _money_cols(df: DataFrame, aov: bool = True) -> DataFrame:
     if aov:
         df = df.withColumn("avg_order_value",
-                           exact_round(money_cents("_rev"), F.col("total_orders") * 100, 2))
-    return df.withColumn("total_revenue", money("_rev")).drop("_rev")
+                           exact_round("_rev", F.col("total_orders") * 100, 2))
+    return df.withColumn("total_revenue", from_cents("_rev")).drop("_rev")
 
 
 # G1-G4 ---------------------------------------------------------------------
@@ -85,15 +85,16 @@ def daily_by_period(fact: DataFrame, dim_time: DataFrame, dim_date: DataFrame |
         df = df.join(B(dim_date.select("date_id", "day_name")), "date_id")
         keys = ["date_id", "day_name", "meal_period"]
     out = df.groupBy(*keys).agg(F.countDistinct("order_id").alias("daily_orders"),
-                                F.sum("total_price").alias("_rev"))
-    return out.withColumn("daily_revenue", money("_rev")).drop("_rev").orderBy(*keys)
+                                F.sum(cents("total_price")).alias("_rev"))
+    return out.withColumn("daily_revenue", from_cents("_rev")).drop("_rev").orderBy(*keys)
 
 
 def daily_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     dd = dim_date.select("date_id", "day_name", "day_of_week")
     out = (fact.join(B(dd), "date_id").groupBy("date_id", "day_name", "day_of_week")
-           .agg(F.countDistinct("order_id").alias("daily_orders"), F.sum("total_price").alias("_rev")))
-    return out.withColumn("daily_revenue", money("_rev")).drop("_rev").orderBy("date_id")
+           .agg(F.countDistinct("order_id").alias("daily_orders"),
+                F.sum(cents("total_price")).alias("_rev")))
+    return out.withColumn("daily_revenue", from_cents("_rev")).drop("_rev").orderBy("date_id")
 
 
 def daily_orders(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

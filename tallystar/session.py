@@ -56,3 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="tallystar-ckpt-")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
+
+
+def cut_lineage(df):
+    """Materialise a small intermediate (a daily series, per-series
+    parameters) in the shared checkpoint folder and continue from the files.
+
+    Used where one intermediate feeds several branches of a plan: the
+    expensive upstream (a scan and aggregate of the fact) then runs once, and
+    a lost executor re-reads the checkpoint instead of recomputing it. This
+    is a reliable checkpoint; ``localCheckpoint`` is never used.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
