@@ -197,8 +197,10 @@ def forecast_rows(pred: DataFrame, observed: DataFrame, keys: Sequence[str] = ()
 
 
 def components(pred: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    return pred.select(*keys, "date_id", *[F.round(c, 4).alias(c) for c in
-                                           ("trend", "weekly", "holidays", "yhat")])
+    """Trend, weekly and holiday parts of the prediction for every frame date."""
+    return pred.select(*keys, "date_id", "is_future",
+                       *[(_e4(c).cast("double") / 10000.0).alias(c) for c in
+                         ("trend", "weekly", "holidays", "yhat")])
 
 
 def staffing(fc: DataFrame, peak_ratio: float = PEAK_HOUR_RATIO,

@@ -133,10 +133,15 @@ def _predict(spark, sf):
 
 
 @query("forecast_components", "H", with_star("""
-SELECT date_id, CAST(trend_e4 AS DOUBLE) / 10000.0 AS trend, CAST(weekly_e4 AS DOUBLE) / 10000.0 AS weekly,
-       CAST(holidays_e4 AS DOUBLE) / 10000.0 AS holidays, CAST(yhat_e4 AS DOUBLE) / 10000.0 AS yhat FROM fc""", FC_CTES))
+SELECT date_id, is_future,
+       CAST(round_even(trend*10000.0, 0) AS DOUBLE) / 10000.0 AS trend,
+       CAST(round_even(weekly*10000.0, 0) AS DOUBLE) / 10000.0 AS weekly,
+       CAST(round_even(holidays*10000.0, 0) AS DOUBLE) / 10000.0 AS holidays,
+       CAST(round_even(yhat*10000.0, 0) AS DOUBLE) / 10000.0 AS yhat
+FROM yh""", FC_CTES))
 def _components(spark, sf):
-    return _fc(spark, sf).select("date_id", "trend", "weekly", "holidays", "yhat")
+    # Every date of the forecast frame: training history and the future.
+    return forecast.components(_pipeline(spark, sf)[5])
 
 
 @query("staffing_plan", "H", with_star("""
