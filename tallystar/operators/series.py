@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import (COMPONENT_LABELS, cents, day_name, exact_round,
                                         from_cents)
-from tallystar.sources.literal import calendar_of
+from tallystar.session import cut_lineage
 
 B = F.broadcast
 
@@ -104,10 +104,34 @@ def daily_orders(fact: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 
 # G7-G9 ---------------------------------------------------------------------
-def missing_days(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    cal = calendar_of(series.select(*keys, "date_id"), "date_id", keys)
-    return cal.join(series.select(*keys, "date_id"), [*keys, "date_id"], "left_anti") \
-              .orderBy(*keys, "date_id")
+def _complete(series: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """Every calendar day between each series' first and last day, in one pass.
+
+    Each observed row emits itself plus the missing days up to the next
+    observed day (``lead`` over the date-ordered series). There is no
+    calendar aggregate joined back to the series, so the upstream (a scan
+    and aggregate of the fact) is evaluated once.
+    """
+    vtype = series.schema[value].dataType
+    w = Window.partitionBy(*keys).orderBy("date_id")
+    nxt = F.lead("date_id").over(w)
+    rows = series.select(*keys, "date_id", F.col(value), nxt.alias("_next"))
+    gap = F.when(F.datediff("_next", "date_id") > 1,
+                 F.sequence(F.date_add("date_id", 1), F.date_sub("_next", 1))) \
+        .otherwise(F.array().cast("array<date>"))
+    me = F.array(F.struct(F.col("date_id").alias("d"), F.col(value).alias("v"),
+                          F.lit(False).alias("imputed")))
+    fill = F.transform(gap, lambda d: F.struct(d.alias("d"), F.lit(None).cast(vtype).alias("v"),
+                                               F.lit(True).alias("imputed")))
+    return (rows.select(*keys, F.explode(F.concat(me, fill)).alias("e"))
+            .select(*keys, F.col("e.d").alias("date_id"), F.col("e.v").alias(value),
+                    F.col("e.imputed").alias("is_imputed")))
+
+
+def missing_days(series: DataFrame, keys: Sequence[str] = (), value: str = "total_orders") -> DataFrame:
+    """Calendar days with no observation (the anti join of calendar and series)."""
+    return (_complete(series, value, keys).filter("is_imputed")
+            .select(*keys, "date_id").orderBy(*keys, "date_id"))
 
 
 def gap_fill(series: DataFrame, value: str = "total_orders", how: str = "dow_median",
@@ -115,22 +139,18 @@ def gap_fill(series: DataFrame, value: str = "total_orders", how: str = "dow_med
     """Complete calendar per series.
 
     ``how="null"`` leaves missing days NULL; ``how="dow_median"`` fills them
-    with the exact median of the observed days of the same weekday, rounded
-    half-even (R's round), and flags them ``is_imputed``.
+    with the exact median of the observed days of the same weekday (a window
+    aggregate per series and weekday), rounded half-even (R's round), and
+    flags them ``is_imputed``.
     """
-    cal = calendar_of(series.select(*keys, "date_id"), "date_id", keys)
-    full = cal.join(series.select(*keys, "date_id", value), [*keys, "date_id"], "left")
+    full = _complete(series, value, keys)
     if how == "null":
         return full.select(*keys, "date_id", value).orderBy(*keys, "date_id")
     if how != "dow_median":
         raise ValueError(how)
-    full = full.withColumn("_dow", day_name("date_id")).withColumn(
-        "is_imputed", F.col(value).isNull())
-    med = (full.filter(~F.col("is_imputed")).groupBy(*keys, "_dow")
-           .agg(F.median(value).alias("_med")))
-    filled = F.coalesce(F.col(value).cast("long"), F.bround("_med", 0).cast("long"))
-    return (full.join(B(med), [*keys, "_dow"], "left")
-            .select(*keys, "date_id", filled.alias(value), "is_imputed")
+    med = F.median(value).over(Window.partitionBy(*keys, day_name("date_id")))
+    filled = F.coalesce(F.col(value).cast("long"), F.bround(med, 0).cast("long"))
+    return (full.select(*keys, "date_id", filled.alias(value), "is_imputed")
             .orderBy(*keys, "date_id"))
 
 
@@ -146,6 +166,10 @@ def decompose(series: DataFrame, value: str = "total_orders", period: int = 7,
     outlier days stop pulling the components. This is a Spark-native
     stand-in for loess STL: same components, not the same numbers.
     """
+    # The series feeds several branches (windows, per-position means, robust
+    # rounds) that Spark cannot share once columns are pruned differently;
+    # checkpointing the (calendar-sized) input keeps the upstream to one run.
+    series = cut_lineage(series.select(*keys, "date_id", value))
     half = period // 2
     order = Window.partitionBy(*keys).orderBy("date_id")
     frame = order.rowsBetween(-half, half)

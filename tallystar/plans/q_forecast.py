@@ -85,7 +85,9 @@ plan2 AS (SELECT *, {xround("CAST(yhat_upper AS BIGINT) * 95000", "1000000", 0,
 
 def _pipeline(spark, sf):
     fact = star(spark, sf).fact
-    # The daily series feeds every branch of the model; materialise it once.
+    # The daily series feeds every branch of the model. Column pruning makes
+    # the branches differ, so Spark would not reuse one exchange for all of
+    # them; a checkpoint keeps it at one scan of the fact.
     ser = cut_lineage(series.gap_fill(series.daily_orders(fact), how="null"))
     train = forecast.training_window(ser, HOLDOUT)
     hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, HOLDOUT + HORIZON))
