@@ -68,13 +68,27 @@ def audit_nulls(tables: Mapping[str, DataFrame], checks: Sequence[tuple[str, str
 
 # C3 ----------------------------------------------------------------------
 def audit_orphans(fact: DataFrame, relations: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Rows of ``fact`` whose key has no match in the dimension (LEFT ANTI)."""
-    parts = []
-    for name, dim, key in relations:
-        n = (fact.select(key).join(dim.select(key).distinct(), key, "left_anti")
-             .agg(F.count(F.lit(1)).alias("orphaned_rows")))
-        parts.append(n.select(F.lit(name).alias("check_name"), "orphaned_rows"))
-    return _union_all(parts).withColumn("status", _status(F.col("orphaned_rows") == 0))
+    """Rows of ``fact`` whose key has no match in the dimension.
+
+    One scan of the fact: each dimension's distinct keys are LEFT-joined
+    with a marker column (Spark's size check decides broadcast vs shuffle),
+    and all checks are counted in a single aggregate, then unpivoted.
+    """
+    f = fact.select(*{key for _, _, key in relations})
+    names = []
+    for i, (name, dim, key) in enumerate(relations):
+        flag = f"_hit{i}"
+        f = f.join(dim.select(key).distinct().withColumn(flag, F.lit(True)), key, "left")
+        names.append((name, flag))
+    counts = f.agg(*[F.count_if(F.col(flag).isNull()).alias(f"c{i}")
+                     for i, (_, flag) in enumerate(names)])
+    long = counts.unpivot([], [f"c{i}" for i in range(len(names))], "_c", "orphaned_rows")
+    labels = None
+    for i, (name, _) in enumerate(names):
+        labels = (F.when(F.col("_c") == f"c{i}", name) if labels is None
+                  else labels.when(F.col("_c") == f"c{i}", name))
+    return (long.select(labels.alias("check_name"), "orphaned_rows")
+            .withColumn("status", _status(F.col("orphaned_rows") == 0)))
 
 
 # C4 ----------------------------------------------------------------------

@@ -301,17 +301,20 @@ def upsell_base(dim_product: DataFrame, dim_sku: DataFrame, fact: DataFrame,
     Price-list form: a product qualifies when both sizes are on the price
     list and the product has at least one sale.
     """
-    sku_units = fact.groupBy("product_id", "sku_id").agg(F.sum("quantity").cast("long").alias("q"))
-    sold = sku_units.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
     pm = dim_sku.filter(F.col("size") == frm).select("product_id", F.col("sku_id").alias("m_sku"),
                                                       F.col("price").alias("m_price"))
     pl = dim_sku.filter(F.col("size") == to).select("product_id", F.col("price").alias("l_price"))
-    m_units = sku_units.select(F.col("sku_id").alias("m_sku"), F.col("q").alias("m_q"))
+    # One pass over the fact: units per (product, SKU), then per product the
+    # units of its smaller-size SKU. A product with any sale keeps its row.
+    sold = (fact.groupBy("product_id", "sku_id").agg(F.sum("quantity").cast("long").alias("q"))
+            .join(pm.select("product_id", "m_sku"), "product_id")
+            .groupBy("product_id")
+            .agg(F.sum(F.when(F.col("sku_id") == F.col("m_sku"), F.col("q")).otherwise(0))
+                 .cast("long").alias("medium_quantity_sold")))
     df = (dim_product.join(pm, "product_id").join(pl, "product_id")
           .join(sold, "product_id")
-          .join(m_units, "m_sku", "left")
           .groupBy("name", "category", "m_price", "l_price")
-          .agg(F.coalesce(F.sum("m_q"), F.lit(0)).cast("long").alias("medium_quantity_sold")))
+          .agg(F.sum("medium_quantity_sold").cast("long").alias("medium_quantity_sold")))
     gap = F.col("l_price") - F.col("m_price")
     df = df.withColumn("price_gap", gap)
     if rate is not None:
