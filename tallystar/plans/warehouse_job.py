@@ -75,3 +75,47 @@ def lookup(spark: SparkSession, sf_dir: str):
     return Star(fact=r(f"{target}/fact_sales"), dim_sku=r(f"{target}/dim_sku"),
                 dim_product=r(f"{target}/dim_product"), dim_date=r(f"{target}/dim_date"),
                 dim_time=r(f"{target}/dim_time"))
+
+
+# Raw file names of the reference's order export (fixed values).
+RAW_FILES = {"products": "pizza_types.csv", "skus": "pizzas.csv", "orders": "orders.csv",
+             "lines": "order_details.csv"}
+
+
+def star_from_csv(spark: SparkSession, raw_dir: str, files: dict[str, str] | None = None):
+    """The star schema built from the four raw order files (lazy frames)."""
+    from tallystar.operators import warehouse as wh
+    from tallystar.sources import csv
+    from tallystar.sources.testdata import Star
+
+    f = {**RAW_FILES, **(files or {})}
+    path = lambda k: f"{raw_dir.rstrip('/')}/{f[k]}"
+    sku = wh.build_dim_sku(csv.read_skus(spark, path("skus")))
+    orders = csv.read_orders(spark, path("orders"))
+    return Star(fact=wh.build_fact(csv.read_order_lines(spark, path("lines")), orders, sku),
+                dim_sku=sku,
+                dim_product=wh.build_dim_product(csv.read_products(spark, path("products"))),
+                dim_date=wh.build_dim_date(orders), dim_time=wh.build_dim_time(orders))
+
+
+def load_from_csv(spark: SparkSession, raw_dir: str, database: str, mode: str = "overwrite",
+                  location: str | None = None):
+    """The reference's load job: create the schema if needed, write the five
+    tables (dimensions first), return their row counts as a DataFrame."""
+    from tallystar.operators.warehouse import row_counts
+    from tallystar.sources.tables import create_schema, table, write_table
+
+    create_schema(spark, database, location)
+    star = star_from_csv(spark, raw_dir)
+    for name in ("dim_product", "dim_sku", "dim_date", "dim_time", "fact_sales"):
+        write_table(star.tables()[name], f"{database}.{name}", mode=mode)
+    return row_counts({n: table(spark, f"{database}.{n}") for n in star.tables()})
+
+
+def star_from_catalog(spark: SparkSession, database: str):
+    """The five loaded tables of ``database`` as a Star."""
+    from tallystar.sources.testdata import Star
+
+    t = lambda n: spark.table(f"{database}.{n}")
+    return Star(fact=t("fact_sales"), dim_sku=t("dim_sku"), dim_product=t("dim_product"),
+                dim_date=t("dim_date"), dim_time=t("dim_time"))
