@@ -14,8 +14,9 @@ is re-aimed as aggregates that Spark computes per series in one pass:
 * sigma: sample standard deviation of the final residuals.
 
 Interval: yhat +/- z * sigma with z the normal quantile of the interval width.
-Every step is a ``groupBy`` or a broadcast join on per-series aggregates;
-``keys`` carries a series id so many series fit in parallel.
+Every sum is a window aggregate over the series partitioning, so the model
+is one shuffle by series plus a tiny holiday aggregate; ``keys`` carries a
+series id so many series fit in parallel.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import day_name, exact_round, iso_weekday
+from tallystar.session import cut_lineage
 
-B = F.broadcast
 
 # The reference's holidays with their windows (lower, upper).
 # Its list holds 2015 dates only; here each is a rule so any year of data
@@ -83,53 +84,101 @@ SERIES = "_series"
 
 
 def _keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """A single series gets a constant key, so every parameter is joined
-    (broadcast, one row per series) instead of crossed."""
+    """A single series gets a constant key, so every per-series step is a
+    ``PARTITION BY`` window or a join on that key, never a cross join."""
     if keys:
         return df, list(keys)
     return df.withColumn(SERIES, F.lit(0)), [SERIES]
 
 
-def fit(train: DataFrame, holidays: DataFrame, value: str = "y",
-        keys: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Fit the aggregate model. Returns per-series parameter frames:
-    ``trend`` (origin, a, b), ``weekday`` (day_name, effect), ``holiday``
-    (holiday, effect) and ``sigma``; all keyed by the series columns."""
-    obs, k = _keyed(train.filter(F.col(value).isNotNull()), keys)
-    origin = obs.groupBy(*k).agg(F.min("date_id").alias("origin"))
-    base = (obs.join(B(origin), k)
-            .withColumn("t", F.datediff("date_id", "origin").cast("double"))
-            .withColumn("yv", F.col(value).cast("double"))
-            .withColumn("day_name", day_name("date_id")))
-    s = base.groupBy(*k, "origin").agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum("t").alias("st"),
-        F.sum("yv").alias("sy"), F.sum(F.col("t") * F.col("t")).alias("stt"),
-        F.sum(F.col("t") * F.col("yv")).alias("sty"))
-    n, st, sy, stt, sty = (F.col(c) for c in ("n", "st", "sy", "stt", "sty"))
+def future_frame(train: DataFrame, periods: int = 44, value: str | None = None,
+                 keys: Sequence[str] = ()) -> DataFrame:
+    """Training history plus ``periods`` days after its end, in one pass: the
+    last row of each series also emits the future days (``lead`` + ``explode``).
+    ``value`` (if given) is carried for history rows and NULL in the future."""
+    k = list(keys)
+    w = Window.partitionBy(*k).orderBy("date_id")
+    v = F.col(value) if value else F.lit(None).cast("double")
+    vtype = train.schema[value].dataType if value else "double"
+    rows = train.select(*k, "date_id", v.alias("_v"), F.lead("date_id").over(w).alias("_next"))
+    future = F.when(F.col("_next").isNull(),
+                    F.sequence(F.date_add("date_id", 1), F.date_add("date_id", periods))) \
+        .otherwise(F.array().cast("array<date>"))
+    me = F.array(F.struct(F.col("date_id").alias("d"), F.col("_v").alias("v"),
+                          F.lit(False).alias("f")))
+    fut = F.transform(future, lambda d: F.struct(d.alias("d"), F.lit(None).cast(vtype).alias("v"),
+                                                 F.lit(True).alias("f")))
+    out = rows.select(*k, F.explode(F.concat(me, fut)).alias("e")).select(
+        *k, F.col("e.d").alias("date_id"), F.col("e.f").alias("is_future"),
+        *([F.col("e.v").alias(value)] if value else []))
+    return out
+
+
+def fit(frame: DataFrame, holidays: DataFrame, value: str = "y", keys: Sequence[str] = (),
+        interval: float = 0.90) -> dict:
+    """Fit on the history rows of ``frame`` and predict every row of it.
+
+    All per-series and per-weekday sums are window aggregates over the same
+    series partitioning (one shuffle by series), so the parameters land on
+    every row without joining them back; only the holiday effects (one row
+    per series and holiday) are aggregated and broadcast back. Returns the
+    prediction frame and the parameter tables.
+    """
+    df, k = _keyed(frame, keys)
+    W = Window.partitionBy(*k)
+    Wd = Window.partitionBy(*k, "day_name")
+    obs = (~F.col("is_future")) & F.col(value).isNotNull()
+    df = (df.withColumn("day_name", day_name("date_id"))
+          .withColumn("_obs", obs)
+          .withColumn("yv", F.when(obs, F.col(value).cast("double")))
+          .withColumn("origin", F.min(F.when(obs, F.col("date_id"))).over(W))
+          .withColumn("t", F.datediff("date_id", "origin").cast("double")))
+    t, yv = F.col("t"), F.col("yv")
+    one = F.when(F.col("_obs"), F.lit(1.0))
+    tt = F.when(F.col("_obs"), t)
+    df = (df.withColumn("_n", F.sum(one).over(W)).withColumn("_st", F.sum(tt).over(W))
+          .withColumn("_sy", F.sum(yv).over(W)).withColumn("_stt", F.sum(tt * tt).over(W))
+          .withColumn("_sty", F.sum(tt * yv).over(W))
+          .withColumn("_nk", F.sum(one).over(Wd)).withColumn("_stk", F.sum(tt).over(Wd))
+          .withColumn("_syk", F.sum(yv).over(Wd)))
+    n, st, sy, stt, sty = (F.col(c) for c in ("_n", "_st", "_sy", "_stt", "_sty"))
     den = n * stt - st * st
-    trend = (s.withColumn("b", F.when(den != 0, (n * sty - st * sy) / den).otherwise(0.0))
-             .withColumn("a", (sy - F.col("b") * st) / n)
-             .select(*k, "origin", "a", "b"))
-    weekday = (base.groupBy(*k, "day_name")
-               .agg(F.count(F.lit(1)).cast("double").alias("nk"), F.sum("t").alias("stk"),
-                    F.sum("yv").alias("syk"))
-               .join(B(trend), k)
-               .select(*k, "day_name",
-                       ((F.col("syk") - F.col("a") * F.col("nk") - F.col("b") * F.col("stk"))
-                        / F.col("nk")).alias("effect")))
-    r1 = (base.drop("origin").join(B(trend), k)
-          .join(B(weekday.withColumnRenamed("effect", "w")), [*k, "day_name"], "left")
-          .withColumn("r1", F.col("yv") - F.col("a") - F.col("b") * F.col("t")
-                      - F.coalesce("w", F.lit(0.0))))
-    hol = (r1.join(B(holidays), "date_id").groupBy(*k, "holiday")
-           .agg(F.round(F.avg("r1"), 9).alias("effect")))
-    hsum = (holidays.join(B(hol), "holiday").groupBy(*k, "date_id")
-            .agg(F.sum("effect").alias("h")))
-    r2 = (r1.join(hsum, [*k, "date_id"], "left")
-          .withColumn("e", F.col("r1") - F.coalesce("h", F.lit(0.0))))
-    sigma = r2.groupBy(*k).agg(F.round(F.stddev_samp("e"), 9).alias("sigma"))
-    return {"trend": trend, "weekday": weekday, "holiday": hol, "sigma": sigma,
-            "holidays": holidays, "keys": k}
+    df = (df.withColumn("b", F.when(den != 0, (n * sty - st * sy) / den).otherwise(0.0))
+          .withColumn("a", (sy - F.col("b") * st) / n)
+          .withColumn("w", (F.col("_syk") - F.col("a") * F.col("_nk") - F.col("b") * F.col("_stk"))
+                      / F.col("_nk"))
+          .withColumn("r1", yv - F.col("a") - F.col("b") * t - F.coalesce("w", F.lit(0.0))))
+    # Holiday effects: mean residual per (series, holiday) over history days.
+    hol = (df.filter("_obs").select(*k, "date_id", "r1").join(F.broadcast(holidays), "date_id")
+           .groupBy(*k, "holiday").agg(F.round(F.avg("r1"), 9).alias("effect")))
+    hsum = (holidays.join(F.broadcast(hol), "holiday").groupBy(*k, "date_id")
+            .agg(F.sum("effect").alias("_h")))
+    z = NormalDist().inv_cdf(0.5 + interval / 2.0)
+    df = (df.join(F.broadcast(hsum), [*k, "date_id"], "left")
+          .withColumn("holidays", F.coalesce("_h", F.lit(0.0)))
+          .withColumn("sigma", F.round(F.stddev_samp(F.col("r1") - F.col("holidays")).over(W), 9))
+          .withColumn("weekly", F.coalesce("w", F.lit(0.0)))
+          .withColumn("trend", F.col("a") + F.col("b") * t))
+    yhat = F.col("trend") + F.col("weekly") + F.col("holidays")
+    pred = (df.withColumn("yhat", yhat)
+            .withColumn("yhat_lower", yhat - F.lit(z) * F.col("sigma"))
+            .withColumn("yhat_upper", yhat + F.lit(z) * F.col("sigma")))
+    # The fitted frame (series x days) feeds the prediction and four
+    # parameter tables; checkpoint it so the windows run once.
+    pred = cut_lineage(pred.select(*k, "date_id", "is_future", "day_name", "_obs", "origin", "a",
+                                   "b", "w", "sigma", "trend", "weekly", "holidays", "yhat",
+                                   "yhat_lower", "yhat_upper"))
+    params = pred.filter("_obs")
+    return {
+        "pred": pred.select(*k, "date_id", "is_future", "day_name", "trend", "weekly", "holidays",
+                            "yhat", "yhat_lower", "yhat_upper"),
+        "trend": params.groupBy(*k).agg(F.first("origin").alias("origin"), F.first("a").alias("a"),
+                                        F.first("b").alias("b")),
+        "weekday": params.groupBy(*k, "day_name").agg(F.first("w").alias("effect")),
+        "holiday": hol,
+        "sigma": params.groupBy(*k).agg(F.first("sigma").alias("sigma")),
+        "keys": k,
+    }
 
 
 def model_table(model: dict, keys: Sequence[str] = ()) -> DataFrame:
@@ -153,32 +202,9 @@ def model_table(model: dict, keys: Sequence[str] = ()) -> DataFrame:
     return out.withColumn("estimate", F.round("estimate", 6))
 
 
-def future_frame(train: DataFrame, periods: int = 44, keys: Sequence[str] = ()) -> DataFrame:
-    """Training history plus ``periods`` days after its end (per series)."""
-    k = list(keys)
-    b = train.groupBy(*k).agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
-    return b.select(*k, F.explode(F.sequence("lo", F.date_add("hi", periods))).alias("date_id"),
-                    "hi").select(*k, "date_id", (F.col("date_id") > F.col("hi")).alias("is_future"))
-
-
-def predict(model: dict, frame: DataFrame, interval: float = 0.90) -> DataFrame:
-    """Components and interval for every date of ``frame``."""
-    k = model["keys"]
-    z = NormalDist().inv_cdf(0.5 + interval / 2.0)
-    df = frame if all(c in frame.columns for c in k) else frame.withColumn(SERIES, F.lit(0))
-    w = model["weekday"].withColumnRenamed("effect", "weekly")
-    h = (model["holidays"].join(B(model["holiday"]), "holiday")
-         .groupBy(*k, "date_id").agg(F.sum("effect").alias("holidays")))
-    df = (df.withColumn("day_name", day_name("date_id"))
-          .join(B(model["trend"]), k).join(B(model["sigma"]), k)
-          .join(B(w), [*k, "day_name"], "left").join(h, [*k, "date_id"], "left")
-          .withColumn("weekly", F.coalesce("weekly", F.lit(0.0)))
-          .withColumn("holidays", F.coalesce("holidays", F.lit(0.0)))
-          .withColumn("trend", F.col("a") + F.col("b") * F.datediff("date_id", "origin").cast("double")))
-    yhat = F.col("trend") + F.col("weekly") + F.col("holidays")
-    return (df.withColumn("yhat", yhat)
-            .withColumn("yhat_lower", yhat - F.lit(z) * F.col("sigma"))
-            .withColumn("yhat_upper", yhat + F.lit(z) * F.col("sigma")))
+def predict(model: dict) -> DataFrame:
+    """Components and interval for every date of the fitted frame."""
+    return model["pred"]
 
 
 def _e4(c: str) -> F.Column:
@@ -190,7 +216,7 @@ def forecast_rows(pred: DataFrame, observed: DataFrame, keys: Sequence[str] = ()
     """Dates after the end of the observed series, values to 4 decimals."""
     obs, k = _keyed(observed, keys)
     end = obs.groupBy(*k).agg(F.max("date_id").alias("_end"))
-    df = pred.join(B(end), k).filter(F.col("date_id") > F.col("_end"))
+    df = pred.join(F.broadcast(end), k).filter(F.col("date_id") > F.col("_end"))
     return df.select(*keys, "date_id", "day_name",
                      *[(_e4(c).cast("double") / 10000.0).alias(c) for c in
                        ("yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "holidays")])

@@ -91,10 +91,9 @@ def _pipeline(spark, sf):
     ser = cut_lineage(series.gap_fill(series.daily_orders(fact), how="null"))
     train = forecast.training_window(ser, HOLDOUT)
     hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, HOLDOUT + HORIZON))
-    model = forecast.fit(train, hol, value="total_orders")
-    frame = forecast.future_frame(train, HOLDOUT + HORIZON)
-    pred = forecast.predict(model, frame)
-    return ser, train, hol, model, frame, pred
+    frame = forecast.future_frame(train, HOLDOUT + HORIZON, value="total_orders")
+    model = forecast.fit(frame, hol, value="total_orders")
+    return ser, train, hol, model, frame, forecast.predict(model)
 
 
 @query("training_window", "H", with_star("SELECT date_id, total_orders FROM train", FC_CTES))
@@ -119,7 +118,7 @@ def _fit(spark, sf):
 
 @query("future_frame", "H", with_star("SELECT date_id, date_id > hi AS is_future FROM frame", FC_CTES))
 def _future(spark, sf):
-    return _pipeline(spark, sf)[4]
+    return _pipeline(spark, sf)[4].select("date_id", "is_future")
 
 
 def _fc(spark, sf):

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,13 +60,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise a small intermediate (a daily series, per-series
-    parameters) in the shared checkpoint folder and continue from the files.
+    """Materialise a small intermediate (a daily series, a fitted frame) as a
+    parquet table in the shared checkpoint folder and continue from it.
 
     Used where one intermediate feeds several branches of a plan: the
-    expensive upstream (a scan and aggregate of the fact) then runs once, and
-    a lost executor re-reads the checkpoint instead of recomputing it. This
-    is a reliable checkpoint; ``localCheckpoint`` is never used.
+    upstream (a scan and aggregate of the fact, a chain of windows) then runs
+    exactly once, and a lost executor re-reads the files instead of
+    recomputing the lineage. One write job (an RDD ``checkpoint()`` of an
+    uncached frame would compute it twice); ``localCheckpoint`` is never used.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -48,13 +48,13 @@ def test_fit_recovers_trend_and_weekday_effects(spark):
     hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, 30))
     train = forecast.training_window(ser, 14)
     assert train.count() == 126
-    model = forecast.fit(train, hol)
+    model = forecast.fit(forecast.future_frame(train, 44, value="y"), hol)
     t = model["trend"].first()
     assert abs(t.b - 0.1) < 1e-3
     wk = {r.day_name: r.effect for r in model["weekday"].collect()}
     centred = np.array(eff) - np.mean(eff)
     assert abs((wk["Saturday"] - wk["Tuesday"]) - (centred[5] - centred[1])) < 0.2
-    pred = forecast.predict(model, forecast.future_frame(train, 44))
+    pred = forecast.predict(model)
     fc = forecast.forecast_rows(pred, ser).orderBy("date_id").collect()
     assert len(fc) == 30
     assert all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in fc)
