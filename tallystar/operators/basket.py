@@ -61,20 +61,30 @@ def pair_support(items: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -> DataFrame:
-    """lift = n_ab * N / (n_a * n_b), rounded half-even to 3 decimals, support >= min."""
-    support = item_support(items)
-    sa = support.select(F.col("product_id").alias("product_id_a"),
-                        F.col("orders_with_item").alias("orders_a"))
-    sb = support.select(F.col("product_id").alias("product_id_b"),
-                        F.col("orders_with_item").alias("orders_b"))
-    n_orders = items.agg(F.countDistinct("order_id")).scalar()
-    return (pair_support(items, dim_product)
-            .filter(F.col("orders_with_both") >= min_support)
-            .join(sa, "product_id_a").join(sb, "product_id_b")
-            .withColumn("lift", exact_round(F.col("orders_with_both") * n_orders,
+    """lift = n_ab * N / (n_a * n_b), rounded half-even to 3 decimals, support >= min.
+
+    One pass over the order-partitioned items yields the pair counts, the
+    item supports (the Gram diagonal) and the number of orders N; N is then
+    spread over the pair table (menu-squared rows) with a window, so no
+    scalar subquery or second aggregation of the items is needed.
+    """
+    index = product_index(dim_product)
+    rows = items.select("order_id", "product_id").join(index.select("product_id", "idx"),
+                                                       "product_id")
+    m = pair_moments(rows, ["order_id"], "idx", diagonal=True, group_count=True)
+    m = m.withColumn("n_orders", F.max(F.when(F.col("item_a") < 0, F.col("n")))
+                     .over(Window.partitionBy()))
+    diag = m.filter((F.col("item_a") == F.col("item_b")) & (F.col("item_a") >= 0))
+    sa = diag.select(F.col("item_a"), F.col("n").alias("orders_a"))
+    sb = diag.select(F.col("item_b"), F.col("n").alias("orders_b"))
+    pairs = (m.filter(F.col("item_a") < F.col("item_b"))
+             .filter(F.col("n") >= min_support)
+             .join(sa, "item_a").join(sb, "item_b"))
+    return (_label_pairs(pairs, index)
+            .withColumn("lift", exact_round(F.col("n") * F.col("n_orders"),
                                             F.col("orders_a") * F.col("orders_b"), 3, "half_even"))
             .select("product_id_a", "name_a", "category_a", "product_id_b", "name_b", "category_b",
-                    "orders_with_both", "orders_a", "orders_b", "lift")
+                    F.col("n").alias("orders_with_both"), "orders_a", "orders_b", "lift")
             .orderBy(F.desc("lift"), "name_a", "name_b"))
 
 

@@ -22,8 +22,9 @@ def _with_share(df: DataFrame) -> DataFrame:
     """Share of all orders. Every order is one row of ``order_sizes`` (order_id
     is NOT NULL in the fact), so the total is the sum of the buckets: a window
     over a handful of rows instead of a second distinct count over the fact."""
-    total_orders = F.sum("order_count").over(Window.partitionBy())
-    return df.withColumn("share_pct", exact_round(F.col("order_count") * 100, total_orders, 1))
+    df = df.withColumn("_total", F.sum("order_count").over(Window.partitionBy()))
+    return (df.withColumn("share_pct", exact_round(F.col("order_count") * 100, "_total", 1))
+            .drop("_total"))
 
 
 def order_size_distribution(fact: DataFrame) -> DataFrame:

@@ -40,19 +40,26 @@ MAX_CELLS = 4_000_000
 _STATS = ["sa", "sb", "saa", "sbb", "sab"]
 
 
-def _pair_rows(group_codes: np.ndarray, items: np.ndarray, values: np.ndarray | None) -> pd.DataFrame:
-    """Upper-triangle Gram entries for one chunk of whole groups."""
+def _pair_rows(group_codes: np.ndarray, items: np.ndarray, values: np.ndarray | None,
+               diagonal: bool = False, group_count: bool = False) -> pd.DataFrame:
+    """Upper-triangle Gram entries for one chunk of whole groups.
+
+    ``diagonal`` adds (a, a): the groups holding item a (its support);
+    ``group_count`` adds one (-1, -1) row with the number of groups.
+    """
     local, inv = np.unique(items, return_inverse=True)
     n_groups = int(group_codes.max()) + 1 if len(group_codes) else 0
     p = len(local)
     X = np.zeros((n_groups, p), dtype=np.float64)
     X[group_codes, inv] = 1.0
     n = X.T @ X
-    iu, ju = np.triu_indices(p, k=1)
+    iu, ju = np.triu_indices(p, k=0 if diagonal else 1)
     keep = n[iu, ju] > 0
     iu, ju = iu[keep], ju[keep]
     out = {"item_a": local[iu].astype(np.int64), "item_b": local[ju].astype(np.int64),
            "n": n[iu, ju].astype(np.int64)}
+    if group_count:
+        out = {k: np.append(v, np.int64(-1 if k != "n" else n_groups)) for k, v in out.items()}
     if values is not None:
         V = np.zeros((n_groups, p), dtype=np.float64)
         V[group_codes, inv] = values
@@ -78,7 +85,8 @@ def _chunks(codes: np.ndarray, p_hint: int) -> Iterator[slice]:
         start = stop
 
 
-def _make_task(group_cols: Sequence[str], item_col: str, value_col: str | None):
+def _make_task(group_cols: Sequence[str], item_col: str, value_col: str | None,
+               diagonal: bool = False, group_count: bool = False):
     def process(pdf: pd.DataFrame) -> pd.DataFrame | None:
         if pdf.empty:
             return None
@@ -89,7 +97,8 @@ def _make_task(group_cols: Sequence[str], item_col: str, value_col: str | None):
         parts = []
         for sl in _chunks(codes, p_hint):
             c = codes[sl] - codes[sl][0]
-            parts.append(_pair_rows(c, items[sl], None if vals is None else vals[sl]))
+            parts.append(_pair_rows(c, items[sl], None if vals is None else vals[sl],
+                                    diagonal, group_count))
         return pd.concat(parts, ignore_index=True) if parts else None
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,13 +131,18 @@ def _make_task(group_cols: Sequence[str], item_col: str, value_col: str | None):
 
 
 def pair_moments(rows: DataFrame, group_cols: Sequence[str], item_col: str,
-                 value_col: str | None = None) -> DataFrame:
+                 value_col: str | None = None, diagonal: bool = False,
+                 group_count: bool = False) -> DataFrame:
     """Per item pair (item_a < item_b): groups holding both, and value moments.
 
     ``rows``: one row per (group, item) with an integer item index. Returns
     ``item_a, item_b, n`` plus ``sa, sb, saa, sbb, sab`` when ``value_col``
-    is given.
+    is given. Counts only: ``diagonal`` adds (a, a, support of a) rows and
+    ``group_count`` one (-1, -1, number of groups) row, so supports and the
+    group total come out of the same pass.
     """
+    if value_col and (diagonal or group_count):
+        raise ValueError("diagonal/group_count are for counts only")
     cols = list(group_cols) + [item_col] + ([value_col] if value_col else [])
     schema = "item_a long, item_b long, n long"
     if value_col:
@@ -136,7 +150,8 @@ def pair_moments(rows: DataFrame, group_cols: Sequence[str], item_col: str,
     staged = (rows.select(*cols)
               .repartition(*group_cols)
               .sortWithinPartitions(*group_cols))
-    partial = staged.mapInPandas(_make_task(list(group_cols), item_col, value_col), schema)
+    partial = staged.mapInPandas(
+        _make_task(list(group_cols), item_col, value_col, diagonal, group_count), schema)
     aggs = [F.sum("n").alias("n")] + ([F.sum(s).alias(s) for s in _STATS] if value_col else [])
     return partial.groupBy("item_a", "item_b").agg(*aggs)
 

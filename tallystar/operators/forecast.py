@@ -213,11 +213,18 @@ def _e4(c: str) -> F.Column:
 
 
 def forecast_rows(pred: DataFrame, observed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Dates after the end of the observed series, values to 4 decimals."""
-    obs, k = _keyed(observed, keys)
-    end = obs.groupBy(*k).agg(F.max("date_id").alias("_end"))
-    df = pred.join(F.broadcast(end), k).filter(F.col("date_id") > F.col("_end"))
-    return df.select(*keys, "date_id", "day_name",
+    """Dates after the end of the observed series, values to 4 decimals.
+
+    Per series the end date is joined on the series keys; a single series
+    compares with a scalar subquery (no key-less join).
+    """
+    k = list(keys)
+    if k:
+        end = observed.groupBy(*k).agg(F.max("date_id").alias("_end"))
+        df = pred.join(F.broadcast(end), k).filter(F.col("date_id") > F.col("_end"))
+    else:
+        df = pred.filter(F.col("date_id") > observed.agg(F.max("date_id")).scalar())
+    return df.select(*k, "date_id", "day_name",
                      *[(_e4(c).cast("double") / 10000.0).alias(c) for c in
                        ("yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "holidays")])
 

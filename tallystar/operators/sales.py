@@ -219,10 +219,11 @@ def category_performance(fact: DataFrame, dim_product: DataFrame,
         grand = fact.agg(F.sum(cents("total_price"))).scalar()
     else:
         raise ValueError(total)
+    df = df.withColumn("_grand", grand)
     return (df.withColumn("avg_revenue_per_unit",
                           exact_round("rev_cents", F.col("total_quantity") * 100, 2))
-            .withColumn("revenue_share_pct", share_pct("rev_cents", grand))
-            .withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents")
+            .withColumn("revenue_share_pct", share_pct("rev_cents", "_grand"))
+            .withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents", "_grand")
             .orderBy(F.desc("total_revenue"), "category"))
 
 
@@ -258,10 +259,11 @@ def size_performance(fact: DataFrame, dim_sku: DataFrame, total: str = "window")
         rev_total = fact.agg(F.sum(cents("total_price"))).scalar()
     else:
         raise ValueError(total)
+    df = df.withColumn("_units_total", units_total).withColumn("_rev_total", rev_total)
     return (df.withColumn("avg_unit_price",
                           exact_round("up_cents", F.col("lines") * 100, 2))
-            .withColumn("volume_share_pct", share_pct("total_quantity", units_total))
-            .withColumn("revenue_share_pct", share_pct("rev_cents", rev_total))
+            .withColumn("volume_share_pct", share_pct("total_quantity", "_units_total"))
+            .withColumn("revenue_share_pct", share_pct("rev_cents", "_rev_total"))
             .withColumn("total_revenue", from_cents("rev_cents"))
             .select("size", "total_quantity", "total_revenue", "avg_unit_price",
                     "volume_share_pct", "revenue_share_pct")
@@ -287,8 +289,9 @@ def size_mix_by_category(fact: DataFrame, dim_sku: DataFrame, dim_product: DataF
           .join(dim_product.select("product_id", "category"), "product_id")
           .groupBy("category", "size")
           .agg(F.sum("q").cast("long").alias("total_quantity"), F.sum("r").alias("rev_cents")))
-    cat_total = F.sum("total_quantity").over(Window.partitionBy("category"))
-    return (df.withColumn("volume_share_within_category", share_pct("total_quantity", cat_total))
+    df = df.withColumn("_cat_total", F.sum("total_quantity").over(Window.partitionBy("category")))
+    return (df.withColumn("volume_share_within_category", share_pct("total_quantity", "_cat_total"))
+            .drop("_cat_total")
             .withColumn("total_revenue", from_cents("rev_cents")).drop("rev_cents")
             .orderBy("category", level_position("size", SIZE_ORDER)))
 

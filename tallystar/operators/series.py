@@ -198,7 +198,10 @@ def decompose(series: DataFrame, value: str = "total_orders", period: int = 7,
         w = F.when(F.col("_h") <= 0, F.lit(1.0)).when(u < 1, (1 - u * u) * (1 - u * u)).otherwise(0.0)
         # One median per series: joined per key, or a scalar subquery for a single series.
         df = df.join(B(h), list(keys), "left") if keys else df.withColumn("_h", h.scalar())
-        df = components(df.withColumn("_w", w).select(*keys, "date_id", "observed", "_pos", "_w"))
+        # Each robust round reads the previous one several times: cut the
+        # (calendar-sized) lineage so rounds do not re-plan their ancestors.
+        df = components(cut_lineage(df.withColumn("_w", w)
+                                    .select(*keys, "date_id", "observed", "_pos", "_w")))
     return (df.select(*keys, "date_id", "observed",
                       *[F.round(c, digits).alias(c) for c in ("trend", "seasonal", "remainder")])
             .orderBy(*keys, "date_id"))
