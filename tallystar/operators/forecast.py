@@ -115,7 +115,7 @@ def future_frame(train: DataFrame, periods: int = 44, value: str | None = None,
 
 
 def fit(frame: DataFrame, holidays: DataFrame, value: str = "y", keys: Sequence[str] = (),
-        interval: float = 0.90) -> dict:
+        interval: float = 0.90, materialize: bool = True) -> dict:
     """Fit on the history rows of ``frame`` and predict every row of it.
 
     All per-series and per-weekday sums are window aggregates over the same
@@ -163,11 +163,13 @@ def fit(frame: DataFrame, holidays: DataFrame, value: str = "y", keys: Sequence[
     pred = (df.withColumn("yhat", yhat)
             .withColumn("yhat_lower", yhat - F.lit(z) * F.col("sigma"))
             .withColumn("yhat_upper", yhat + F.lit(z) * F.col("sigma")))
-    # The fitted frame (series x days) feeds the prediction and four
-    # parameter tables; checkpoint it so the windows run once.
-    pred = cut_lineage(pred.select(*k, "date_id", "is_future", "day_name", "_obs", "origin", "a",
-                                   "b", "w", "sigma", "trend", "weekly", "holidays", "yhat",
-                                   "yhat_lower", "yhat_upper"))
+    pred = pred.select(*k, "date_id", "is_future", "day_name", "_obs", "origin", "a", "b", "w",
+                       "sigma", "trend", "weekly", "holidays", "yhat", "yhat_lower", "yhat_upper")
+    if materialize:
+        # The fitted frame (series x days) feeds the prediction and four
+        # parameter tables; write it once so the windows run once. Callers
+        # that only read the predictions can skip this.
+        pred = cut_lineage(pred)
     params = pred.filter("_obs")
     return {
         "pred": pred.select(*k, "date_id", "is_future", "day_name", "trend", "weekly", "holidays",

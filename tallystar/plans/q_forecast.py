@@ -83,7 +83,7 @@ plan2 AS (SELECT *, {xround("CAST(yhat_upper AS BIGINT) * 95000", "1000000", 0,
                       AS peak_hour_orders FROM plan)"""
 
 
-def _pipeline(spark, sf):
+def _pipeline(spark, sf, params: bool = False):
     fact = star(spark, sf).fact
     # The daily series feeds every branch of the model. Column pruning makes
     # the branches differ, so Spark would not reuse one exchange for all of
@@ -92,7 +92,7 @@ def _pipeline(spark, sf):
     train = forecast.training_window(ser, HOLDOUT)
     hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, HOLDOUT + HORIZON))
     frame = forecast.future_frame(train, HOLDOUT + HORIZON, value="total_orders")
-    model = forecast.fit(frame, hol, value="total_orders")
+    model = forecast.fit(frame, hol, value="total_orders", materialize=params)
     return ser, train, hol, model, frame, forecast.predict(model)
 
 
@@ -113,7 +113,7 @@ UNION ALL SELECT 'weekday', day_name, round(effect, 6) FROM wk
 UNION ALL SELECT 'holiday', holiday, round(effect, 6) FROM hol
 UNION ALL SELECT 'sigma', NULL, round(sigma, 6) FROM sig""", FC_CTES))
 def _fit(spark, sf):
-    return forecast.model_table(_pipeline(spark, sf)[3], keys=[])
+    return forecast.model_table(_pipeline(spark, sf, params=True)[3], keys=[])
 
 
 @query("future_frame", "H", with_star("SELECT date_id, date_id > hi AS is_future FROM frame", FC_CTES))
