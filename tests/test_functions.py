@@ -67,3 +67,30 @@ def test_strip_the(spark):
     df = spark.createDataFrame([("The Hawaiian",), ("Theory",), ("Pepperoni",)], "s string")
     assert [r.s for r in df.select(scalar.strip_the("s").alias("s")).collect()] == \
         ["Hawaiian", "Theory", "Pepperoni"]
+
+
+def test_iso_week_vs_calendar_year(spark):
+    """P12: 2016-01-01 is ISO week 53 of 2015; the reference pairs it with calendar year 2016."""
+    from tallystar.operators import series
+    from tallystar.sources.testdata import dim_date_from_dates
+    import decimal
+
+    dates = spark.createDataFrame([(dt.date(2016, 1, 1),), (dt.date(2016, 1, 4),)], "date_id date")
+    dd = dim_date_from_dates(dates)
+    fact = spark.createDataFrame([(1, dt.date(2016, 1, 1), 1, decimal.Decimal("10.00")),
+                                  (2, dt.date(2016, 1, 4), 2, decimal.Decimal("5.00"))],
+                                 "order_id long, date_id date, quantity int, total_price decimal(12,2)")
+    cal = {(r.year, r.week) for r in series.weekly_series(fact, dd).collect()}
+    iso = {(r.iso_year, r.week) for r in series.weekly_series(fact, dd, iso_year=True).collect()}
+    assert cal == {(2016, 53), (2016, 1)}
+    assert iso == {(2015, 53), (2016, 1)}
+
+
+def test_rate_labels(spark):
+    from decimal import Decimal
+    from pyspark.sql import functions as F
+    from tallystar.operators.sales import rate_label
+
+    df = spark.createDataFrame([(Decimal("0.05"),), (Decimal("0.10"),), (Decimal("0.125"),)],
+                               "r decimal(5,4)")
+    assert [r.l for r in df.select(rate_label(F.col("r")).alias("l")).collect()] == ["5%", "10%", "12.5%"]
