@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallystar.operators import forecast, sales, series
 from tallystar.plans.oracle_sql import with_star, xround
 from tallystar.plans.registry import query
@@ -175,3 +177,15 @@ WHERE rn = 1"""))
 def _peak(spark, sf):
     s = star(spark, sf)
     return forecast.peak_ratio(sales.sales_by_hour(s.fact, s.dim_time))
+
+
+@query("forecast_predict_yearly", "H")
+def _predict_yearly(spark, sf):
+    # Variant with yearly Fourier seasonality (MLlib least squares); no SQL
+    # oracle (a 30-regressor solve), checked on a synthetic series in pytest.
+    ser, train, hol, _, frame, _ = _pipeline(spark, sf)
+    pred = forecast.fit_yearly(frame, hol, value="total_orders")
+    end = ser.agg(F.max("date_id")).scalar()
+    return (pred.filter(F.col("date_id") > end)
+            .select("date_id", "day_name", *[F.round(c, 4).alias(c)
+                                             for c in ("yhat", "yhat_lower", "yhat_upper")]))
