@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tallystar.functions.scalar import (day_name, iso_weekday, meal_period,
                                         month_name)
 
-# Fixed binding constants (shared with the DuckDB oracle text in plans/oracle.py).
+# Fixed binding constants (the DuckDB oracle text in plans/oracle_sql.py states the same).
 SIZE_UPPER = [(10, "S"), (20, "M"), (30, "L"), (40, "XL")]   # p_size <= bound
 SIZE_MULTIPLIER = {"S": "0.80", "M": "1.00", "L": "1.25", "XL": "1.60", "XXL": "2.20"}
 OPEN_SECONDS = 32400          # 09:00:00
@@ -86,11 +86,12 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
 
     Plan shape: lineitem joins orders on the order key (sort-merge on both
     big sides; AQE splits a hot key) and joins the part -> SKU map on the part
-    key. The SKU table is a product x size aggregate, so it is broadcast.
+    key. The SKU table (product x size) carries no hint: it is broadcast when
+    Spark's size check says it is small, as it is for any menu-sized catalogue.
     """
     sku = sku if sku is not None else dim_sku(part)
     part_sku = (part_sizes(part).drop("p_retailprice")
-                .join(F.broadcast(sku), ["product_id", "size"])
+                .join(sku, ["product_id", "size"])
                 .select("p_partkey", "sku_id", "product_id", "price"))
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     od = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("date_id"))
