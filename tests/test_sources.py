@@ -4,7 +4,6 @@ import datetime as dt
 import decimal
 import os
 
-from pyspark.sql import functions as F
 
 from tallystar.operators import audit, sales, warehouse
 from tallystar.sources import csv, tables
