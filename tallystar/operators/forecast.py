@@ -128,26 +128,25 @@ def fit(frame: DataFrame, holidays: DataFrame, value: str = "y", keys: Sequence[
     W = Window.partitionBy(*k)
     Wd = Window.partitionBy(*k, "day_name")
     obs = (~F.col("is_future")) & F.col(value).isNotNull()
-    df = (df.withColumn("day_name", day_name("date_id"))
-          .withColumn("_obs", obs)
-          .withColumn("yv", F.when(obs, F.col(value).cast("double")))
-          .withColumn("origin", F.min(F.when(obs, F.col("date_id"))).over(W))
-          .withColumn("t", F.datediff("date_id", "origin").cast("double")))
+    # Grouped projections (withColumns) keep the plan to a few analysis steps.
+    df = df.withColumns({"day_name": day_name("date_id"), "_obs": obs,
+                         "yv": F.when(obs, F.col(value).cast("double"))})
+    df = df.withColumn("origin", F.min(F.when(F.col("_obs"), F.col("date_id"))).over(W))
+    df = df.withColumn("t", F.datediff("date_id", "origin").cast("double"))
     t, yv = F.col("t"), F.col("yv")
     one = F.when(F.col("_obs"), F.lit(1.0))
     tt = F.when(F.col("_obs"), t)
-    df = (df.withColumn("_n", F.sum(one).over(W)).withColumn("_st", F.sum(tt).over(W))
-          .withColumn("_sy", F.sum(yv).over(W)).withColumn("_stt", F.sum(tt * tt).over(W))
-          .withColumn("_sty", F.sum(tt * yv).over(W))
-          .withColumn("_nk", F.sum(one).over(Wd)).withColumn("_stk", F.sum(tt).over(Wd))
-          .withColumn("_syk", F.sum(yv).over(Wd)))
+    df = df.withColumns({"_n": F.sum(one).over(W), "_st": F.sum(tt).over(W),
+                         "_sy": F.sum(yv).over(W), "_stt": F.sum(tt * tt).over(W),
+                         "_sty": F.sum(tt * yv).over(W), "_nk": F.sum(one).over(Wd),
+                         "_stk": F.sum(tt).over(Wd), "_syk": F.sum(yv).over(Wd)})
     n, st, sy, stt, sty = (F.col(c) for c in ("_n", "_st", "_sy", "_stt", "_sty"))
     den = n * stt - st * st
-    df = (df.withColumn("b", F.when(den != 0, (n * sty - st * sy) / den).otherwise(0.0))
-          .withColumn("a", (sy - F.col("b") * st) / n)
-          .withColumn("w", (F.col("_syk") - F.col("a") * F.col("_nk") - F.col("b") * F.col("_stk"))
-                      / F.col("_nk"))
-          .withColumn("r1", yv - F.col("a") - F.col("b") * t - F.coalesce("w", F.lit(0.0))))
+    df = df.withColumn("b", F.when(den != 0, (n * sty - st * sy) / den).otherwise(0.0))
+    df = df.withColumn("a", (sy - F.col("b") * st) / n)
+    df = df.withColumn("w", (F.col("_syk") - F.col("a") * F.col("_nk") - F.col("b") * F.col("_stk"))
+                       / F.col("_nk"))
+    df = df.withColumn("r1", yv - F.col("a") - F.col("b") * t - F.coalesce("w", F.lit(0.0)))
     # Holiday effects: mean residual per (series, holiday) over history days.
     hol = (df.filter("_obs").select(*k, "date_id", "r1").join(F.broadcast(holidays), "date_id")
            .groupBy(*k, "holiday").agg(F.round(F.avg("r1"), 9).alias("effect")))
@@ -155,14 +154,14 @@ def fit(frame: DataFrame, holidays: DataFrame, value: str = "y", keys: Sequence[
             .agg(F.sum("effect").alias("_h")))
     z = NormalDist().inv_cdf(0.5 + interval / 2.0)
     df = (df.join(F.broadcast(hsum), [*k, "date_id"], "left")
-          .withColumn("holidays", F.coalesce("_h", F.lit(0.0)))
-          .withColumn("sigma", F.round(F.stddev_samp(F.col("r1") - F.col("holidays")).over(W), 9))
-          .withColumn("weekly", F.coalesce("w", F.lit(0.0)))
-          .withColumn("trend", F.col("a") + F.col("b") * t))
-    yhat = F.col("trend") + F.col("weekly") + F.col("holidays")
-    pred = (df.withColumn("yhat", yhat)
-            .withColumn("yhat_lower", yhat - F.lit(z) * F.col("sigma"))
-            .withColumn("yhat_upper", yhat + F.lit(z) * F.col("sigma")))
+          .withColumns({"holidays": F.coalesce("_h", F.lit(0.0)),
+                        "weekly": F.coalesce("w", F.lit(0.0)),
+                        "trend": F.col("a") + F.col("b") * t}))
+    df = df.withColumns({
+        "sigma": F.round(F.stddev_samp(F.col("r1") - F.col("holidays")).over(W), 9),
+        "yhat": F.col("trend") + F.col("weekly") + F.col("holidays")})
+    pred = df.withColumns({"yhat_lower": F.col("yhat") - F.lit(z) * F.col("sigma"),
+                           "yhat_upper": F.col("yhat") + F.lit(z) * F.col("sigma")})
     pred = pred.select(*k, "date_id", "is_future", "day_name", "_obs", "origin", "a", "b", "w",
                        "sigma", "trend", "weekly", "holidays", "yhat", "yhat_lower", "yhat_upper")
     if materialize:
@@ -241,25 +240,31 @@ def components(pred: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 def staffing(fc: DataFrame, peak_ratio: float = PEAK_HOUR_RATIO,
              per_staff: int = ORDERS_PER_STAFF_HOUR, keys: Sequence[str] = ()) -> DataFrame:
     """Upper bound -> peak-hour orders -> people, with half-even rounding
-    done on exact integers (ten-thousandths of an order)."""
-    upper_e4 = F.greatest(_e4("yhat_upper"), F.lit(0))
-    upper = exact_round(upper_e4, F.lit(10000), 0, "half_even")
+    done on exact integers (ten-thousandths of an order). Each step is its
+    own projection over the previous column, so expressions stay small."""
     ratio_e6 = int(round(peak_ratio * 1_000_000))
-    peak = exact_round(upper.cast("long") * ratio_e6, F.lit(1_000_000), 0, "half_even")
-    return fc.select(*keys, "date_id", day_name("date_id").alias("day_name"),
-                     "yhat", "yhat_lower", upper.alias("yhat_upper"),
-                     peak.alias("peak_hour_orders"),
-                     F.ceil(peak / F.lit(float(per_staff))).cast("int").alias("staff_needed"))
+    return (fc.withColumn("_upper_e4", F.greatest(_e4("yhat_upper"), F.lit(0)))
+            .withColumn("yhat_upper", exact_round("_upper_e4", F.lit(10000), 0, "half_even"))
+            .withColumn("peak_hour_orders",
+                        exact_round(F.col("yhat_upper").cast("long") * ratio_e6,
+                                    F.lit(1_000_000), 0, "half_even"))
+            .select(*keys, "date_id", day_name("date_id").alias("day_name"),
+                    "yhat", "yhat_lower", "yhat_upper", "peak_hour_orders",
+                    F.ceil(F.col("peak_hour_orders") / F.lit(float(per_staff))).cast("int")
+                    .alias("staff_needed")))
 
 
 def report(plan: DataFrame) -> DataFrame:
     """The exported staffing report: renamed columns, forecasts to 1 decimal."""
-    one = lambda c: exact_round(_e4(c), F.lit(1000), 0, "half_even") / 10.0
-    return plan.select(F.col("date_id").alias("date"), "day_name",
-                       one("yhat").alias("forecast_orders"), one("yhat_lower").alias("forecast_lower"),
-                       one("yhat_upper").alias("forecast_upper"),
-                       F.col("peak_hour_orders").alias("forecast_peak_hour_orders"),
-                       "staff_needed").orderBy("date")
+    cols = {c: f"_{c}_e4" for c in ("yhat", "yhat_lower", "yhat_upper")}
+    staged = plan.withColumns({e4: _e4(c) for c, e4 in cols.items()})
+    one = {c: exact_round(e4, F.lit(1000), 0, "half_even") / 10.0 for c, e4 in cols.items()}
+    return staged.select(F.col("date_id").alias("date"), "day_name",
+                         one["yhat"].alias("forecast_orders"),
+                         one["yhat_lower"].alias("forecast_lower"),
+                         one["yhat_upper"].alias("forecast_upper"),
+                         F.col("peak_hour_orders").alias("forecast_peak_hour_orders"),
+                         "staff_needed").orderBy("date")
 
 
 def peak_ratio(hourly: DataFrame) -> DataFrame:
