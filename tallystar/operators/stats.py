@@ -50,13 +50,13 @@ def chi2_sf(x: Column, df: Column) -> Column:
     first = F.sqrt(half) / (F.lit(math.sqrt(math.pi)) / 2.0)
     odd = _erfc(F.sqrt(half)) + F.exp(-half) * _series(first, m_odd,
                                                        lambda i: half / (i.cast("double") + 0.5))
-    return F.when(x.isNull() | df.isNull(), F.lit(None).cast("double")) \
+    return F.when(x.isNull() | df.isNull() | (df < 1), F.lit(None).cast("double")) \
         .when(df % 2 == 0, even).otherwise(odd)
 
 
 def sig_digits(c: Column, digits: int = 5) -> Column:
     """Keep ``digits`` significant digits (p-values span many magnitudes)."""
-    return F.format_string(f"%.{digits - 1}e", c).cast("double")
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
 def kruskal(df: DataFrame, value: str, group: str, test: str = "kruskal_wallis",
@@ -74,8 +74,12 @@ def kruskal(df: DataFrame, value: str, group: str, test: str = "kruskal_wallis",
     st = per_group.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
                        F.sum(F.col("rs") * F.col("rs") / F.col("n")).alias("s"))
     N = F.col("N")
-    h = ((F.lit(12.0) / (N * (N + 1.0)) * F.col("s") - F.lit(3.0) * (N + 1.0))
-         / (F.lit(1.0) - ties / (N * N * N - N)))
+    # Degenerate inputs (fewer than two rows, or every value tied) have no
+    # statistic; R reports NaN, here it is NULL instead of a division by zero.
+    n3 = N * N * N - N
+    corr = F.when(n3 > 0, F.lit(1.0) - ties / F.when(n3 > 0, n3))
+    h = F.when(corr > 0, (F.lit(12.0) / (N * (N + 1.0)) * F.col("s") - F.lit(3.0) * (N + 1.0))
+               / F.when(corr > 0, corr))
     out = st.select(F.lit(test).alias("test"), F.round(h, 6).alias("statistic"),
                     (F.col("k") - 1).cast("int").alias("df"),
                     N.cast("long").alias("n"), F.col("k").cast("long").alias("groups"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The raw files' column layout (names and order as exported).
 PRODUCT_SCHEMA = "pizza_type_id string, name string, category string, ingredients string"
 SKU_SCHEMA = "pizza_id string, pizza_type_id string, size string, price decimal(6,2)"
 ORDER_SCHEMA = "order_id int, date string, time string"

@@ -61,3 +61,12 @@ def test_kruskal_is_rank_invariant(spark):
     a = spark.createDataFrame(data, "v long, g string")
     b = spark.createDataFrame([(v * v * 3 + 7, g) for v, g in data], "v long, g string")
     assert stats.kruskal(a, "v", "g").first().statistic == stats.kruskal(b, "v", "g").first().statistic
+
+
+def test_kruskal_degenerate_inputs_are_null(spark):
+    tied = spark.createDataFrame([(5, "a"), (5, "b"), (5, "a")], "v long, g string")
+    row = stats.kruskal(tied, "v", "g").first()
+    assert row.statistic is None and row.p_value is None and row.significant is None
+    one_group = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "v long, g string")
+    row = stats.kruskal(one_group, "v", "g").first()
+    assert row.df == 0 and row.p_value is None
