@@ -324,10 +324,13 @@ def upsell_base(dim_product: DataFrame, dim_sku: DataFrame, fact: DataFrame,
         df = df.withColumn("upsell_revenue",
                            F.round(F.col("medium_quantity_sold") * F.lit(Decimal(rate)) * gap, 2)
                            .cast("double"))
+    # With a rate: the report columns. Without: also the exact DECIMAL gap,
+    # which the scenario sums need.
+    extra = [F.col("upsell_revenue")] if rate is not None else [F.col("price_gap").alias("price_gap_dec")]
     return (df.select("name", "category", money("m_price").alias("medium_price"),
                       money("l_price").alias("large_price"), money("price_gap").alias("price_gap"),
-                      "medium_quantity_sold", *(["upsell_revenue"] if rate is not None else []))
-            .orderBy(*( [F.desc("upsell_revenue")] if rate is not None else []), "name"))
+                      "medium_quantity_sold", *extra)
+            .orderBy(*([F.desc("upsell_revenue")] if rate is not None else []), "name"))
 
 
 def upsell_base_from_sales(fact: DataFrame, dim_sku: DataFrame, dim_product: DataFrame,
@@ -381,8 +384,8 @@ def upsell_scenarios(base: DataFrame, rates: Sequence[str] = DEFAULT_RATES,
 
 def upsell_base_exact(dim_product: DataFrame, dim_sku: DataFrame, fact: DataFrame,
                       frm: str = "M", to: str = "L") -> DataFrame:
-    base = upsell_base(dim_product, dim_sku, fact, frm, to, rate=None)
-    return base.withColumn("price_gap_dec", F.col("price_gap").cast("decimal(10,2)"))
+    """Upsell base with the exact DECIMAL price gap kept for scenario sums."""
+    return upsell_base(dim_product, dim_sku, fact, frm, to, rate=None)
 
 
 # --------------------------------------------------------------------- D14
