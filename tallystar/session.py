@@ -8,6 +8,7 @@ shared checkpoint folder from whatever session the cluster hands us.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,24 +45,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster configured.
 
-    Only when nothing is configured (local tests, the bench) do we pick a
-    fresh scratch folder of our own; on a cluster the setting is always
-    read from the session, never replaced.
+    The setting is always read from the session. Only a single-machine
+    session (tests, the bench) that has none gets a scratch folder of its
+    own; a cluster session without one is an error, because executors could
+    not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    scratch = tempfile.mkdtemp(prefix="tallystar-ckpt-")
-    sc.setCheckpointDir(scratch)
-    return sc.getCheckpointDir() or scratch
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current:
+        if not re.match(r"local(\[|$)", sc.master or ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="tallystar-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in the shared checkpoint folder, removed when the
+    application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
+    return path
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def cut_lineage(df):
-    """Materialise a small intermediate (a daily series, a fitted frame) as a
-    parquet table in the shared checkpoint folder and continue from it.
+    """Materialise an intermediate as a parquet table in the shared
+    checkpoint folder and continue from it.
 
     Used where one intermediate feeds several branches of a plan: the
     upstream (a scan and aggregate of the fact, a chain of windows) then runs
@@ -70,7 +87,6 @@ def cut_lineage(df):
     uncached frame would compute it twice); ``localCheckpoint`` is never used.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/cut-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
