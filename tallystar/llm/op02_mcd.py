@@ -42,10 +42,10 @@ MIN_GROUP = 200           # fewer rows: the language's estimate
 MAX_STEPS = 12
 TOLERANCE = 1e-4          # stop when no group's log determinant falls by more
 BINS = 4096               # distance bins per group
-CUTOFF_Z = 6.0            # standard normal quantile of the rejection limit
+CUTOFF_Z = 5.0            # standard normal quantile of the rejection limit
 # Added to the variance of each statistic, in the order of FEATURES.
 FEATURES = ("length", "word_length", "symbols", "dup_lines", "repeats", "upper")
-RIDGE = (0.25, 0.01, 0.004, 0.02, 0.02, 0.01)
+RIDGE = (0.25, 0.01, 0.002, 0.02, 0.02, 0.01)
 P = len(FEATURES)
 
 STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, "
