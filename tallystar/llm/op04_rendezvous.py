@@ -10,8 +10,9 @@ All steps are built-in expressions. Slots (a gapless number inside each
 shard) come from prefix sums: rows with the same key, size and checksum are
 interchangeable and are first counted together with map-side aggregation, so
 one key holding a third of all rows becomes one row; distinct keys are dealt
-over hash buckets and ranked inside (shard, bucket); a table of at most
-shards x ``SLOT_BUCKETS`` totals gives the offsets.
+over hash buckets and ranked inside (shard, bucket); the offsets come from
+about ``SLOT_GROUPS`` totals, a bound that holds at any input size, so they
+are broadcast. The counted keys are written once and read by both branches.
 
 Null keys are one key of their own (the empty one); null texts have size 1
 and checksum 0; empty tables give empty results; repeated rows get slots of
@@ -24,9 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
-SLOT_BUCKETS = 4096
+SLOT_GROUPS = 1 << 15     # (shard, bucket) groups; at most one per shard more
 SHARDS = 8
 
 
@@ -44,18 +46,19 @@ def shard_of(key: Column, weights: list[float]) -> Column:
     return F.array_min(F.array(*best))["shard"]
 
 
-def assign(records: DataFrame, key: str, text: str, weights: list[float],
-           buckets: int = SLOT_BUCKETS) -> DataFrame:
+def assign(records: DataFrame, key: str, text: str, weights: list[float]) -> DataFrame:
     """key, size, text_crc32, shard, slot and the shard under one more shard
     of the mean weight (grown_shard); one row per record."""
     more = [*weights, sum(weights) / len(weights)]
+    buckets = max(1, SLOT_GROUPS // len(weights))
     rows = records.select(
         F.col(key).alias("key"),
         (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long").alias("size"),
         F.coalesce(F.crc32(F.col(text).cast("binary")), F.lit(0)).cast("long").alias("crc"))
-    alike = (rows.groupBy("key", "size", "crc").agg(F.count("*").alias("copies"))
-             .withColumn("shard", shard_of(F.col("key"), weights))
-             .withColumn("bucket", F.pmod(F.xxhash64("key", "size", "crc"), F.lit(buckets)).cast("int")))
+    alike = cut_lineage(
+        rows.groupBy("key", "size", "crc").agg(F.count("*").alias("copies"))
+        .withColumn("shard", shard_of(F.col("key"), weights))
+        .withColumn("bucket", F.pmod(F.xxhash64("key", "size", "crc"), F.lit(buckets)).cast("int")))
     inside = W.partitionBy("shard", "bucket").orderBy("key", "size", "crc")
     ranked = alike.withColumn("before", F.sum("copies").over(inside.rowsBetween(W.unboundedPreceding, -1)))
     totals = alike.groupBy("shard", "bucket").agg(F.sum("copies").alias("n"))
@@ -64,7 +67,7 @@ def assign(records: DataFrame, key: str, text: str, weights: list[float],
         F.coalesce(F.sum("n").over(W.partitionBy("shard").orderBy("bucket")
                                    .rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     first = F.col("offset") + F.coalesce(F.col("before"), F.lit(0))
-    return (ranked.join(offsets, ["shard", "bucket"])
+    return (ranked.join(F.broadcast(offsets), ["shard", "bucket"])
             .select("key", "size", "crc", "shard",
                     F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("slot"))
             .select("key", "size", F.col("crc").alias("text_crc32"), "shard", "slot",

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock)
+from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op10_nbsvm)
 
 QUERIES = {
     "op1_suffix_automaton": op01_automaton.query,
     "op2_mcd_outliers": op02_mcd.query,
     "op4_rendezvous": op04_rendezvous.query,
     "op5_line_blocks": op05_lineblock.query,
+    "op10_nbsvm": op10_nbsvm.query,
 }
 
 # None of these can be written in SQL that runs on whole tables; each is
