@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op10_nbsvm)
+from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op08_weak_pii,
+                           op10_nbsvm)
 
 QUERIES = {
     "op1_suffix_automaton": op01_automaton.query,
     "op2_mcd_outliers": op02_mcd.query,
     "op4_rendezvous": op04_rendezvous.query,
     "op5_line_blocks": op05_lineblock.query,
+    "op8_weak_pii": op08_weak_pii.query,
     "op10_nbsvm": op10_nbsvm.query,
 }
 
