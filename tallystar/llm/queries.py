@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op08_weak_pii,
+from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op06_gear_chunks, op08_weak_pii,
                            op10_nbsvm)
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_mcd_outliers": op02_mcd.query,
     "op4_rendezvous": op04_rendezvous.query,
     "op5_line_blocks": op05_lineblock.query,
+    "op6_gear_chunks": op06_gear_chunks.query,
     "op8_weak_pii": op08_weak_pii.query,
     "op10_nbsvm": op10_nbsvm.query,
 }
