@@ -68,6 +68,14 @@ def prefix_hash(data: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def prefix_hash_codes(codes: np.ndarray) -> np.ndarray:
+    """``prefix_hash`` of a sequence given by its codes."""
+    up, _ = powers(len(codes) + 1)
+    out = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(codes * up[:len(codes)], out=out[1:])
+    return out
+
+
 def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end], the same wherever the bytes stand."""
     _, down = powers(len(prefix))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op06_gear_chunks, op08_weak_pii,
+from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op06_gear_chunks, op07_gumbel_pieces,
+                           op08_weak_pii,
                            op10_nbsvm)
 
 QUERIES = {
@@ -11,6 +12,7 @@ QUERIES = {
     "op4_rendezvous": op04_rendezvous.query,
     "op5_line_blocks": op05_lineblock.query,
     "op6_gear_chunks": op06_gear_chunks.query,
+    "op7_gumbel_pieces": op07_gumbel_pieces.query,
     "op8_weak_pii": op08_weak_pii.query,
     "op10_nbsvm": op10_nbsvm.query,
 }
