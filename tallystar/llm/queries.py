@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op06_gear_chunks, op07_gumbel_pieces,
-                           op08_weak_pii,
+                           op08_weak_pii, op09_partenum,
                            op10_nbsvm)
 
 QUERIES = {
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_gear_chunks": op06_gear_chunks.query,
     "op7_gumbel_pieces": op07_gumbel_pieces.query,
     "op8_weak_pii": op08_weak_pii.query,
+    "op9_partenum": op09_partenum.query,
     "op10_nbsvm": op10_nbsvm.query,
 }
 
