@@ -119,7 +119,7 @@ def redundant(found: DataFrame) -> DataFrame:
     repeated = (found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                 .where(F.col("first") != F.col("last")).drop("last"))
     return (found.join(repeated, ["d1", "d2"]).where(place != F.col("first"))
-            .groupBy("row").agg(F.collect_set(F.struct("start", "size")).alias("extra")))
+            .groupBy("row").agg(F.collect_set(F.struct("start", "size")).alias("__extra")))
 
 
 def spans_of(extra, min_span: int = MIN_SPAN) -> list[tuple[int, int]]:
@@ -153,7 +153,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", column
     found = cut_lineage(chunks(named, text, "__row"))
     joined = named.join(redundant(found).withColumnRenamed("row", "__row"), "__row", "left")
     cut = F.pandas_udf(_cut, "n_bytes long, n_removed long, n_spans long, text string")
-    return joined.withColumn(column, cut(F.col(text), F.col("extra"))).select(*docs.columns, column)
+    return joined.withColumn(column, cut(F.col(text), F.col("__extra"))).select(*docs.columns, column)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from tallystar.llm import (op01_automaton, op02_mcd, op04_rendezvous, op05_lineblock, op06_gear_chunks, op07_gumbel_pieces,
-                           op08_weak_pii, op09_partenum,
-                           op10_nbsvm)
+import corpus_pipeline
+from tallystar.llm import (op01_automaton, op02_mcd, op03_prefix_ranks, op04_rendezvous,
+                           op05_lineblock, op06_gear_chunks, op07_gumbel_pieces, op08_weak_pii,
+                           op09_partenum, op10_nbsvm)
 
 QUERIES = {
     "op1_suffix_automaton": op01_automaton.query,
     "op2_mcd_outliers": op02_mcd.query,
+    "op3_prefix_ranks": op03_prefix_ranks.query,
     "op4_rendezvous": op04_rendezvous.query,
     "op5_line_blocks": op05_lineblock.query,
     "op6_gear_chunks": op06_gear_chunks.query,
@@ -16,6 +18,7 @@ QUERIES = {
     "op8_weak_pii": op08_weak_pii.query,
     "op9_partenum": op09_partenum.query,
     "op10_nbsvm": op10_nbsvm.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 # None of these can be written in SQL that runs on whole tables; each is
