@@ -234,36 +234,42 @@ def _uniform(seed: np.ndarray) -> np.ndarray:
 
 
 class _Sample:
-    """One segmentation of one text: edges, and for each step the log arrival
-    time of the set that differs there (inf: owned by an earlier sample)."""
-
-    __slots__ = ("edges", "word", "logp", "open", "barred")
-
-    def __init__(self, edges, word, logp):
-        self.edges, self.word, self.logp = edges, word, logp
-        self.open = None
-        self.barred: dict[int, list[int]] = {}
-
-
-def _open_sets(sample: _Sample, lattice: Lattice, from_step: int, log_time: float, seed: np.uint64) -> None:
-    """Arrival times of the sets that leave ``sample`` at from_step or later.
-    Sets of mass below exp(-NEGLIGIBLE) never arrive."""
-    before = np.cumsum(sample.logp)
-    steps = max(int(np.searchsorted(-before, NEGLIGIBLE)) + 1, from_step + 1)
-    lp = sample.logp[:steps]
-    before = before[:steps] - lp
+    """One segmentation of one text: its edges, the word of each, and the log
+    arrival times of the sets that differ from it first at step ``since``,
+    ``since`` + 1 and so on. ``barred``: edges already taken at step ``since``."""
+
+    __slots__ = ("edges", "word", "logp", "open", "since", "barred")
+
+    def __init__(self, edges, word, since, barred):
+        self.edges, self.word, self.since, self.barred = edges, word, since, barred
+
+
+def _open_sets(samples: list[_Sample], lattice: Lattice, log_time: np.ndarray, seed: np.ndarray) -> None:
+    """Set ``logp`` and ``open`` of one new sample per text. Sets of mass below
+    exp(-NEGLIGIBLE) never arrive."""
+    size = np.array([len(s.edges) for s in samples])
+    bound = np.concatenate(([0], np.cumsum(size)))
+    lp = np.log(lattice.p[np.concatenate([s.edges for s in samples])])
+    total = np.concatenate(([0.0], np.cumsum(lp)))
+    before = total[:-1] - np.repeat(total[bound[:-1]], size)
+    step = np.arange(len(lp)) - np.repeat(bound[:-1], size)
+    since = np.array([s.since for s in samples])
+    kept = np.flatnonzero((before > -NEGLIGIBLE) & (step >= np.repeat(since, size)))
+    owner = np.repeat(np.arange(len(samples)), size)[kept]
+    cut = np.searchsorted(owner, np.arange(len(samples) + 1))
     with np.errstate(divide="ignore"):
-        mass = before + np.log(-np.expm1(lp))
-        for t, barred in sample.barred.items():
-            if t < len(lp):
-                node = _node(lattice, sample, t)
-                rest = 1.0 - float(lattice.p[barred].sum())
-                more = lattice.first[node + 1] - lattice.first[node] > len(barred)
-                mass[t] = before[t] + np.log(rest) if more and rest > 1e-15 else -np.inf
-        u = _uniform(seed + np.arange(len(mass), dtype=np.uint64) * BASE)
-        out = np.logaddexp(log_time, np.log(-np.log(u)) - mass)
-    out[:from_step] = np.inf
-    sample.open = out
+        mass = before[kept] + np.log(-np.expm1(lp[kept]))
+        for j, s in enumerate(samples):
+            if s.barred and cut[j] < cut[j + 1]:
+                node = _node(lattice, s, s.since)
+                rest = 1.0 - sum(float(lattice.p[e]) for e in s.barred)
+                more = lattice.first[node + 1] - lattice.first[node] > len(s.barred)
+                mass[cut[j]] = before[kept[cut[j]]] + np.log(rest) if more and rest > 1e-15 else -np.inf
+        u = _uniform(seed[owner] + step[kept].astype(np.uint64) * BASE)
+        arrival = np.logaddexp(log_time[owner], np.log(-np.log(u)) - mass)
+    for j, s in enumerate(samples):
+        s.logp = float(total[bound[j + 1]] - total[bound[j]])
+        s.open = arrival[cut[j]:cut[j + 1]]
 
 
 def _node(lattice: Lattice, sample: _Sample, t: int) -> int:
@@ -304,60 +310,52 @@ def sample_texts(trie: Trie, texts: list, seeds: np.ndarray, k: int) -> list[lis
     word_seed = mix64(doc_seed[doc] + place.astype(np.uint64) * BASE)
     words_of = np.append(np.searchsorted(doc, np.arange(len(which))), len(start))
 
-    who, edge = lattice.walk(entry, mix64(word_seed + np.uint64(1)))
+    who, edge = lattice.walk(entry, mix64(word_seed + np.uint64(1)))     # each text's best member
     bound = np.searchsorted(doc[who], np.arange(len(which) + 1))
-    logp = np.log(lattice.p[edge])
-    state = []
-    for d in range(len(which)):
-        a, b = bound[d], bound[d + 1]
-        s = _Sample(edge[a:b], who[a:b], logp[a:b])
-        log_time = float(np.log(-np.log(_uniform(doc_seed[d:d + 1] + np.uint64(2)))[0]))
-        _open_sets(s, lattice, 0, log_time, doc_seed[d] + np.uint64(3))
-        state.append([s])
+    state = [[_Sample(edge[a:b], who[a:b], 0, [])] for a, b in zip(bound[:-1], bound[1:])]
+    _open_sets([x[0] for x in state], lattice, np.log(-np.log(_uniform(doc_seed + np.uint64(2)))), doc_seed + np.uint64(3))
     for turn in range(1, k):
-        nodes, keys, parts = [], [], []
+        nodes, parts = [], []
+        draw = _uniform(doc_seed + np.uint64(turn * 1_000_003 + 11))
         for d, samples in enumerate(state):
             best = _earliest(samples)
             if best is None:
                 continue
             log_time, s, t = best
             node = _node(lattice, s, t)
-            lo, hi = int(lattice.first[node]), int(lattice.first[node + 1])
-            barred = s.barred.get(t, [int(s.edges[t])])
-            free = np.setdiff1d(np.arange(lo, hi), barred)
-            p = lattice.p[free]
-            seed = doc_seed[d] + np.uint64(turn * 1_000_003 + 11)
-            u = float(_uniform(np.array([seed], np.uint64))[0])
-            pick = int(free[min(int(np.searchsorted(np.cumsum(p), u * p.sum())), len(free) - 1)])
-            s.open[t] = np.inf
+            barred = s.barred if s.barred and t == s.since else [int(s.edges[t])]
+            free = [e for e in range(int(lattice.first[node]), int(lattice.first[node + 1])) if e not in barred]
+            p = lattice.p[free].tolist()
+            left, pick = draw[d] * sum(p), free[-1]
+            for e, mass in zip(free, p):
+                left -= mass
+                if left < 0:
+                    pick = e
+                    break
+            s.open[t - s.since] = np.inf
             word = int(s.word[t])
-            rest = np.arange(word, words_of[d + 1])
-            begin = entry[rest].copy()
+            begin = entry[word:words_of[d + 1]].copy()
             begin[0] = lattice.to[pick]
             nodes.append(begin)
-            keys.append(mix64(word_seed[rest] + np.uint64(turn * 7 + 1)))
             parts.append((d, s, t, pick, [*barred, pick], log_time, word))
         if not parts:
             break
-        who, edge = lattice.walk(np.concatenate(nodes), np.concatenate(keys))
         ahead = np.concatenate(([0], np.cumsum([len(x) for x in nodes])))
+        key = np.concatenate([word_seed[x[-1]:words_of[x[0] + 1]] for x in parts]) + np.uint64(turn * 7 + 1)
+        who, edge = lattice.walk(np.concatenate(nodes), mix64(key))
         cut = np.searchsorted(who, ahead)
-        for j, (d, s, t, pick, barred, log_time, first_word) in enumerate(parts):
+        fresh = []
+        for j, (d, s, t, pick, barred, log_time, word) in enumerate(parts):
             a, b = cut[j], cut[j + 1]
-            edges = np.concatenate((s.edges[:t], [pick], edge[a:b]))
-            word = np.concatenate((s.word[:t + 1], who[a:b] - ahead[j] + first_word))
-            fresh = _Sample(edges, word, np.log(lattice.p[edges]))
-            fresh.barred = {t: barred}
-            _open_sets(fresh, lattice, t, log_time, doc_seed[d] + np.uint64(turn * 999_983 + 5))
-            state[d].append(fresh)
+            fresh.append(_Sample(np.concatenate((s.edges[:t], [pick], edge[a:b])),
+                                 np.concatenate((s.word[:t + 1], who[a:b] - ahead[j] + word)), t, barred))
+            state[d].append(fresh[-1])
+        _open_sets(fresh, lattice, np.array([x[5] for x in parts]),
+                   doc_seed[[x[0] for x in parts]] + np.uint64(turn * 999_983 + 5))
     for d, samples in enumerate(state):
         last = _earliest(samples)
-        rows = []
-        for s in samples:
-            lp = float(s.logp.sum())
-            x = lp + last[0] if last is not None else np.inf
-            rows.append((lattice.id[s.edges], lp, _log_inclusion(x)))
-        out[which[d]] = rows
+        out[which[d]] = [(lattice.id[s.edges], s.logp, _log_inclusion(s.logp + last[0] if last else np.inf))
+                         for s in samples]
     return out
 
 
@@ -371,12 +369,13 @@ def _log_inclusion(x: float) -> float:
 
 
 def _earliest(samples: list[_Sample]):
+    """(log time, sample, step) of the first set on the agenda."""
     best = None
     for s in samples:
         if len(s.open):
-            t = int(np.argmin(s.open))
-            if np.isfinite(s.open[t]) and (best is None or s.open[t] < best[0]):
-                best = (float(s.open[t]), s, t)
+            j = int(s.open.argmin())
+            if s.open[j] < (best[0] if best else np.inf):
+                best = (float(s.open[j]), s, s.since + j)
     return best
 
 
