@@ -111,4 +111,4 @@ def from_cents(c: str | Column) -> Column:
 
 def share_pct(part: str | Column, total: str | Column, scale: int = 1) -> Column:
     """100 * part / total rounded half-up, for whole-number parts (units, cents)."""
-    return exact_round(col(part) * F.lit(100), total, scale)
+    return exact_round(col(part).cast("decimal(28,0)") * F.lit(100), total, scale)

@@ -187,7 +187,7 @@ def unsold_skus(dim_sku: DataFrame, dim_product: DataFrame, fact: DataFrame) ->
 # C13 ---------------------------------------------------------------------
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (df.agg(F.count(F.lit(1)).alias("total_rows"),
-                   F.countDistinct(*keys).alias("unique_ids"))
+                   F.countDistinct(F.struct(*keys)).alias("unique_ids"))
             .withColumn("duplicates", F.col("total_rows") - F.col("unique_ids"))
             .withColumn("status", _status(F.col("duplicates") == 0)))
 

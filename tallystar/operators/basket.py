@@ -60,6 +60,11 @@ def pair_support(items: DataFrame, dim_product: DataFrame) -> DataFrame:
                     "category_b", F.col("n").alias("orders_with_both")))
 
 
+def _wide(count: str):
+    """A count as DECIMAL(17,0): products of two stay exact past BIGINT."""
+    return F.col(count).cast("decimal(17,0)")
+
+
 def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -> DataFrame:
     """lift = n_ab * N / (n_a * n_b), rounded half-even to 3 decimals, support >= min.
 
@@ -81,8 +86,8 @@ def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -
              .filter(F.col("n") >= min_support)
              .join(sa, "item_a").join(sb, "item_b"))
     return (_label_pairs(pairs, index)
-            .withColumn("lift", exact_round(F.col("n") * F.col("n_orders"),
-                                            F.col("orders_a") * F.col("orders_b"), 3, "half_even"))
+            .withColumn("lift", exact_round(_wide("n") * _wide("n_orders"),
+                                            _wide("orders_a") * _wide("orders_b"), 3, "half_even"))
             .select("product_id_a", "name_a", "category_a", "product_id_b", "name_b", "category_b",
                     F.col("n").alias("orders_with_both"), "orders_a", "orders_b", "lift")
             .orderBy(F.desc("lift"), "name_a", "name_b"))

@@ -147,7 +147,7 @@ def pair_moments(rows: DataFrame, group_cols: Sequence[str], item_col: str,
     schema = "item_a long, item_b long, n long"
     if value_col:
         schema += ", " + ", ".join(f"{s} double" for s in _STATS)
-    staged = (rows.select(*cols)
+    staged = (rows.select(*cols).dropna(subset=list(group_cols))     # a NULL group holds no pair
               .repartition(*group_cols)
               .sortWithinPartitions(*group_cols))
     partial = staged.mapInPandas(

@@ -299,7 +299,8 @@ def fit_yearly(frame: DataFrame, holidays: DataFrame, value: str = "y", yearly_o
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
-    names = [h[0] for h in HOLIDAYS]
+    # One column per holiday of the table passed in (a list of names, not of days).
+    names = sorted(r[0] for r in holidays.select("holiday").distinct().collect())
     df = (frame.withColumn("_obs", (~F.col("is_future")) & F.col(value).isNotNull())
           .withColumn("day_name", day_name("date_id"))
           .withColumn("label", F.col(value).cast("double")))

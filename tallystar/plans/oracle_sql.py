@@ -28,19 +28,19 @@ dim_product AS (
   FROM (SELECT DISTINCT p_brand AS product_id FROM part) p),
 fact_sales AS (
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, CAST(o.o_orderdate AS DATE) AS date_id,
-         CAST(32400 + (l.l_orderkey*7919) % 50400 AS INT) AS time_id,
+         CAST(32400 + (o.o_orderkey*7919) % 50400 AS INT) AS time_id,
          k.sku_id, k.product_id, CAST(l.l_quantity AS INT) AS quantity, k.price AS unit_price,
          CAST(CAST(l.l_quantity AS INT) * k.price AS DECIMAL(12,2)) AS total_price
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN psize p ON l.l_partkey = p.p_partkey
-  JOIN dim_sku k ON k.product_id = p.product_id AND k.size = p.size),
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN psize p ON l.l_partkey = p.p_partkey
+  LEFT JOIN dim_sku k ON k.product_id = p.product_id AND k.size = p.size),
 dim_time AS (
   SELECT time_id, CAST(floor(time_id/3600) AS INT) AS hour,
          CAST(floor((time_id % 3600)/60) AS INT) AS minute,
          CASE WHEN time_id < 32400 THEN 'Late Night' WHEN time_id < 39600 THEN 'Morning'
               WHEN time_id < 54000 THEN 'Lunch' WHEN time_id < 64800 THEN 'Afternoon'
               WHEN time_id < 79200 THEN 'Dinner' ELSE 'Late Night' END AS meal_period
-  FROM (SELECT DISTINCT time_id FROM fact_sales) t),
+  FROM (SELECT DISTINCT CAST(32400 + (o_orderkey*7919) % 50400 AS INT) AS time_id FROM orders) t),
 dim_date AS (
   SELECT date_id, CAST(year(date_id) AS INT) AS year, CAST(quarter(date_id) AS INT) AS quarter,
          CAST(month(date_id) AS INT) AS month, monthname(date_id) AS month_name,

@@ -32,10 +32,9 @@ def read_skus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seconds_of_day(text) -> F.Column:
-    """'HH:mm:ss' -> seconds since midnight (NULL when unparsable)."""
-    parts = F.split(text, ":")
-    h, m, s = (F.element_at(parts, i).cast("int") for i in (1, 2, 3))
-    return (h * 3600 + m * 60 + F.coalesce(s, F.lit(0))).cast("int")
+    """'HH:mm:ss' or 'HH:mm' -> seconds since midnight (NULL when unparsable)."""
+    at = F.coalesce(F.try_to_timestamp(text, F.lit("HH:mm:ss")), F.try_to_timestamp(text, F.lit("HH:mm")))
+    return (F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)).cast("int")
 
 
 def read_orders(spark: SparkSession, path: str) -> DataFrame:

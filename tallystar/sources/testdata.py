@@ -80,14 +80,26 @@ def dim_product(part: DataFrame) -> DataFrame:
                  (F.substring("product_id", 7, 100).cast("int") % 4).cast("string")).alias("category"))
 
 
+def time_of_order(order_key) -> F.Column:
+    """Seconds of day of an order; NULL for an unknown order."""
+    return (F.lit(OPEN_SECONDS) + (order_key * TIME_HASH_MULTIPLIER) % OPEN_SPAN_SECONDS).cast("int")
+
+
+def order_times(orders: DataFrame) -> DataFrame:
+    """Distinct times of day of the order headers (orders without lines too)."""
+    return orders.select(time_of_order(F.col("o_orderkey")).alias("time_id")).distinct()
+
+
 def fact_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
                sku: DataFrame | None = None) -> DataFrame:
     """One row per order line.
 
     Plan shape: lineitem joins orders on the order key (sort-merge on both
     big sides; AQE splits a hot key) and joins the part -> SKU map on the part
-    key. The SKU table (product x size) carries no hint: it is broadcast when
-    Spark's size check says it is small, as it is for any menu-sized catalogue.
+    key. Both are LEFT joins, so lines of unknown orders or parts stay (with
+    NULL date, time and SKU) and the audits can see them. The SKU table (product
+    x size) carries no hint: it is broadcast when Spark's size check says it is
+    small, as it is for any menu-sized catalogue.
     """
     sku = sku if sku is not None else dim_sku(part)
     part_sku = (part_sizes(part).drop("p_retailprice")
@@ -96,13 +108,12 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, part: DataFrame,
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     od = orders.select(F.col("o_orderkey"), F.col("o_orderdate").cast("date").alias("date_id"))
     qty = F.col("l_quantity").cast("int")
-    return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .join(part_sku, li.l_partkey == part_sku.p_partkey)
+    return (li.join(od, li.l_orderkey == od.o_orderkey, "left")
+            .join(part_sku, li.l_partkey == part_sku.p_partkey, "left")
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("line_no"),
                     F.col("date_id"),
-                    (F.lit(OPEN_SECONDS) + (F.col("l_orderkey") * TIME_HASH_MULTIPLIER) % OPEN_SPAN_SECONDS)
-                    .cast("int").alias("time_id"),
+                    time_of_order(F.col("o_orderkey")).alias("time_id"),
                     "sku_id", "product_id",
                     qty.alias("quantity"),
                     F.col("price").alias("unit_price"),
@@ -152,7 +163,7 @@ def star_from_tables(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
     dates = orders.select(F.col("o_orderdate").cast("date").alias("date_id")).distinct()
     return Star(fact=fact, dim_sku=sku, dim_product=dim_product(part),
                 dim_date=dim_date_from_dates(dates),
-                dim_time=dim_time_from_ids(fact.select("time_id").distinct()))
+                dim_time=dim_time_from_ids(order_times(orders)))
 
 
 def star_from_dir(spark: SparkSession, sf_dir: str) -> Star:
