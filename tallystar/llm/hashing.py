@@ -60,6 +60,18 @@ def utf8(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else (t or b"") for t in texts]
 
 
+def text_runs(texts: list[bytes], limit: int = 1 << 21):
+    """(start, end) runs of texts of about ``limit`` bytes."""
+    at = held = 0
+    for k, t in enumerate(texts):
+        held += len(t) + 1
+        if held >= limit:
+            yield at, k + 1
+            at, held = k + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
+
+
 def prefix_hash(data: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """P with P[i] = sum of code[data[j]] * BASE**j over j < i."""
     up, _ = powers(len(data) + 1)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.hashing import ALNUM, byte_codes, utf8, words
+from tallystar.llm.hashing import ALNUM, byte_codes, text_runs, utf8, words
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -195,40 +195,47 @@ def merged(spans: list) -> list:
     return out
 
 
+def _matched(automaton: dict | None, raw: list[bytes], before: pd.DataFrame) -> pd.DataFrame:
+    """Findings of a run of texts: those of earlier blocks with this block's added."""
+    h, which, _, _ = words(raw, ALNUM, byte_codes(lower=True))
+    cut = np.searchsorted(which, np.arange(len(raw) + 1))
+    spans = [[[s, e] for s, e in zip(a, b)] for a, b in zip(before["starts"], before["ends"])]
+    found = [set(x) for x in before["items"]]
+    longest = np.array(before["longest"], dtype=np.int64)
+    if automaton is not None and len(h):
+        vocabulary = automaton["vocabulary"]
+        number = np.searchsorted(vocabulary, h)
+        number[number == len(vocabulary)] = 0
+        known = vocabulary[number] == h
+        run_edge = np.ones(len(h) + 1, dtype=bool)
+        run_edge[1:-1] = (which[1:] != which[:-1]) | (known[1:] != known[:-1])
+        edge = np.flatnonzero(run_edge)
+        keep = known[edge[:-1]] & (np.diff(edge) >= automaton["least"])
+        for a, b in zip(edge[:-1][keep].tolist(), edge[1:][keep].tolist()):
+            k = int(which[a])
+            own: list = []
+            got = stream(automaton, number[a:b].tolist(), a - int(cut[k]), own, found[k])
+            longest[k] = max(longest[k], got)
+            spans[k].extend(own)
+    spans = [merged(x) if len(x) > 1 else x for x in spans]
+    return pd.DataFrame({
+        "n_words": np.diff(cut), "n_hit": [sum(e - s for s, e in x) for x in spans],
+        "longest": longest, "starts": [[s for s, _ in x] for x in spans],
+        "ends": [[e for _, e in x] for x in spans], "items": [sorted(x) for x in found]})
+
+
 def _matcher(blob):
-    """Pandas UDF: text and earlier findings -> findings with this block's added."""
+    """Pandas UDF: text and earlier findings -> findings with this block's added.
+    A batch is matched in runs of bounded size. Marked nondeterministic only so
+    that Spark does not copy it into filters on its result and run it twice."""
 
     def run(text: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
         automaton = pickle.loads(blob.value) if blob is not None else None
-        codes = byte_codes(lower=True)
-        h, which, _, _ = words(utf8(text), ALNUM, codes)
-        cut = np.searchsorted(which, np.arange(len(text) + 1))
-        n = len(text)
-        spans = [[[s, e] for s, e in zip(a, b)] for a, b in zip(before["starts"], before["ends"])]
-        found = [set(x) for x in before["items"]]
-        longest = np.array(before["longest"], dtype=np.int64)
-        if automaton is not None and len(h):
-            vocabulary = automaton["vocabulary"]
-            number = np.searchsorted(vocabulary, h)
-            number[number == len(vocabulary)] = 0
-            known = vocabulary[number] == h
-            run_edge = np.ones(len(h) + 1, dtype=bool)
-            run_edge[1:-1] = (which[1:] != which[:-1]) | (known[1:] != known[:-1])
-            edge = np.flatnonzero(run_edge)
-            keep = known[edge[:-1]] & (np.diff(edge) >= automaton["least"])
-            for a, b in zip(edge[:-1][keep].tolist(), edge[1:][keep].tolist()):
-                k = int(which[a])
-                own: list = []
-                got = stream(automaton, number[a:b].tolist(), a - int(cut[k]), own, found[k])
-                longest[k] = max(longest[k], got)
-                spans[k].extend(own)
-        spans = [merged(x) if len(x) > 1 else x for x in spans]
-        return pd.DataFrame({
-            "n_words": np.diff(cut), "n_hit": [sum(e - s for s, e in x) for x in spans],
-            "longest": longest, "starts": [[s for s, _ in x] for x in spans],
-            "ends": [[e for _, e in x] for x in spans], "items": [sorted(x) for x in found]}, index=range(n))
-
-    return F.pandas_udf(run, LEAK)
+        raw = utf8(text)
+        parts = [_matched(automaton, raw[a:b], before.iloc[a:b]) for a, b in text_runs(raw)]
+        return pd.concat(parts, ignore_index=True) if parts else _matched(None, [], before)
+
+    return F.pandas_udf(run, LEAK).asNondeterministic()
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.hashing import BASE, NOT_BLANK, byte_codes, mix64, utf8, words
+from tallystar.llm.hashing import BASE, NOT_BLANK, byte_codes, mix64, text_runs, utf8, words
 from tallystar.sources.testdata import read_table
 
 BITS = 18
@@ -35,7 +35,6 @@ EPOCHS = 20
 COST = 1.0
 SMOOTHING = 1.0
 SYMBOLS = b"#*$%&|<>!@^~=_{}[]\\"
-SUB_BATCH = 1 << 21       # bytes of text per vectorised step
 
 
 def _bins(raw: bytes, n_words: int, n_uni: int, n_bi: int) -> list[int]:
@@ -145,18 +144,6 @@ def fit(ids: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> tuple[np
     return np.append(w[:size] * ratio, w[size]).astype(np.float32), a, b
 
 
-def _groups_of(texts: list[bytes]):
-    """Runs of texts of about SUB_BATCH bytes."""
-    at = held = 0
-    for k, t in enumerate(texts):
-        held += len(t) + 1
-        if held >= SUB_BATCH:
-            yield at, k + 1
-            at, held = k + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
-
-
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
           rows: int = TRAIN_ROWS) -> tuple[bytes, float, float]:
     """Model from a bounded sample of labels: weights, sigmoid slope and offset."""
@@ -176,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
         for pdf in batches:
             raw = utf8(pdf["text"])
             out: list[bytes] = []
-            for a, b in _groups_of(raw):
+            for a, b in text_runs(raw):
                 doc, feature = feature_sets(raw[a:b])
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 out += [feature[cut[k]:cut[k + 1]].astype(np.int32).tobytes() for k in range(b - a)]
@@ -203,7 +190,7 @@ def score(docs: DataFrame, model: tuple[bytes, float, float], text: str = "text"
         w = np.frombuffer(blob, np.float32)
         raw = utf8(series)
         margin = np.zeros(len(raw))
-        for s, e in _groups_of(raw):
+        for s, e in text_runs(raw):
             doc, feature = feature_sets(raw[s:e])
             size = np.maximum(1, np.bincount(doc, minlength=e - s))
             margin[s:e] = np.bincount(doc, weights=w[feature], minlength=e - s) / np.sqrt(size) + w[-1]
