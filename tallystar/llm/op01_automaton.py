@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.batches import bound_batches
 from tallystar.llm.hashing import ALNUM, byte_codes, text_runs, utf8, words
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
@@ -243,6 +244,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     """``docs`` with a struct column: n_words, n_hit, longest match, hit word
     spans (starts, ends) and the names of the items found."""
     spark = docs.sparkSession
+    bound_batches(spark)
     segments = cut_lineage(item_segments(items, item_id, item_text, max_match))
     total = segments.agg(F.sum("n").alias("n")).first()["n"] or 0
     n_blocks = -(-total // BLOCK_WORDS)

@@ -31,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.batches import bound_batches
 from tallystar.llm.hashing import utf8
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
@@ -185,6 +186,7 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     """The ``carry`` columns (default: all) with a struct column: statistics,
     base_failed, distance (squared, scaled; null if the base rule fails), kept."""
     carry = docs.columns if carry is None else carry
+    bound_batches(docs.sparkSession)
     g2, g1 = _groups(lang, source)
     stats = cut_lineage(docs.select(
         *carry, F.pandas_udf(_statistics, STATS)(F.col(text)).alias("__s"), g2.alias("__g2"), g1.alias("__g1")))

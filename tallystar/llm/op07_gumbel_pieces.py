@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystar.llm.batches import bound_batches
 from tallystar.llm.hashing import BASE, mix64, prefix_hash_codes, range_hash
 from tallystar.sources.testdata import read_table
 
@@ -42,7 +43,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 SAMPLES = 2
 RANK_SHIFT = 10.0
-SUB_BATCH = 1 << 21         # code points per vectorised step
+SUB_BATCH = 1 << 20         # code points per vectorised step
 SLOT_BITS = 20
 NEGLIGIBLE = 60.0
 LITERAL_MARK = 0x110000     # stands for a mark that is text: matches no piece
@@ -427,6 +428,7 @@ def _as_arrow(rows: list, n_ids: int, byte_ids: np.ndarray) -> pa.Array:
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, model: str = MODEL,
            scores: str = "rank", column: str = "samples") -> DataFrame:
     """``docs`` with up to k distinct sampled segmentations of each text."""
+    bound_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model, scores))
 
     def run(batches):

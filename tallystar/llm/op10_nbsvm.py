@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.batches import bound_batches
 from tallystar.llm.hashing import BASE, NOT_BLANK, byte_codes, mix64, text_runs, utf8, words
 from tallystar.sources.testdata import read_table
 
@@ -200,6 +201,7 @@ def score(docs: DataFrame, model: tuple[bytes, float, float], text: str = "text"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = train(docs, labels, "doc_id", "text", "quality")
