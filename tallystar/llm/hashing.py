@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
