@@ -106,7 +106,7 @@ def date_coverage(fact: DataFrame) -> DataFrame:
 def zero_days(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
     """Dimension dates without a single fact row (anti join; count is 0 by construction)."""
     return (dim_date.select("date_id", "day_name")
-            .join(fact.select("date_id"), "date_id", "left_anti")
+            .join(fact.select("date_id").distinct(), "date_id", "left_anti")
             .withColumn("order_count", F.lit(0).cast("long"))
             .orderBy("date_id"))
 
@@ -165,10 +165,12 @@ def price_conflicts(df: DataFrame, key: str, price: str) -> DataFrame:
 
 # C11 ---------------------------------------------------------------------
 def size_audit(fact: DataFrame, dim_sku: DataFrame) -> DataFrame:
-    return (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
+    per_sku = (fact.groupBy("sku_id")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(cents("total_price")).alias("r"),
+                    F.sum(cents("unit_price")).alias("u")))
+    return (per_sku.join(dim_sku.select("sku_id", "size"), "sku_id")
             .groupBy("size")
-            .agg(F.count(F.lit(1)).alias("line_items"),
-                 F.sum(cents("total_price")).alias("_rev"), F.sum(cents("unit_price")).alias("_up"))
+            .agg(F.sum("n").alias("line_items"), F.sum("r").alias("_rev"), F.sum("u").alias("_up"))
             .select("size", "line_items", from_cents("_rev").alias("total_revenue"),
                     exact_round("_up", F.col("line_items") * 100, 2).alias("avg_price"))
             .orderBy(F.desc("line_items"), "size"))
@@ -179,7 +181,7 @@ def unsold_skus(dim_sku: DataFrame, dim_product: DataFrame, fact: DataFrame) ->
     """SKUs on the price list that never appear in the fact."""
     return (dim_sku.select("sku_id", "product_id", "size")
             .join(dim_product.select("product_id", "name"), "product_id")
-            .join(fact.select("sku_id"), "sku_id", "left_anti")
+            .join(fact.select("sku_id").distinct(), "sku_id", "left_anti")
             .select("sku_id", "name", "size", F.lit(0).cast("long").alias("times_ordered"))
             .orderBy("name", "size"))
 

@@ -208,11 +208,12 @@ def category_performance(fact: DataFrame, dim_product: DataFrame,
     category aggregate. ``total="subquery"``: grand total over the whole
     fact as a scalar subquery (Spark runs it once and inlines the value).
     """
-    df = (fact.join(dim_product.select("product_id", "category"), "product_id")
+    per_product = product_totals(fact).select("product_id", "total_quantity", "rev_cents")
+    df = (per_product.join(dim_product.select("product_id", "category"), "product_id")
           .groupBy("category")
-          .agg(F.countDistinct("product_id").alias("menu_items"),
-               F.sum("quantity").cast("long").alias("total_quantity"),
-               F.sum(cents("total_price")).alias("rev_cents")))
+          .agg(F.count(F.lit(1)).alias("menu_items"),
+               F.sum("total_quantity").cast("long").alias("total_quantity"),
+               F.sum("rev_cents").alias("rev_cents")))
     if total == "window":
         grand = F.sum("rev_cents").over(Window.partitionBy())
     elif total == "subquery":
@@ -245,12 +246,13 @@ def low_sellers(dim_product: DataFrame, fact: DataFrame, max_units: int = 500) -
 
 # --------------------------------------------------------------------- D10
 def size_performance(fact: DataFrame, dim_sku: DataFrame, total: str = "window") -> DataFrame:
-    df = (fact.join(dim_sku.select("sku_id", "size"), "sku_id")
+    per_sku = (fact.groupBy("sku_id")
+               .agg(F.sum("quantity").cast("long").alias("q"), F.sum(cents("total_price")).alias("r"),
+                    F.sum(cents("unit_price")).alias("u"), F.count(F.lit(1)).alias("n")))
+    df = (per_sku.join(dim_sku.select("sku_id", "size"), "sku_id")
           .groupBy("size")
-          .agg(F.sum("quantity").cast("long").alias("total_quantity"),
-               F.sum(cents("total_price")).alias("rev_cents"),
-               F.sum(cents("unit_price")).alias("up_cents"),
-               F.count(F.lit(1)).alias("lines")))
+          .agg(F.sum("q").cast("long").alias("total_quantity"), F.sum("r").alias("rev_cents"),
+               F.sum("u").alias("up_cents"), F.sum("n").alias("lines")))
     if total == "window":
         w = Window.partitionBy()
         units_total, rev_total = F.sum("total_quantity").over(w), F.sum("rev_cents").over(w)

@@ -137,10 +137,33 @@ def _decompose(spark, sf):
     return _decomp(spark, sf)
 
 
-@query("decompose_robust", "G")
+def _robust_round(n: int, before: str) -> str:
+    """One weighted round in SQL: weights from the remainders of ``before``,
+    then trend, seasonal and remainder (``rem{n}``)."""
+    span = "OVER (ORDER BY date_id ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"
+    return f""",
+w{n} AS (SELECT r.date_id, r.observed, r.pos,
+                CASE WHEN h <= 0 THEN 1.0 WHEN abs(rem) < h
+                     THEN (1 - (abs(rem)/h)*(abs(rem)/h)) * (1 - (abs(rem)/h)*(abs(rem)/h)) ELSE 0.0 END AS w
+         FROM {before} r, (SELECT 6.0 * median(abs(rem)) AS h FROM {before}) m),
+t{n} AS (SELECT *, CASE WHEN SUM(w) {span} > 0 THEN SUM(w * observed) {span} / SUM(w) {span}
+                        ELSE AVG(observed) {span} END AS trend FROM w{n}),
+s{n} AS (SELECT pos, CASE WHEN SUM(w) > 0 THEN SUM(w * (observed - trend)) / SUM(w)
+                          ELSE AVG(observed - trend) END AS s FROM t{n} GROUP BY pos),
+c{n} AS (SELECT pos, s - AVG(s) OVER () AS s FROM s{n}),
+rem{n} AS (SELECT date_id, observed, t.pos, trend, s AS seasonal, observed - trend - s AS rem
+           FROM t{n} t JOIN c{n} c ON t.pos = c.pos)"""
+
+
+ROBUST_CTES = (DECOMP_CTES + """,
+rem0 AS (SELECT tr.date_id, tr.observed, tr.pos, tr.observed - tr.trend - pc.s AS rem
+         FROM tr JOIN pc ON tr.pos = pc.pos)""" + _robust_round(1, "rem0") + _robust_round(2, "rem1"))
+
+
+@query("decompose_robust", "G", with_star("""
+SELECT date_id, observed, round(trend, 4) AS trend, round(seasonal, 4) AS seasonal,
+       round(rem, 4) AS remainder FROM rem2""", ROBUST_CTES))
 def _decompose_robust(spark, sf):
-    # Bisquare-reweighted rounds; no oracle (iterative), checked in pytest
-    # against a NumPy brute force.
     return series.decompose(_filled(spark, sf), robust_iters=2)
 
 

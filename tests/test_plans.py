@@ -64,3 +64,19 @@ def test_materialised_star_matches_lazy(spark, sf_dir):
             assert sorted(map(tuple, QUERIES[n].build(spark, sf_dir).collect())) == lazy[n], n
     finally:
         warehouse_job.forget(spark, sf_dir)
+
+
+@pytest.mark.parametrize("name", ["category_performance", "category_performance_subquery", "size_performance",
+                                  "size_performance_subquery", "audit_size_values", "audit_zero_days",
+                                  "audit_menu_coverage"])
+def test_fact_is_aggregated_before_joins(spark, sf_dir, built, name):
+    """Without broadcast joins, no raw fact row is shuffled on a dimension key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = _plan(spark, sf_dir, name).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for i, line in enumerate(lines):
+        if re.search(r"Exchange hashpartitioning\((product_id|sku_id|date_id)#", line):
+            below = next(x for x in lines[i + 1:] if "HashAggregate" in x or "FileScan" in x)
+            assert "HashAggregate" in below or "/fact" not in below, (name, line, below)
