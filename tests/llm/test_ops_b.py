@@ -68,6 +68,37 @@ def test_gear_chunks(spark):
         assert got[k].n_bytes == len((t or "").encode())
 
 
+def test_gear_chunks_find_short_passages(spark):
+    """Passages of 50 to 60 words at random offsets go but for their edges,
+    short copies go whole, and nothing goes that does not repeat."""
+    rng = random.Random(11)
+    texts, shared = [], []
+    for _ in range(300):
+        p = prose(rng, rng.randrange(50, 61), 100_000)
+        shared.append(p)
+        texts += [prose(rng, rng.randrange(5, 60), 100_000) + " " + p + " " + prose(rng, rng.randrange(5, 60), 100_000)
+                  for _ in range(2)]
+    short = [prose(rng, rng.randrange(1, 12), 100_000) for _ in range(40)]
+    long = prose(rng, 900, 100_000)
+    texts += short * 3 + [long, long, "".join("abc def " for _ in range(40))]
+    got = {r.doc_id: r.chunked for r in op06_gear_chunks.deduplicate(docs(spark, texts)).collect()}
+    removed = [got[2 * k].n_removed + got[2 * k + 1].n_removed for k in range(300)]
+    assert sum(n == 0 for n in removed) <= 3
+    assert sum(removed) >= 0.7 * sum(map(len, shared))
+    assert all(n <= len(p) + 2 for n, p in zip(removed, shared))
+    for k, t in enumerate(short):
+        same = [got[600 + k + 40 * c].text for c in range(3)]
+        assert sorted(same) == ["", "", t]
+    assert sorted((got[720].text, got[721].text)) == ["", long]
+    # Chunks that repeat one by one, never as a run of MIN_SPAN bytes, stay.
+    codes = op06_gear_chunks.gear_codes()
+    ends = op06_gear_chunks.chunk_ends(long.encode(), codes)
+    parts = [long[a:b] for a, b in zip([0, *ends], ends)]
+    lone = [prose(rng, 20, 100_000) + " " + p + prose(rng, 20, 100_000) for p in parts]
+    out = op06_gear_chunks.deduplicate(docs(spark, [long, *lone]))
+    assert out.where("chunked.n_removed > 0").count() == 0
+
+
 def test_gear_hash_rolls():
     codes, rng = op06_gear_chunks.gear_codes(), random.Random(1)
     raw = bytes(rng.choice(b"abcdefgh ij") for _ in range(5000))
