@@ -188,6 +188,39 @@ def test_line_blocks():
     op05_lineblock.main_text("<p " + "a='" * 20000)
 
 
+def test_class_words_do_not_drop_the_text():
+    long = "<p>" + "A sentence of the article goes on. " * 6 + "</p>"
+    for name in ("page has-sidebar", "container no-sidebar", "sidebar", "content-wrapper widget"):
+        text = op05_lineblock.main_text(f'<div class="{name}"><article><h1>Title</h1>{long}</article></div>')
+        assert text.startswith("Title\nA sentence"), name
+        assert "A sentence" in op05_lineblock.main_text(f'<div class="{name}">{long}{long}</div><div>x</div>'), name
+    for outer in ("article", "main", "div"):
+        text = op05_lineblock.main_text(f'<{outer}><div class="entry-header"><h1>Title</h1></div>{long}'
+                                        f'<div class="legal-analysis">{long}</div><div class="share">Share this.</div></{outer}>')
+        assert text.startswith("Title\n") and text.count("\n") == 2 and "Share" not in text, outer
+    assert "A sentence" in op05_lineblock.main_text(f'<form id="aspnetForm">{long}</form>')
+    assert op05_lineblock.main_text(f'<article>{long}<p>A <span class="ad">buy</span>line</p></article>').endswith("\nA line")
+    cards = '<div class="widget"><article><p>one</p></article></div>' * 3
+    assert op05_lineblock.main_text(cards) == "one\none\none"
+    side = f'<main>{long}</main><div class="related"><article><p>Teaser</p></article></div>'
+    assert "Teaser" not in op05_lineblock.main_text(side)
+
+
+def test_line_blocks_decide_on_unmarked_pages():
+    para = lambda w: f"<p>{(w + ' ') * 30}end.</p>"
+    link = lambda n: "".join(f"<div><a href='/{i}'>A rather long link title, number {i}</a></div>" for i in range(n))
+    page = (f"<body><div>Home</div><div>About us</div><div>Contact</div>{link(9)}<h1>Title</h1>{para('first')}<p>Yes!</p>{para('second')}"
+            f"{link(8)}{para('third')}<div>Tags</div><div>News</div><div>Log in</div>{link(7)}<p>Some small print here, made by us</p></body>")
+    got = op05_lineblock.main_text(page).split("\n")
+    assert [x.split()[0] for x in got] == ["Title", "first", "Yes!", "second", "third"]
+    # Short lines that together hold 24 characters make no surge beside a text.
+    menu = "<div>Products</div><div>Services</div><div>Customers</div>" * 4
+    assert op05_lineblock.main_text(menu + para("word") + menu) == "word " * 30 + "end."
+    assert op05_lineblock.main_text("<p>short</p><p>page</p>") == "short\npage"
+    deep = "<div class='ad'>x" * 3000
+    assert op05_lineblock.main_text(deep).startswith("x")
+
+
 def test_line_blocks_on_pages(spark, sf_dir):
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     import html
