@@ -21,6 +21,13 @@ the result. Runs travel packed, about 25 bytes for 70 positions; equal runs
 of one batch are combined before the shuffle, so copies cost one entry per
 batch. Within a bucket (a range of names) ranking is a local sort.
 
+Hot names (a line in many different texts) are found beforehand in one of
+``SAMPLE`` texts; which names these are changes where entries are dealt, not
+the result. Their runs are dealt by name and bytes, all different ones go on to
+round 3, and there their strings are dealt by the string's own name: equal
+strings meet, different ones spread. Equal strings of one batch are combined,
+so a hot string costs one entry for each batch.
+
 Matches never cross documents; strings are judged on the input. Null and
 empty texts have no bytes; texts under 200 bytes keep all; repeated rows are
 copies of each other. Names collide with probability below 1e-9 for 10**13
@@ -46,6 +53,9 @@ WINDOW = LENGTH - SEED + 1
 PIECE = 1 << 20            # bytes per vectorised step; positions fit POSITION_BITS
 POSITION_BITS = 22
 BUCKET_BYTES = 20_000_000  # text bytes per bucket of names
+SAMPLE = 64                # one of so many texts is searched for hot names
+HOT = 64                   # runs of a hot name in the sample, at least
+HOT_NAMES = 1_000_000      # hot names, at most: HOT grows with very large inputs
 
 
 def _row(key: str, text: str) -> F.Column:
@@ -111,6 +121,28 @@ def runs_of(block):
 
 
 SINGLE, LEADER, REMOVED = 0, 1, 2
+HOT_NAME = 4                # added to the flag of a run
+
+
+def _is_hot(name: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Which names are among the sorted hot ones."""
+    if not len(hot):
+        return np.zeros(len(name), bool)
+    return hot[np.minimum(np.searchsorted(hot, name), len(hot) - 1)] == name
+
+
+def hot_names(named: DataFrame, size: int) -> np.ndarray:
+    """Sorted names with many runs in a sample of the texts, by a hash of the row."""
+    def run(batches):
+        for pdf in batches:
+            for block in _joined(pdf["row"], utf8(pdf["text"])):
+                name, n = np.unique(runs_of(block)[3], return_counts=True)
+                yield pd.DataFrame({"name": name.view(np.int64), "n": n.astype(np.int64)})
+
+    least = max(HOT, size // SAMPLE // (WINDOW // 2) // HOT_NAMES)
+    found = (named.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0).mapInPandas(run, "name long, n long")
+             .groupBy("name").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("name").collect())
+    return np.sort(np.array([r["name"] for r in found], np.int64).view(np.uint64))
 
 
 def _pack(bucket, row, name, whole, start, count, flag):
@@ -132,7 +164,7 @@ def _unpack(blob: bytes):
     return out
 
 
-def _emit_runs(n_buckets: int):
+def _emit_runs(n_buckets: int, hot: np.ndarray):
     def run(batches):
         for pdf in batches:
             parts = []
@@ -148,19 +180,23 @@ def _emit_runs(n_buckets: int):
             flag = np.zeros(len(row), np.int64)
             flag[order[1:][same]] = REMOVED                     # equal to an earlier run of the batch
             flag[order[:-1][same & ~np.concatenate(([False], same[:-1]))]] = LEADER
-            bucket = np.where(flag == REMOVED, mix64(row.view(np.uint64)), name >> np.uint64(32)) % np.uint64(n_buckets)
+            hot_run = _is_hot(name, hot)
+            dealt = np.where(hot_run, mix64(name ^ mix64(whole)), name) >> np.uint64(32)
+            bucket = np.where(flag == REMOVED, mix64(row.view(np.uint64)), dealt) % np.uint64(n_buckets)
+            flag += HOT_NAME * hot_run
             out = list(_pack(bucket.astype(np.int64), row, name, whole, at, count, flag))
             for a in range(0, len(out), 64):
                 yield pd.DataFrame(out[a:a + 64], columns=["bucket", "blob"])
     return run
 
 
-DONE, OPEN = 1, 2
+DONE, OPEN, OPEN_HOT = 1, 2, 3
 
 
 def _rank_runs(pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket: runs past the threshold (DONE) and runs to go on with (OPEN)."""
     row, whole, name, start, count, flag = (np.concatenate(x) for x in zip(*map(_unpack, pdf["blob"])))
+    hot, flag = flag & HOT_NAME > 0, flag & ~np.uint8(HOT_NAME)
     done = flag == REMOVED
     live = np.flatnonzero(~done)
     order = live[np.lexsort((whole[live], name[live]))]
@@ -178,24 +214,27 @@ def _rank_runs(pdf: pd.DataFrame) -> pd.DataFrame:
         alone = np.bincount(klass, weights=~repeated)[klass]
         done[order[np.repeat(repeated, size)]] = True
         # Unique runs of a repeated name go on, with one of each repeated run to meet.
-        go = head[(contexts > 1) & (~repeated | (alone > 0))]
+        # Of hot names all different runs do: the others may be in any bucket.
+        go = head[(contexts > 1) & (~repeated | (alone > 0)) | hot[order[head]]]
         opened = order[go]
     else:
         opened = order
-    kind = np.concatenate((np.full(int(done.sum()), DONE), np.full(len(opened), OPEN)))
+    kind = np.concatenate((np.full(int(done.sum()), DONE), np.where(hot[opened], OPEN_HOT, OPEN)))
     pick = np.concatenate((np.flatnonzero(done), opened)).astype(np.int64)
     return pd.DataFrame({"kind": kind.astype(np.int32), "row": row[pick], "start": start[pick].astype(np.int32),
                          "n": count[pick].astype(np.int32), "name": name[pick].astype(np.int64)})
 
 
 def _emit_strings(n_buckets: int):
-    """Runs of a text -> names of all their 200-byte strings, dealt by the run's name."""
+    """Runs of a text -> names of all their 200-byte strings, dealt by the run's
+    name (``spread`` 0), or by their own if that is hot (``spread`` 1)."""
     half = LENGTH // 2
 
     def run(batches):
         codes = byte_codes()
         for pdf in batches:
             buckets: dict[int, list[bytes]] = {}
+            spread: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for row, raw, runs in zip(pdf["row"], utf8(pdf["text"]), pdf["runs"]):
                 for r in runs:
                     begin, n = int(r["start"]), int(r["n"])
@@ -204,18 +243,71 @@ def _emit_strings(n_buckets: int):
                     p = np.arange(n)
                     a, b = range_hash(prefix, p, p + half), range_hash(prefix, p + half, p + LENGTH)
                     pair = mix64(a * BASE + b)
+                    if r["kind"] == OPEN_HOT:
+                        spread.append((np.full(n, row, np.int64), begin + p, pair))
+                        continue
                     buckets.setdefault(int(r["name"]) % n_buckets, []).append(
                         np.array([row, begin, n], np.int64).tobytes() + pair.tobytes())
-            rows = [(k, b"".join(v)) for k, v in buckets.items()]
+            rows = [(k, 0, b"".join(v)) for k, v in buckets.items()]
+            if spread:
+                rows += _spread(n_buckets, *(np.concatenate(x) for x in zip(*spread)))
             for a in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[a:a + 64], columns=["bucket", "blob"])
+                yield pd.DataFrame(rows[a:a + 64], columns=["bucket", "spread", "blob"])
     return run
 
 
-def _rank_strings(pdf: pd.DataFrame) -> pd.DataFrame:
+def _spread(n_buckets: int, row: np.ndarray, start: np.ndarray, pair: np.ndarray):
+    """(bucket, 1, blob) rows of single strings; of equal ones in the batch one
+    is the leader, the others are known to repeat and pass by bucket of rows."""
+    order = np.argsort(pair, kind="stable")
+    same = pair[order][1:] == pair[order][:-1]
+    flag = np.zeros(len(row), np.int64)
+    flag[order[1:][same]] = REMOVED
+    flag[order[:-1][same & ~np.concatenate(([False], same[:-1]))]] = LEADER
+    bucket = (np.where(flag == REMOVED, mix64(row.view(np.uint64)), mix64(pair)) % np.uint64(n_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)]):
+        i = order[a:b]
+        yield int(bucket[i[0]]), 1, b"".join((np.uint32(len(i)).tobytes(), row[i].tobytes(), pair[i].tobytes(),
+                                              start[i].astype(np.uint32).tobytes(), flag[i].astype(np.uint8).tobytes()))
+
+
+def _rank_spread(blobs) -> pd.DataFrame:
+    """One bucket's single strings: row, start, n of those that repeat, neighbours joined."""
+    parts: list[list[np.ndarray]] = []
+    for blob in blobs:
+        n, at, found = int(np.frombuffer(blob, np.uint32, 1)[0]), 4, []
+        for kind in (np.int64, np.uint64, np.uint32, np.uint8):
+            found.append(np.frombuffer(blob, kind, n, at))
+            at += n * np.dtype(kind).itemsize
+        parts.append(found)
+    row, pair, start, flag = (np.concatenate(x) for x in zip(*parts))
+    hit = flag != SINGLE
+    live = np.flatnonzero(flag != REMOVED)
+    order = live[np.argsort(pair[live], kind="stable")]
+    same = pair[order][1:] == pair[order][:-1]
+    hit[order[1:][same]] = True
+    hit[order[:-1][same]] = True
+    row, start = row[hit], start[hit].astype(np.int64)
+    order = np.lexsort((start, row))
+    row, start = row[order], start[order]
+    edge = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (start[1:] - start[:-1] > 1)))[:len(row)])
+    last = np.append(edge[1:], len(row))[:len(edge)] - 1
+    return pd.DataFrame({"row": row[edge], "start": start[edge].astype(np.int32),
+                         "n": (start[last] - start[edge] + 1).astype(np.int32)})
+
+
+def _rank_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+    apart = pdf["spread"] == 1
+    out = [rank(pdf["blob"][mine]) for mine, rank in ((~apart, _rank_strings), (apart, _rank_spread)) if mine.any()]
+    return pd.concat(out)
+
+
+def _rank_strings(blobs) -> pd.DataFrame:
     """One bucket: intervals of positions whose 200-byte string repeats."""
     rows, starts, sizes, pairs = [], [], [], []
-    for blob in pdf["blob"]:
+    for blob in blobs:
         at = 0
         while at < len(blob):
             row, begin, n = np.frombuffer(blob, np.int64, 3, at).tolist()
@@ -247,12 +339,12 @@ def repeated_strings(docs: DataFrame, key: str, text: str) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     named = docs.select(_row(key, text), F.col(text).alias("text"))
-    ranked = cut_lineage(named.mapInPandas(_emit_runs(n_buckets), "bucket int, blob binary")
+    ranked = cut_lineage(named.mapInPandas(_emit_runs(n_buckets, hot_names(named, size)), "bucket int, blob binary")
                          .groupBy("bucket").applyInPandas(_rank_runs, "kind int, row long, start int, n int, name long"))
-    open_ = (ranked.where(F.col("kind") == OPEN).groupBy("row")
-             .agg(F.collect_set(F.struct("start", "n", "name")).alias("runs")))
-    strings = (named.join(open_, "row").mapInPandas(_emit_strings(n_buckets), "bucket int, blob binary")
-               .groupBy("bucket").applyInPandas(_rank_strings, "row long, start int, n int"))
+    open_ = (ranked.where(F.col("kind") != DONE).groupBy("row")
+             .agg(F.collect_set(F.struct("start", "n", "name", "kind")).alias("runs")))
+    strings = (named.join(open_, "row").mapInPandas(_emit_strings(n_buckets), "bucket int, spread int, blob binary")
+               .groupBy("bucket").applyInPandas(_rank_bucket, "row long, start int, n int"))
     return ranked.where(F.col("kind") == DONE).select("row", "start", "n").unionByName(strings)
 
 

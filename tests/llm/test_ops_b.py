@@ -52,6 +52,30 @@ def test_prefix_ranks(spark, monkeypatch, piece):
     assert op03_prefix_ranks.deduplicate(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_prefix_ranks_of_hot_names(spark, monkeypatch):
+    """A line in most texts: the same result, and its runs and strings spread."""
+    rng = random.Random(12)
+    line = prose(rng, 30, 10_000)[:150]
+    passage = prose(rng, 60, 10_000)
+    texts = [*EDGE, *[prose(rng, 60, 10_000) + line + prose(rng, 60, 10_000) for _ in range(60)],
+             *[prose(rng, 60, 10_000) + passage + prose(rng, 60, 10_000) for _ in range(10)]]
+    texts += [texts[12], texts[13][:400] + "end", "ab" * 350, "z" * 500, texts[20][100:700]]
+    frame, want = docs(spark, texts), brute_repeats(texts)
+    named = frame.select(op03_prefix_ranks._row("doc_id", "text"), "text")
+    for sample, least, some in ((1, 5, True), (1, 1, True), (1, 10**9, False)):
+        monkeypatch.setattr(op03_prefix_ranks, "SAMPLE", sample)
+        monkeypatch.setattr(op03_prefix_ranks, "HOT", least)
+        assert (len(op03_prefix_ranks.hot_names(named, 1)) > 0) == some
+        got = {r.doc_id: r.dedup for r in op03_prefix_ranks.deduplicate(frame).collect()}
+        for k, w in enumerate(want):
+            g = got[k]
+            assert (g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) == w, (least, k)
+    # Different strings of one hot name are dealt to many buckets, one entry each.
+    pair = np.arange(1, 701, dtype=np.uint64)
+    out = list(op03_prefix_ranks._spread(50, np.repeat(np.arange(10), 70), np.tile(np.arange(70), 10), pair))
+    assert len(out) == 50 and max(len(b) for _, _, b in out) < 4 + 21 * 60
+
+
 def test_gear_chunks(spark):
     rng = random.Random(3)
     shared = prose(rng, 120)
