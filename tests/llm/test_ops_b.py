@@ -211,6 +211,32 @@ def test_base_spans_and_redaction(spark):
     assert op08_weak_pii.find_spans(frame.limit(0)).count() == 0
 
 
+def test_long_secrets_and_grouped_accounts(spark):
+    """Candidates end where the string ends, however long it is."""
+    rng = random.Random(13)
+    pick = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: pick(lower, 7)
+    values = []
+    for n in (20, 129, 200, 600, 1000):
+        values += [("secret", "token: ey1" + pick(upper + lower + "0123456789_-.", n) + "x"),
+                   ("key", "AKIA0" + pick(upper + "0123456789", n)), ("hex", "0a" + pick("0123456789abcdef", n))]
+    values += [("iban", x) for x in ("DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "BE68 5390 0754 7034", "GB82WEST12345698765432",
+                                     "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606")]
+    texts = [f"{word()} {word()} {v} {word()}" for _, v in values]
+    # An account number before a longer number ends before it.
+    values.append(("iban", "BE68 5390 0754 7034"))
+    texts.append("to BE68 5390 0754 7034 12345 now")
+    for r in op08_weak_pii.candidates(docs(spark, texts), "text", "c").select("doc_id", "c").collect():
+        kind, v = values[r.doc_id]
+        at = texts[r.doc_id].index(v)
+        assert (kind, at, at + len(v)) in {(x.kind, x.start, x.end) for x in r.c}, (kind, len(v))
+    # No tail of a token is left by the redaction.
+    tokens = [f"{word()} password: {pick(upper + lower + '0123456789', n)} {word()}" for n in range(100, 1000, 90)]
+    for r in op08_weak_pii.redact(docs(spark, tokens)).collect():
+        assert max(map(len, r.text.split())) < 40, r.text[:200]
+
+
 def test_labeler_estimates():
     """EM gives the reliable labelers the larger weights."""
     rng = random.Random(5)
