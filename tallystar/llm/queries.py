@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from tallystar.llm import (op01_automaton, op02_mcd, op03_prefix_ranks, op04_rendezvous,
                            op05_lineblock, op06_gear_chunks, op07_gumbel_pieces, op08_weak_pii,
-                           op09_partenum, op10_nbsvm)
+                           op09_partenum, op10_nbsvm, op13_segment_trees)
 
 QUERIES = {
     "op1_suffix_automaton": op01_automaton.query,
@@ -18,9 +18,10 @@ QUERIES = {
     "op8_weak_pii": op08_weak_pii.query,
     "op9_partenum": op09_partenum.query,
     "op10_nbsvm": op10_nbsvm.query,
+    "op13_segment_trees": op13_segment_trees.query,
     "pipeline": corpus_pipeline.run,
 }
 
-# None of these can be written in SQL that runs on whole tables; each is
-# tested against a brute-force version in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+# The others have no form in SQL that runs on whole tables; each is tested
+# against a brute-force version in tests/llm.
+ORACLE_SQL: dict[str, str] = {"op13_segment_trees": op13_segment_trees.SQL}
