@@ -267,7 +267,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     right = groups.join(blocks, "lang").withColumn("top", F.lit(top_terms))
 
     def price(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _price_block(left, right).assign(lang=key[0])
+        out = _price_block(left, right).assign(lang=key[0])
+        return out.astype({name: object for name in ("lang", "part", "source", "item")})
 
     parts = cut_lineage(
         entries.groupBy("lang", "block").cogroup(right.groupBy("lang", "block"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from tallystar.llm import (op01_automaton, op02_mcd, op03_prefix_ranks, op04_rendezvous,
                            op05_lineblock, op06_gear_chunks, op07_gumbel_pieces, op08_weak_pii,
-                           op09_partenum, op10_nbsvm, op13_segment_trees)
+                           op09_partenum, op10_nbsvm, op11_whitening, op12_phrases, op13_segment_trees)
 
 QUERIES = {
     "op1_suffix_automaton": op01_automaton.query,
@@ -18,6 +18,8 @@ QUERIES = {
     "op8_weak_pii": op08_weak_pii.query,
     "op9_partenum": op09_partenum.query,
     "op10_nbsvm": op10_nbsvm.query,
+    "op11_whitening": op11_whitening.query,
+    "op12_phrases": op12_phrases.query,
     "op13_segment_trees": op13_segment_trees.query,
     "pipeline": corpus_pipeline.run,
 }
