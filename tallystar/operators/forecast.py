@@ -227,14 +227,15 @@ def forecast_rows(pred: DataFrame, observed: DataFrame, keys: Sequence[str] = ()
         df = pred.filter(F.col("date_id") > observed.agg(F.max("date_id")).scalar())
     return df.select(*k, "date_id", "day_name",
                      *[(_e4(c).cast("double") / 10000.0).alias(c) for c in
-                       ("yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "holidays")])
+                       ("yhat", "yhat_lower", "yhat_upper", "trend", "weekly", "yearly", "holidays") if c in df.columns])
 
 
 def components(pred: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Trend, weekly and holiday parts of the prediction for every frame date."""
+    """Trend, weekly, yearly (if the model has it) and holiday parts of the
+    prediction for every frame date."""
     return pred.select(*keys, "date_id", "is_future",
                        *[(_e4(c).cast("double") / 10000.0).alias(c) for c in
-                         ("trend", "weekly", "holidays", "yhat")])
+                         ("trend", "weekly", "yearly", "holidays", "yhat") if c in pred.columns])
 
 
 def staffing(fc: DataFrame, peak_ratio: float = PEAK_HOUR_RATIO,
@@ -284,52 +285,3 @@ def peak_ratio(hourly: DataFrame) -> DataFrame:
 def holiday_bounds(series: DataFrame, extra_days: int = 0) -> DataFrame:
     """One-row (min_date, max_date + extra_days) frame for ``holiday_calendar``."""
     return _bounds(series, extra_days)
-
-
-def fit_yearly(frame: DataFrame, holidays: DataFrame, value: str = "y", yearly_order: int = 10,
-               interval: float = 0.90) -> DataFrame:
-    """Variant with yearly seasonality: ordinary least squares (MLlib,
-    normal-equation solver, distributed) on a linear trend, weekday
-    indicators, ``yearly_order`` Fourier pairs of the day of year and holiday
-    indicators. Fitted on the history rows of ``frame`` (one series), it
-    predicts every row; the interval is yhat +/- z * residual standard error.
-    """
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    # One column per holiday of the table passed in (a list of names, not of days).
-    names = sorted(r[0] for r in holidays.select("holiday").distinct().collect())
-    df = (frame.withColumn("_obs", (~F.col("is_future")) & F.col(value).isNotNull())
-          .withColumn("day_name", day_name("date_id"))
-          .withColumn("label", F.col(value).cast("double")))
-    origin = df.filter("_obs").agg(F.min("date_id")).scalar()
-    df = df.withColumn("t", F.datediff("date_id", origin).cast("double"))
-    doy = F.dayofyear("date_id").cast("double")
-    feats = ["t"]
-    for d in ["Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]:
-        df = df.withColumn(f"dow_{d}", (F.col("day_name") == d).cast("double"))
-        feats.append(f"dow_{d}")
-    for k in range(1, yearly_order + 1):
-        ang = doy * (2.0 * math.pi * k / 365.25)
-        df = df.withColumn(f"ys{k}", F.sin(ang)).withColumn(f"yc{k}", F.cos(ang))
-        feats += [f"ys{k}", f"yc{k}"]
-    # Holiday indicators: (date, holiday) pairs pivoted over the fixed names.
-    hol = (holidays.groupBy("date_id")
-           .agg(*[F.max(F.when(F.col("holiday") == n, 1.0).otherwise(0.0)).alias(f"h{i}")
-                  for i, n in enumerate(names)]))
-    df = df.join(F.broadcast(hol), "date_id", "left")
-    for i in range(len(names)):
-        df = df.withColumn(f"h{i}", F.coalesce(f"h{i}", F.lit(0.0)))
-        feats.append(f"h{i}")
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(df)
-    model = LinearRegression(solver="normal", regParam=0.0, fitIntercept=True,
-                             labelCol="label").fit(data.filter("_obs"))
-    z = NormalDist().inv_cdf(0.5 + interval / 2.0)
-    sigma = math.sqrt(model.summary.meanSquaredError * model.summary.numInstances
-                      / max(model.summary.degreesOfFreedom, 1))
-    pred = model.transform(data).withColumnRenamed("prediction", "yhat")
-    return (pred.withColumn("yhat_lower", F.col("yhat") - F.lit(z * sigma))
-            .withColumn("yhat_upper", F.col("yhat") + F.lit(z * sigma))
-            .select("date_id", "is_future", "day_name", "yhat", "yhat_lower", "yhat_upper"))

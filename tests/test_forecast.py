@@ -63,24 +63,3 @@ def test_peak_ratio(spark):
     hourly = spark.createDataFrame([(11, 20), (12, 50), (13, 50), (14, 30)], "hour int, total_orders long")
     r = forecast.peak_ratio(hourly).first()
     assert (r.peak_hour, r.peak_orders, r.all_orders, r.peak_ratio) == (12, 50, 150, 0.3333)
-
-
-def test_yearly_variant_recovers_seasonality(spark):
-    import math
-    start = dt.date(2017, 1, 2)
-    rows = []
-    for i in range(3 * 365):
-        d = start + dt.timedelta(days=i)
-        y = 50 + 0.01 * i + 8 * math.sin(2 * math.pi * d.timetuple().tm_yday / 365.25) + \
-            [0, 1, 2, 3, 9, 12, -2][d.weekday()]
-        rows.append((d, float(y)))
-    ser = spark.createDataFrame(rows, "date_id date, y double")
-    hol = forecast.holiday_calendar(forecast.holiday_bounds(ser, 60))
-    frame = forecast.future_frame(forecast.training_window(ser, 14), 44, value="y")
-    pred = forecast.fit_yearly(frame, hol, value="y", yearly_order=3).filter("is_future")
-    got = {r.date_id: r.yhat for r in pred.collect()}
-    for d, yhat in got.items():
-        i = (d - start).days
-        want = 50 + 0.01 * i + 8 * math.sin(2 * math.pi * d.timetuple().tm_yday / 365.25) + \
-            [0, 1, 2, 3, 9, 12, -2][d.weekday()]
-        assert abs(yhat - want) < 0.05
