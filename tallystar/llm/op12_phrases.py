@@ -12,7 +12,7 @@ side, so equal substrings have equal phrases inside, wherever they stand.
 
 The fingerprint is the root and, for levels 1 to 3 (phrases of about 3, 9 and
 25 bytes), a one-permutation min-hash sketch of the phrase names: ``BINS``
-bins, 12 bits each. The likeness of two fingerprints is 1 for equal roots;
+bins, 12 bits each; as text 592 hex digits, ``fff`` for an empty bin. The likeness of two fingerprints is 1 for equal roots;
 else the share of phrases that the two have in common (Dice, from the
 sketch's Jaccard estimate 2 J / (1 + J)), at the highest level at which both
 fill ``ENOUGH`` bins, or at level 1.
@@ -49,7 +49,7 @@ ENOUGH = 32
 MARGIN = 16
 PIECE = 1 << 19
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-ROOT_CHARS, BIN_CHARS = 16, 3
+NONE = 0xFFF                          # an empty bin
 CODES = byte_codes()
 
 # Place of the only set bit of a 64-bit word, by a de Bruijn product.
@@ -213,9 +213,9 @@ def _long_print(data: bytes, tables: list[np.ndarray]) -> np.uint64:
 
 def prints(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(roots, sketches): one uint64 and LEVELS x BINS uint16 of each text;
-    4096 marks an empty bin, root 0 an empty text."""
+    NONE marks an empty bin, root 0 an empty text."""
     roots = np.zeros(len(texts), dtype=np.uint64)
-    sketches = np.full((len(texts), LEVELS, BINS), 4096, dtype=np.uint16)
+    sketches = np.full((len(texts), LEVELS, BINS), NONE, dtype=np.uint16)
     for low, high in text_runs(texts, PIECE):
         tables = [np.full((high - low, BINS), EMPTY) for _ in range(LEVELS)]
         short = [k for k in range(low, high) if 0 < len(texts[k]) <= PIECE]
@@ -245,29 +245,34 @@ def prints(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
                     _sketch(tables[level], np.repeat(who - low, sizes), symbols)
         for level, table in enumerate(tables):
             part = sketches[low:high, level]
-            np.copyto(part, (table & np.uint64(4095)).astype(np.uint16), where=table != EMPTY)
+            np.copyto(part, np.minimum(table & np.uint64(NONE), np.uint64(NONE - 1)).astype(np.uint16), where=table != EMPTY)
     return roots, sketches
 
 
-_DIGITS = np.array([f"{k:03x}" for k in range(4096)] + ["---"], dtype="S3")
+def packed(roots: np.ndarray, sketches: np.ndarray) -> list[bytes]:
+    """Fingerprints as bytes: the root, then two bins in three bytes."""
+    bins = sketches.reshape(len(roots), -1, 2)
+    a, b = bins[..., 0], bins[..., 1]
+    body = np.stack((a >> 4, (a & 15) << 4 | b >> 8, b & 255), axis=-1).astype(np.uint8).reshape(len(roots), -1)
+    return [int(r).to_bytes(8, "big") + row.tobytes() for r, row in zip(roots, body)]
 
 
 def as_strings(roots: np.ndarray, sketches: np.ndarray) -> list[str]:
-    bins = _DIGITS[sketches.reshape(len(roots), -1)]
-    return [f"{int(r):016x}" + b.tobytes().decode() for r, b in zip(roots, bins)]
+    return [p.hex() for p in packed(roots, sketches)]
 
 
 def from_strings(values) -> tuple[np.ndarray, np.ndarray]:
     """The arrays behind fingerprint strings."""
-    roots = np.array([int(v[:ROOT_CHARS], 16) for v in values], dtype=np.uint64)
-    bins = [[4096 if v[k] == "-" else int(v[k:k + BIN_CHARS], 16) for k in range(ROOT_CHARS, len(v), BIN_CHARS)]
-            for v in values]
-    return roots, np.array(bins, dtype=np.uint16).reshape(len(roots), LEVELS, BINS)
+    data = np.frombuffer(b"".join(bytes.fromhex(v) for v in values), np.uint8).reshape(len(values), -1)
+    roots = np.ascontiguousarray(data[:, :8]).view(">u8").astype(np.uint64).ravel()
+    triples = data[:, 8:].reshape(len(values), -1, 3).astype(np.uint16)
+    pairs = np.stack((triples[..., 0] << 4 | triples[..., 1] >> 4, (triples[..., 1] & 15) << 8 | triples[..., 2]), axis=-1)
+    return roots, pairs.reshape(len(values), LEVELS, BINS)
 
 
 def likenesses(a, b) -> np.ndarray:
     """Likeness of the fingerprints a[k] and b[k], as (roots, sketches)."""
-    full_a, full_b = a[1] != 4096, b[1] != 4096
+    full_a, full_b = a[1] != NONE, b[1] != NONE
     same = ((a[1] == b[1]) & full_a).sum(2)
     either = (full_a | full_b).sum(2)
     jaccard = same / np.maximum(either, 1)
@@ -307,15 +312,18 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - third] + following[:third]
 
 
-_RESULT = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+_RESULT = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
            "near_edited double, near_next double")
 
 
+HEX = ("edited_sha256", "fingerprint", "edited_fingerprint")
+
+
 def _results(texts: list[str], mine, after: list[str], theirs) -> dict:
     changed = [edited(t, n).encode("utf-8", "surrogatepass") for t, n in zip(texts, after)]
     other = prints(changed)
-    return {"n_chars": [len(t) for t in texts], "edited_sha256": [hashlib.sha256(c).hexdigest() for c in changed],
-            "fingerprint": as_strings(*mine), "edited_fingerprint": as_strings(*other),
+    return {"n_chars": [len(t) for t in texts], "edited_sha256": [hashlib.sha256(c).digest() for c in changed],
+            "fingerprint": packed(*mine), "edited_fingerprint": packed(*other),
             "near_edited": likenesses(mine, other), "near_next": likenesses(mine, theirs)}
 
 
@@ -375,7 +383,7 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     def stream(batches):
         for out in _stream(batches):
-            yield out.reindex(columns=names).astype({name: object for name, kind in fields if kind == "string"})
+            yield out.reindex(columns=names).astype({name: object for name, kind in fields if kind in ("string", "binary")})
 
     done = cut_lineage(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "text")
                        .mapInPandas(stream, schema))
@@ -387,7 +395,8 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     tails = (ends.where("kind = 'tail'").select("part", "key", "text").join(follows, "part").join(heads, "next_part")
              .select("key", "text", "after").mapInPandas(_matched, f"key {kind}, {_RESULT}"))
     names = ["key", *names[4:]]
-    return done.where("kind = 'row'").select(*names).unionByName(tails.select(*names)).withColumnRenamed("key", key)
+    both = done.where("kind = 'row'").select(*names).unionByName(tails.select(*names))
+    return both.select(F.col("key").alias(key), *(F.lower(F.hex(f)).alias(f) if f in HEX else F.col(f) for f in names[1:]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
