@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallystar.operators import series
+from tallystar.operators import series, stl
 from tallystar.plans.oracle_sql import cents, with_star, xround
 from tallystar.plans.registry import query
 from tallystar.sources.testdata import star_from_dir as star
@@ -203,3 +203,71 @@ FROM (SELECT date_id, 'observed' AS component, observed AS value FROM decomp
 GROUP BY component""", DECOMP_CTES))
 def _decompose_summary(spark, sf):
     return series.decompose_summary(_decomp(spark, sf))
+
+
+# --- loess decomposition --------------------------------------------------------
+
+def _stl_ctes(rounds: int, robust: bool = True, window: int = 11, period: int = 7) -> str:
+    """The rounds of ``operators.stl`` unrolled; the local lines read each
+    day's window by a join on the day number."""
+    out = SERIES_CTES + """,
+y0 AS MATERIALIZED (SELECT date_id, CAST(total_orders AS DOUBLE) AS y, ROW_NUMBER() OVER (ORDER BY date_id) - 1 AS i,
+                           COUNT(*) OVER () AS n, 1.0::DOUBLE AS w, 0.0::DOUBLE AS t FROM filled)"""
+    for k in range(1, rounds + 1):
+        near = f"(greatest(least(a.i - {window // 2}, a.n - {window}), 0))"
+        weight = "1.0::DOUBLE" if k == rounds or not robust else """CASE WHEN r <= 0.001 * h THEN 1.0
+                WHEN r <= 0.999 * h THEN (1 - (r/h)*(r/h)) * (1 - (r/h)*(r/h)) ELSE 0.0 END"""
+        out += f""",
+c{k} AS (SELECT i % {period} AS p, CASE WHEN SUM(w) > 0 THEN SUM(w * (y - t)) / SUM(w) ELSE AVG(y - t) END AS c
+         FROM y{k - 1} GROUP BY i % {period}),
+s{k} AS MATERIALIZED (SELECT x.date_id, x.y, x.i, x.n, x.w, x.t, c - (SELECT AVG(c) FROM c{k}) AS s, y - c + (SELECT AVG(c) FROM c{k}) AS z
+         FROM y{k - 1} x JOIN c{k} ON i % {period} = p),
+l{k} AS (SELECT a.i, b.i AS j, b.z, b.w, greatest(a.i - {near}, least({near} + {window - 1}, a.n - 1) - a.i)::DOUBLE AS h,
+                abs(b.i - a.i)::DOUBLE AS d, (b.i - a.i)::DOUBLE AS x
+         FROM s{k} a JOIN s{k} b ON b.i BETWEEN {near} AND least({near} + {window - 1}, a.n - 1)),
+v{k} AS (SELECT i, z, x, w * CASE WHEN d > 0.999 * h THEN 0.0 WHEN d <= 0.001 * h THEN 1.0
+                ELSE (1 - (d/h)*(d/h)*(d/h)) * (1 - (d/h)*(d/h)*(d/h)) * (1 - (d/h)*(d/h)*(d/h)) END AS w FROM l{k}),
+m{k} AS (SELECT i, SUM(w) AS s0, SUM(w*x) / SUM(w) AS mean, SUM(w*x*x) / SUM(w) AS sq, SUM(w*z) / SUM(w) AS level,
+                SUM(w*x*z) / SUM(w) AS xz FROM v{k} GROUP BY i),
+t{k} AS MATERIALIZED (
+  SELECT q.date_id, q.y, q.i, q.n, q.s, CASE WHEN s0 > 0 THEN CASE WHEN sqrt(greatest(sq - mean*mean, 0.0)) > 0.001 * (q.n - 1)
+              THEN level - mean / (sq - mean*mean) * (xz - mean*level) ELSE level END ELSE q.z END AS t
+  FROM s{k} q JOIN m{k} ON q.i = m{k}.i),
+h{k} AS (SELECT 6.0 * median(abs(y - s - t)) AS h FROM t{k}),
+y{k} AS MATERIALIZED (SELECT date_id, y, i, n, {weight} AS w, t, s FROM (SELECT t{k}.*, abs(y - s - t) AS r, h FROM t{k}, h{k}) u)"""
+    return out + f""",
+stl AS (SELECT date_id, y AS observed, round(t, 4) AS trend, round(s, 4) AS seasonal, round(y - t - s, 4) AS remainder
+        FROM y{rounds}),
+trimmed AS (SELECT date_id, observed, CASE WHEN date_id > MAX(date_id) OVER () - INTERVAL 21 DAY THEN NULL ELSE trend END AS trend,
+                   seasonal, remainder FROM stl)"""
+
+
+@query("stl_decompose", "G", with_star("SELECT * FROM stl", _stl_ctes(stl.INNER_ROUNDS, robust=False)))
+def _stl(spark, sf):
+    return stl.stl(_filled(spark, sf))
+
+
+@query("stl_decompose_robust", "G", with_star("SELECT * FROM stl", _stl_ctes(stl.ROBUST_ROUNDS + 1)))
+def _stl_robust(spark, sf):
+    return stl.stl(_filled(spark, sf), robust=True)
+
+
+@query("stl_trend_trim", "G", with_star("SELECT * FROM trimmed", _stl_ctes(stl.ROBUST_ROUNDS + 1)))
+def _stl_trim(spark, sf):
+    return series.trim_tail(stl.stl(_filled(spark, sf), robust=True), "trend", 21)
+
+
+@query("stl_long", "G", with_star(_LONG, _stl_ctes(stl.ROBUST_ROUNDS + 1)))
+def _stl_long(spark, sf):
+    return series.decompose_long(series.trim_tail(stl.stl(_filled(spark, sf), robust=True), "trend", 21))
+
+
+@query("stl_summary", "G", with_star("""
+SELECT component, round(MIN(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS q1,
+       round(quantile_cont(value, 0.5), 4) AS median, round(AVG(value), 4) AS mean,
+       round(quantile_cont(value, 0.75), 4) AS q3, round(MAX(value), 4) AS max
+FROM (SELECT unnest(['observed', 'trend', 'seasonal', 'remainder']) AS component,
+             unnest([observed, trend, seasonal, remainder]) AS value FROM stl) l GROUP BY component""",
+                                  _stl_ctes(stl.ROBUST_ROUNDS + 1)))
+def _stl_summary(spark, sf):
+    return series.decompose_summary(stl.stl(_filled(spark, sf), robust=True))
