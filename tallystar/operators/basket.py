@@ -1,12 +1,13 @@
 """Basket analysis and cannibalisation screening.
 
 Pairs are oriented by product name (the reference keeps ``name_a <
-name_b``); products are numbered in that order so the pair statistics can
-be computed as Gram matrices (see ``operators.cooccur``). Item-level tables
-(support per product, the product index) are menu-sized; they carry no
-broadcast hint, so Spark's size check (static, then AQE runtime) decides
-and a large catalogue falls back to a shuffled join. The order-level work
-is shuffled by order id.
+name_b``); products are numbered in that order and pairs are counted sparsely
+(see ``operators.cooccur``). Where a smallest support is asked for, products
+that few orders hold go before any pair is formed: a pair is never more
+frequent than its rarer product. Item-level tables (support per product, the
+product index) carry no broadcast hint, so Spark's size check (static, then
+AQE runtime) decides and a large catalogue falls back to a shuffled join. The
+order-level work is shuffled by order id.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import exact_round, strip_the
-from tallystar.operators.cooccur import pair_moments, pearson
+from tallystar.operators.cooccur import pair_comoments, pair_counts, pearson
+from tallystar.session import cut_lineage
 
 
 def order_items(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -49,12 +51,17 @@ def _label_pairs(pairs: DataFrame, index: DataFrame) -> DataFrame:
     return pairs.join(a, "item_a").join(b, "item_b")
 
 
-def pair_support(items: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """Orders containing both products, for every co-occurring pair."""
+def pair_support(items: DataFrame, dim_product: DataFrame, min_support: int = 1) -> DataFrame:
+    """Orders containing both products, for every pair in ``min_support`` orders or more."""
     index = product_index(dim_product)
-    rows = items.select("order_id", "product_id").join(index.select("product_id", "idx"),
-                                                       "product_id")
-    pairs = pair_moments(rows, ["order_id"], "idx")
+    rows = items.select("order_id", "product_id")
+    if min_support > 1:
+        frequent = rows.groupBy("product_id").count().where(F.col("count") >= min_support)
+        rows = rows.join(frequent.select("product_id"), "product_id", "left_semi")
+    rows = rows.join(index.select("product_id", "idx"), "product_id").select("order_id", "idx")
+    pairs = pair_counts(rows, ["order_id"], "idx")
+    if min_support > 1:
+        pairs = pairs.where(F.col("n") >= min_support)
     return (_label_pairs(pairs, index)
             .select("product_id_a", "name_a", "category_a", "product_id_b", "name_b",
                     "category_b", F.col("n").alias("orders_with_both")))
@@ -68,35 +75,34 @@ def _wide(count: str):
 def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -> DataFrame:
     """lift = n_ab * N / (n_a * n_b), rounded half-even to 3 decimals, support >= min.
 
-    One pass over the order-partitioned items yields the pair counts, the
-    item supports (the Gram diagonal) and the number of orders N; N is then
-    spread over the pair table (menu-squared rows) with a window, so no
-    scalar subquery or second aggregation of the items is needed.
+    The (order, product) rows are written once; supports, the number of orders
+    N (a one-row scalar) and the pairs of frequent products read them, so the
+    fact is scanned once.
     """
-    index = product_index(dim_product)
-    rows = items.select("order_id", "product_id").join(index.select("product_id", "idx"),
-                                                       "product_id")
-    m = pair_moments(rows, ["order_id"], "idx", diagonal=True, group_count=True)
-    m = m.withColumn("n_orders", F.max(F.when(F.col("item_a") < 0, F.col("n")))
-                     .over(Window.partitionBy()))
-    diag = m.filter((F.col("item_a") == F.col("item_b")) & (F.col("item_a") >= 0))
-    sa = diag.select(F.col("item_a"), F.col("n").alias("orders_a"))
-    sb = diag.select(F.col("item_b"), F.col("n").alias("orders_b"))
-    pairs = (m.filter(F.col("item_a") < F.col("item_b"))
-             .filter(F.col("n") >= min_support)
-             .join(sa, "item_a").join(sb, "item_b"))
-    return (_label_pairs(pairs, index)
-            .withColumn("lift", exact_round(_wide("n") * _wide("n_orders"),
-                                            _wide("orders_a") * _wide("orders_b"), 3, "half_even"))
+    items = cut_lineage(items.select("order_id", "product_id"))
+    pairs = pair_support(items, dim_product, min_support)
+    support = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    n_orders = items.agg(F.countDistinct("order_id").cast("decimal(17,0)")).scalar()
+    for side in "ab":
+        pairs = pairs.join(support.select(F.col("product_id").alias(f"product_id_{side}"), F.col("n").alias(f"orders_{side}")),
+                           f"product_id_{side}")
+    return (pairs.withColumn("lift", exact_round(_wide("orders_with_both") * n_orders,
+                                                 _wide("orders_a") * _wide("orders_b"), 3, "half_even"))
             .select("product_id_a", "name_a", "category_a", "product_id_b", "name_b", "category_b",
-                    F.col("n").alias("orders_with_both"), "orders_a", "orders_b", "lift")
+                    "orders_with_both", "orders_a", "orders_b", "lift")
             .orderBy(F.desc("lift"), "name_a", "name_b"))
 
 
 def top_pairs(lift: DataFrame, n: int = 15) -> DataFrame:
-    """Top ``n`` pairs by lift, keeping ties (so possibly more than n rows)."""
+    """Top ``n`` pairs by lift, keeping ties (so possibly more than n rows).
+
+    The n-th value (a distributed top-n) cuts the pair table first; the rank
+    window sees only the rows at or above it.
+    """
+    lift = cut_lineage(lift)
+    least = lift.select("lift").orderBy(F.desc_nulls_last("lift")).limit(n).agg(F.min("lift")).scalar()
     w = Window.orderBy(F.desc("lift"))
-    return (lift.withColumn("lift_rank", F.rank().over(w)).filter(F.col("lift_rank") <= n)
+    return (lift.filter(F.col("lift") >= least).withColumn("lift_rank", F.rank().over(w)).filter(F.col("lift_rank") <= n)
             .withColumn("pair_label", F.concat(strip_the("name_a"), F.lit(" + "), strip_the("name_b")))
             .select("pair_label", "name_a", "name_b", "orders_with_both", "lift",
                     F.col("lift_rank").cast("int").alias("lift_rank"))
@@ -125,13 +131,13 @@ def daily_correlation(daily: DataFrame, dim_product: DataFrame, min_days: int =
     """Pearson correlation of daily units for same-category pairs over shared days.
 
     Groups are (date, category), so only same-category products meet; the
-    moments come from ``pair_moments`` (no per-day pair expansion).
+    centred co-moments come from ``pair_comoments``.
     """
     index = product_index(dim_product)
     rows = daily.select("date_id", "category", "product_id", "daily_qty").join(
         index.select("product_id", "idx"), "product_id")
-    m = pair_moments(rows, ["date_id", "category"], "idx", "daily_qty")
-    r = pearson(F.col("n"), F.col("sa"), F.col("sb"), F.col("saa"), F.col("sbb"), F.col("sab"))
+    m = pair_comoments(rows, ["date_id", "category"], "idx", "daily_qty")
+    r = pearson(F.col("m2_a"), F.col("m2_b"), F.col("c_ab"))
     return (_label_pairs(m.filter(F.col("n") >= min_days), index)
             .select(F.col("category_a").alias("category"), "name_a", "name_b",
                     F.col("n").alias("shared_days"), F.bround(r, 3).alias("correlation"))

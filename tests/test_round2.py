@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import share_pct
 from tallystar.operators import audit
-from tallystar.operators.cooccur import pair_moments
+from tallystar.operators.cooccur import pair_counts
 from tallystar.sources.csv import seconds_of_day
 from tallystar.sources.testdata import star_from_tables
 
@@ -43,5 +43,5 @@ def test_duplicates_count_null_keys(spark):
 
 def test_null_groups_hold_no_pairs(spark):
     rows = spark.createDataFrame([(None, i) for i in range(9)] + [(1, i) for i in range(9)], "g int, item long")
-    out = pair_moments(rows, ["g"], "item").collect()
+    out = pair_counts(rows, ["g"], "item").collect()
     assert len(out) == 36 and all(r.n == 1 for r in out)
