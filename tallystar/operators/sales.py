@@ -171,30 +171,28 @@ def rank_divergence(ranking: DataFrame, zero_is_above: bool = True) -> DataFrame
 
 
 def top_n_by_revenue(ranking: DataFrame, n: int = 5) -> DataFrame:
-    """Head n of the ranking (the report's top-k; ties broken by name)."""
-    w = Window.orderBy(F.desc("total_revenue"), "name")
-    return (ranking.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-            .select("name", "category", "total_quantity", "total_revenue",
-                    "volume_rank", "revenue_rank")
-            .orderBy(F.desc("total_revenue"), "name"))
+    """Head n of the ranking (the report's top-k; ties broken by name), a
+    distributed top-n."""
+    return (ranking.select("name", "category", "total_quantity", "total_revenue", "volume_rank", "revenue_rank")
+            .orderBy(F.desc("total_revenue"), "name").limit(n))
 
 
 # --------------------------------------------------------------------- D7
 def menu_bottom_n(fact: DataFrame, dim_product: DataFrame, n: int | None = 7,
                   share: float | None = None) -> DataFrame:
-    """Lowest-revenue products. ``n`` fixed, or ``share`` of the menu rounded up."""
+    """Lowest-revenue products. ``n`` fixed (a distributed top-n), or ``share``
+    of the menu rounded up."""
     per_name = (product_totals(fact).join(dim_product, "product_id")
                 .groupBy("name", "category")
                 .agg(F.sum("total_quantity").cast("long").alias("total_quantity"),
                      F.sum("rev_cents").alias("rev_cents")))
-    w = Window.orderBy("rev_cents", "name")
-    ranked = per_name.withColumn("_rn", F.row_number().over(w))
-    if share is not None:
-        limit = F.ceil(F.lit(share) * F.count(F.lit(1)).over(Window.partitionBy()))
+    if share is None:
+        lowest = per_name.orderBy("rev_cents", "name").limit(n)
     else:
-        limit = F.lit(n)
-    return (ranked.withColumn("_limit", limit).filter(F.col("_rn") <= F.col("_limit"))
-            .select("name", "category", "total_quantity",
+        limit = F.ceil(F.lit(share) * F.count(F.lit(1)).over(Window.partitionBy()))
+        ranked = per_name.withColumn("_rn", F.row_number().over(Window.orderBy("rev_cents", "name")))
+        lowest = ranked.withColumn("_limit", limit).filter(F.col("_rn") <= F.col("_limit"))
+    return (lowest.select("name", "category", "total_quantity",
                     from_cents("rev_cents").alias("total_revenue"))
             .orderBy("total_revenue", "name"))
 

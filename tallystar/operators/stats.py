@@ -1,57 +1,81 @@
 """Rank-based significance tests: Kruskal-Wallis H with tie
 correction, its chi-square p-value and a verdict.
 
-Mid-ranks come from value counts: ``groupBy(value).count()`` and a running
-sum over the *distinct* values, joined back to the rows. No global sort of
-the observations is needed; the ordered window only sees one row per
-distinct value (daily order counts, so bounded by their range).
+All tests run in one pass, keyed by test. Observations are counted by (test,
+value, group) first; mid-ranks are running sums over the distinct values of a
+test, taken over ranges of values (``functions.ranks``), so neither many
+observations nor many distinct values meet in one task. The p-value is the
+regularised incomplete gamma function in column expressions.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
+from tallystar.functions.ranks import running_total
 
-@F.pandas_udf(DoubleType())
-def _erfc(z: pd.Series) -> pd.Series:
-    # Spark SQL has no erf/erfc; this runs on the one-row test result only.
-    return z.map(math.erfc)
+# Lanczos coefficients of the log gamma function for g = 7.
+LANCZOS_G = 7.0
+LANCZOS = [0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059,
+           12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7]
+TINY = 1e-300
 
 
-def _series(start: Column, steps: Column, ratio) -> Column:
-    """Sum of a geometric-like series t_0 = start, t_i = t_{i-1} * ratio(i)."""
-    acc0 = F.struct(start.alias("s"), start.alias("t"))
-    body = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(steps, F.lit(1))),
-        acc0,
-        lambda acc, i: F.when(
-            i <= steps - 1,
-            F.struct((acc["s"] + acc["t"] * ratio(i)).alias("s"), (acc["t"] * ratio(i)).alias("t")))
-        .otherwise(acc),
-        lambda acc: acc["s"])
-    return F.when(steps > 0, body).otherwise(F.lit(0.0))
+def ln_gamma(a: Column) -> Column:
+    """Log of the gamma function for a >= 0.5."""
+    z = a - 1.0
+    total = F.lit(LANCZOS[0])
+    for i, c in enumerate(LANCZOS[1:], start=1):
+        total = total + F.lit(c) / (z + float(i))
+    t = z + (LANCZOS_G + 0.5)
+    return F.lit(0.5 * math.log(2 * math.pi)) + (z + 0.5) * F.ln(t) - t + F.ln(total)
+
+
+def _steps(a: Column) -> Column:
+    """Term numbers: enough of both expansions for full precision at any x."""
+    return F.sequence(F.lit(1), F.ceil(F.lit(80.0) + 14.0 * F.sqrt(a)).cast("int"))
+
+
+def _series(a: Column, x: Column) -> Column:
+    """sum of x^n / (a (a+1) ... (a+n)): times x^a e^-x / Gamma(a) it is P(a, x)."""
+    first = F.lit(1.0) / a
+    return F.aggregate(_steps(a), F.struct(first.alias("sum"), first.alias("term")), lambda m, i: F.struct(
+        (m["sum"] + m["term"] * x / (a + i)).alias("sum"), (m["term"] * x / (a + i)).alias("term")), lambda m: m["sum"])
+
+
+def _fraction(a: Column, x: Column) -> Column:
+    """The continued fraction of Q(a, x) by the modified Lentz rule."""
+    def far(v: Column) -> Column:
+        return F.when(F.abs(v) < TINY, F.lit(TINY)).otherwise(v)
+
+    d0 = F.lit(1.0) / far(x + 1.0 - a)
+
+    def step(m: Column, i: Column) -> Column:
+        k = i.cast("double")
+        top, bottom = k * (a - k), x + 1.0 - a + 2.0 * k
+        d, c = F.lit(1.0) / far(top * m["d"] + bottom), far(bottom + top / m["c"])
+        return F.struct(d.alias("d"), c.alias("c"), (m["h"] * d * c).alias("h"))
+
+    start = F.struct(d0.alias("d"), F.lit(1.0 / TINY).alias("c"), d0.alias("h"))
+    return F.aggregate(_steps(a), start, step, lambda m: m["h"])
+
+
+def gamma_q(a: Column, x: Column) -> Column:
+    """Upper regularised incomplete gamma function Q(a, x), a >= 0.5: the
+    series below a + 1, the continued fraction above."""
+    scale = F.exp(a * F.ln(x) - x - ln_gamma(a))
+    return (F.when(x <= 0, F.lit(1.0)).when(x < a + 1.0, F.lit(1.0) - scale * _series(a, x))
+            .otherwise(scale * _fraction(a, x)))
 
 
 def chi2_sf(x: Column, df: Column) -> Column:
-    """Upper-tail probability of a chi-square(df) variate, in closed form.
-
-    even df: e^(-x/2) * sum_{i<df/2} (x/2)^i / i!
-    odd df:  erfc(sqrt(x/2)) + e^(-x/2) * sum_{i=1..(df-1)/2} (x/2)^(i-1/2) / Gamma(i+1/2)
-    """
-    half = x / 2.0
-    m_even = (df / 2).cast("int")
-    even = F.exp(-half) * _series(F.lit(1.0), m_even, lambda i: half / i.cast("double"))
-    m_odd = ((df - 1) / 2).cast("int")
-    first = F.sqrt(half) / (F.lit(math.sqrt(math.pi)) / 2.0)
-    odd = _erfc(F.sqrt(half)) + F.exp(-half) * _series(first, m_odd,
-                                                       lambda i: half / (i.cast("double") + 0.5))
-    return F.when(x.isNull() | df.isNull() | (df < 1), F.lit(None).cast("double")) \
-        .when(df % 2 == 0, even).otherwise(odd)
+    """Upper-tail probability of a chi-square(df) variate; NULL without
+    statistic or degrees of freedom."""
+    return F.when(x.isNull() | df.isNull() | (df < 1), F.lit(None).cast("double")).otherwise(
+        gamma_q(df.cast("double") / 2.0, x.cast("double") / 2.0))
 
 
 def sig_digits(c: Column, digits: int = 5) -> Column:
@@ -59,34 +83,41 @@ def sig_digits(c: Column, digits: int = 5) -> Column:
     return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
-def kruskal(df: DataFrame, value: str, group: str, test: str = "kruskal_wallis",
-            alpha: float = 0.05) -> DataFrame:
-    """Kruskal-Wallis rank-sum test of ``value`` across ``group`` (ties corrected)."""
-    d = (df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
-         .dropna())
-    counts = d.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("t"))
-    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranks = counts.withColumn("rank", F.sum("t").over(running) - (F.col("t") - 1.0) / 2.0)
-    per_group = (d.join(ranks.select("v", "rank"), "v")
-                 .groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("n"),
-                                   F.sum("rank").alias("rs")))
-    ties = counts.agg(F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t"))).scalar()
-    st = per_group.agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
-                       F.sum(F.col("rs") * F.col("rs") / F.col("n")).alias("s"))
+def kruskal_tests(observations: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """Kruskal-Wallis test of every ``test`` in (test, group, value) rows
+    (ties corrected). Rows with a null group or value are left out."""
+    seen = (observations.select("test", F.col("group").alias("g"), F.col("value").cast("double").alias("v")).dropna()
+            .groupBy("test", "v", "g").agg(F.count(F.lit(1)).cast("double").alias("c")))
+    values = seen.groupBy("test", "v").agg(F.sum("c").alias("t"), F.collect_list(F.struct("g", "c")).alias("own"))
+    ranks = (running_total(values, ["test"], "v", "t", "_upto")
+             .withColumn("rank", F.col("_upto") - (F.col("t") - 1.0) / 2.0))
+    t = F.col("t")
+    # Ties and group sums come from the same rows: the tie term rides on each value's first group.
+    each = ranks.select("test", "rank", F.posexplode("own").alias("at", "e"),
+                        F.when(F.col("at") == 0, t * t * t - t).otherwise(0.0).alias("tie"))
+    per_group = each.groupBy("test", "e.g").agg(F.sum("e.c").alias("n"), F.sum(F.col("e.c") * F.col("rank")).alias("rs"),
+                                                F.sum("tie").alias("tie"))
+    st = per_group.groupBy("test").agg(F.sum("n").alias("N"), F.count(F.lit(1)).alias("k"),
+                                       F.sum(F.col("rs") * F.col("rs") / F.col("n")).alias("s"), F.sum("tie").alias("ties"))
     N = F.col("N")
     # Degenerate inputs (fewer than two rows, or every value tied) have no
     # statistic; R reports NaN, here it is NULL instead of a division by zero.
     n3 = N * N * N - N
-    corr = F.when(n3 > 0, F.lit(1.0) - ties / F.when(n3 > 0, n3))
+    corr = F.when(n3 > 0, F.lit(1.0) - F.col("ties") / F.when(n3 > 0, n3))
     h = F.when(corr > 0, (F.lit(12.0) / (N * (N + 1.0)) * F.col("s") - F.lit(3.0) * (N + 1.0))
                / F.when(corr > 0, corr))
-    out = st.select(F.lit(test).alias("test"), F.round(h, 6).alias("statistic"),
-                    (F.col("k") - 1).cast("int").alias("df"),
+    out = st.select("test", F.round(h, 6).alias("statistic"), (F.col("k") - 1).cast("int").alias("df"),
                     N.cast("long").alias("n"), F.col("k").cast("long").alias("groups"))
     out = out.withColumn("p_value", sig_digits(chi2_sf(F.col("statistic"), F.col("df"))))
     return verdict(out, alpha)
 
 
+def kruskal(df: DataFrame, value: str, group: str, test: str = "kruskal_wallis",
+            alpha: float = 0.05) -> DataFrame:
+    """Kruskal-Wallis rank-sum test of ``value`` across ``group``."""
+    return kruskal_tests(df.select(F.lit(test).alias("test"), F.col(group).alias("group"), F.col(value).alias("value")), alpha)
+
+
 def verdict(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     sig = F.col("p_value") < alpha
     return (df.withColumn("significant", sig)

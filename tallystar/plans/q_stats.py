@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallystar.operators import series, stats
 from tallystar.plans.registry import query
 from tallystar.plans.oracle_sql import with_star
@@ -71,29 +73,29 @@ def _one_sql(name: str) -> str:
     return with_star(f"SELECT * FROM res_{name}", cte + "," + kruskal_sql(src, value, group, name))
 
 
-def _dbp(spark, sf):
+def observations(spark, sf):
+    """(test, group, value) of all three tests from one scan of the fact: orders
+    per day and period, rolled up to the day. An order has one time of day, so
+    a day's orders are the sum of its periods'."""
     s = star(spark, sf)
-    return series.daily_by_period(s.fact, s.dim_time, s.dim_date)
-
-
-def _dow(spark, sf):
-    s = star(spark, sf)
-    return series.daily_by_weekday(s.fact, s.dim_date)
-
+    daily = series.daily_by_period(s.fact, s.dim_time, s.dim_date, exclude=())
+    day = daily.groupBy("date_id", "day_name").agg(
+        F.collect_list(F.struct(F.col("meal_period").alias("p"), F.col("daily_orders").alias("n"))).alias("own"),
+        F.sum("daily_orders").alias("n"))
+    row = lambda test, group, n: F.struct(F.lit(test).alias("test"), group.alias("group"), n.alias("value"))
+    kept = F.filter("own", lambda e: e["p"] != "Morning")
+    each = F.concat(F.transform(kept, lambda e: row("kruskal_meal_period", e["p"], e["n"])),
+                    F.transform(kept, lambda e: row("kruskal_weekday_by_period", F.col("day_name"), e["n"])),
+                    F.array(row("kruskal_weekday", F.col("day_name"), F.col("n"))))
+    return day.select(F.explode(each).alias("o")).select("o.*")
 
-@query("kruskal_meal_period", "I", _one_sql("kruskal_meal_period"))
-def _kw_period(spark, sf):
-    return stats.kruskal(_dbp(spark, sf), "daily_orders", "meal_period", "kruskal_meal_period")
 
+def _test(name: str):
+    return lambda spark, sf: stats.kruskal_tests(observations(spark, sf).where(F.col("test") == name))
 
-@query("kruskal_weekday_by_period", "I", _one_sql("kruskal_weekday_by_period"))
-def _kw_weekday_period(spark, sf):
-    return stats.kruskal(_dbp(spark, sf), "daily_orders", "day_name", "kruskal_weekday_by_period")
 
-
-@query("kruskal_weekday", "I", _one_sql("kruskal_weekday"))
-def _kw_weekday(spark, sf):
-    return stats.kruskal(_dow(spark, sf), "daily_orders", "day_name", "kruskal_weekday")
+for _name in _TESTS:
+    query(_name, "I", _one_sql(_name))(_test(_name))
 
 
 def _all_sql(select: str) -> str:
@@ -102,23 +104,11 @@ def _all_sql(select: str) -> str:
     return with_star(body, ",".join(ctes))
 
 
-def _all_tests(spark, sf):
-    out = None
-    for name in _TESTS:
-        df = REGISTRY_FNS[name](spark, sf)
-        out = df if out is None else out.unionByName(df)
-    return out
-
-
-REGISTRY_FNS = {"kruskal_meal_period": _kw_period, "kruskal_weekday_by_period": _kw_weekday_period,
-                "kruskal_weekday": _kw_weekday}
-
-
 @query("chi2_p_value", "I", _all_sql("test, statistic, df, p_value"))
 def _chi2(spark, sf):
-    return _all_tests(spark, sf).select("test", "statistic", "df", "p_value")
+    return stats.kruskal_tests(observations(spark, sf)).select("test", "statistic", "df", "p_value")
 
 
 @query("significance_flag", "I", _all_sql("test, p_value, significant, verdict"))
 def _significance(spark, sf):
-    return _all_tests(spark, sf).select("test", "p_value", "significant", "verdict")
+    return stats.kruskal_tests(observations(spark, sf)).select("test", "p_value", "significant", "verdict")

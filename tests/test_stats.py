@@ -70,3 +70,87 @@ def test_kruskal_degenerate_inputs_are_null(spark):
     one_group = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "v long, g string")
     row = stats.kruskal(one_group, "v", "g").first()
     assert row.df == 0 and row.p_value is None
+
+
+def _precise_sf(x, k):
+    """Upper tail in 60 digits: the lower series with Gamma(k/2) by recurrence."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    a, z = Decimal(k) / 2, Decimal(repr(x)) / 2
+    pi = Decimal("3.14159265358979323846264338327950288419716939937510582097494459")
+    g, at = (pi.sqrt(), Decimal("0.5")) if k % 2 else (Decimal(1), Decimal(1))
+    while at < a:
+        g, at = g * at, at + 1
+    term = total = 1 / a
+    i = 0
+    while term > total * Decimal(10) ** -58:
+        i += 1
+        term *= z / (a + i)
+        total += term
+    return 1 - total * (z.ln() * a - z).exp() / g
+
+
+def test_chi2_tail_is_precise_for_many_degrees(spark):
+    rows = [(float(round(k * f + s, 3)), k) for k in [*range(1, 30), 64, 99, 128, 333, 500, 777, 999, 1000]
+            for f, s in ((0.3, 0.05), (0.9, 0.2), (1.0, 1.9), (1.0, 2.1), (1.1, 3.0), (1.6, 4.0))]
+    df = spark.createDataFrame(rows, "x double, k int")
+    out = df.select("x", "k", stats.chi2_sf(F.col("x"), F.col("k")).alias("p"))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        want = _precise_sf(r.x, r.k)
+        assert abs(r.p - float(want)) <= 1e-10 * max(float(want), 1e-30), (r, want)
+    edge = spark.createDataFrame([(0.0, 3), (None, 2), (1.0, 0), (1.0, None)], "x double, k int")
+    assert [r.p for r in edge.select(stats.chi2_sf(F.col("x"), F.col("k")).alias("p")).collect()] == [1.0, None, None, None]
+
+
+def test_all_tests_in_one_pass_equal_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [(t, rnd.choice("ABC"), rnd.randint(0, 9) if t == "tied" else rnd.gauss(0, 5)) for t in ("tied", "free", "big")
+            for _ in range(200 if t != "big" else 900)]
+    rows += [("tied", None, 3.0), ("free", "A", None)]
+    df = spark.createDataFrame([(t, g, None if v is None else float(v)) for t, g, v in rows],
+                               "test string, group string, value double")
+    got = {r.test: r for r in stats.kruskal_tests(df).collect()}
+    for t in ("tied", "free", "big"):
+        own = [(g, v) for u, g, v in rows if u == t and g is not None and v is not None]
+        h, dof = _kruskal_brute([v for _, v in own], [g for g, _ in own])
+        assert got[t].df == dof and abs(got[t].statistic - round(h, 6)) < 1e-6 and got[t].n == len(own)
+    assert stats.kruskal_tests(df.limit(0)).count() == 0
+
+
+def test_many_distinct_values_are_ranked_over_ranges(spark):
+    from tallystar.functions import ranks
+    n = 400_000
+    df = spark.range(n).select(F.lit("t").alias("test"), (F.col("id") % 3).cast("string").alias("group"),
+                               (F.col("id") * 7919 % n).cast("double").alias("value"))
+    seen = []
+    real = ranks.cut_lineage
+    ranks.cut_lineage = lambda d: seen.append(real(d)) or seen[-1]
+    try:
+        before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = stats.kruskal_tests(df)
+        row = out.first()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        ranks.cut_lineage = real
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    h, dof = _kruskal_brute([i * 7919 % n for i in range(n)], [i % 3 for i in range(n)])
+    assert row.n == n and row.df == dof and abs(row.statistic - h) < 1e-3
+    assert seen[0].select("_range").distinct().count() >= 4
+    assert "SinglePartition" not in plan                           # no window gathers all values
+
+
+def test_running_total(spark):
+    from tallystar.functions.ranks import running_total
+    rnd = random.Random(3)
+    rows = [(k, v, rnd.randint(1, 9)) for k in ("a", "b") for v in rnd.sample(range(500), 120)]
+    df = spark.createDataFrame(rows, "k string, v long, n long")
+    got = {(r.k, r.v): r.upto for r in running_total(df, ["k"], "v", "n", "upto").collect()}
+    assert got == {(k, v): sum(m for j, w, m in rows if j == k and w <= v) for k, v, _ in rows}
+
+
+def test_rank_queries_scan_the_fact_once(spark, sf_dir):
+    from tallystar.plans import q_stats
+    plan = q_stats.observations(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
