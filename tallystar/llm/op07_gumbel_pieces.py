@@ -24,7 +24,7 @@ a literal word-start mark becomes bytes too, and decoding returns the text. A
 null text has no segmentations (an empty array), the empty text has one empty
 segmentation; texts with fewer than k segmentations give all of them, each
 with inclusion score 1 (logarithm 0). Equal keys draw alike; extra columns
-pass through.
+pass through whatever their names (one of the result's name is replaced).
 """
 
 from __future__ import annotations
@@ -35,15 +35,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystar.llm.batches import bound_batches
+from tallystar.llm.batches import bound_batches, tidy
 from tallystar.llm.hashing import BASE, mix64, prefix_hash_codes, range_hash
+from tallystar.llm.names import free_name
 from tallystar.sources.testdata import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 SAMPLES = 2
 RANK_SHIFT = 10.0
-SUB_BATCH = 1 << 20         # code points per vectorised step
+SUB_BATCH = 1 << 19         # code points per vectorised step
 SLOT_BITS = 20
 NEGLIGIBLE = 60.0
 LITERAL_MARK = 0x110000     # stands for a mark that is text: matches no piece
@@ -425,26 +426,48 @@ def _as_arrow(rows: list, n_ids: int, byte_ids: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(outer), item)
 
 
+def _round_trips(raw: list[bytes], samples: pa.Array, texts: list) -> pa.Array:
+    """Whether all segmentations of a text decode to it."""
+    table = np.array(raw, dtype=object)
+    ids, bounds = samples.flatten().field("ids"), samples.offsets.to_numpy()
+    values, cuts = ids.values.to_numpy(), ids.offsets.to_numpy()
+    out = []
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        out.append(None if text is None else all(
+            b"".join(table[values[cuts[j]:cuts[j + 1]]].tolist())[1:].decode("utf-8", "surrogatepass") == text for j in range(a, b)))
+    return pa.array(out, pa.bool_())
+
+
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, model: str = MODEL,
-           scores: str = "rank", column: str = "samples") -> DataFrame:
-    """``docs`` with up to k distinct sampled segmentations of each text."""
+           scores: str = "rank", column: str = "samples", check: str | None = None) -> DataFrame:
+    """``docs`` with up to k distinct sampled segmentations of each text.
+    ``check`` names a column that tells whether every one of them decodes to
+    the text (null for a null text)."""
     bound_batches(docs.sparkSession)
-    vocabulary = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model, scores))
+    vocabulary = load_vocabulary(model, scores)
+    # Built once; its size is fixed by the model file (about 10 MB).
+    shared = docs.sparkSession.sparkContext.broadcast((Trie(vocabulary), vocabulary["byte_ids"], vocabulary["raw"]))
 
     def run(batches):
-        v = vocabulary.value
-        trie = Trie(v)
+        trie, byte_ids, raw = shared.value
         for batch in batches:
-            texts, seeds = batch.column("__text").to_pylist(), np.asarray(batch.column("__seed"))
-            rest = batch.drop_columns(["__text", "__seed"])
+            texts, seeds = batch.column(own_text).to_pylist(), np.asarray(batch.column(own_seed))
+            rest = batch.select(kept)
             for a, b in _sub_batches(texts):
                 rows = sample_texts(trie, texts[a:b], seeds[a:b], k)
-                yield pa.RecordBatch.from_arrays(
-                    [*rest.slice(a, b - a).columns, _as_arrow(rows, trie.n_ids, v["byte_ids"])], [*rest.schema.names, column])
+                found = [_as_arrow(rows, trie.n_ids, byte_ids)]
+                if check:
+                    found.append(_round_trips(raw, found[0], texts[a:b]))
+                yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, *found], names)
 
-    seeded = docs.select("*", F.col(text).alias("__text"), F.xxhash64(F.col(key).cast("string")).alias("__seed"))
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T._parse_datatype_string(SEGMENTATION))])
-    return seeded.mapInArrow(run, schema)
+    own_text, own_seed = free_name(docs, "__text"), free_name(docs, "__seed")
+    made = [column, check] if check else [column]
+    kept = [c for c in docs.columns if c.lower() not in [m.lower() for m in made]]
+    names = [*kept, *made]
+    seeded = docs.select(*kept, F.col(text).alias(own_text), F.xxhash64(F.col(key).cast("string")).alias(own_seed))
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(column, T._parse_datatype_string(SEGMENTATION)),
+                           *([T.StructField(check, T.BooleanType())] if check else [])])
+    return seeded.mapInArrow(tidy(run), schema)
 
 
 def decode(samples: DataFrame, ids: str = "ids", column: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -455,5 +478,5 @@ def decode(samples: DataFrame, ids: str = "ids", column: str = "decoded", model:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", F.size("samples").alias("n_samples"), "samples")
+    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), check="round_trip").select(
+        "doc_id", F.size("samples").alias("n_samples"), "round_trip", "samples")

@@ -15,9 +15,11 @@ only saves work, any order gives the same links. Small sets (up to
 Signatures are packed into one binary value per bucket and batch (about 5
 bytes each), so the shuffle holds no row per signature. A bucket (about
 ``BUCKET_ENTRIES`` signatures, a range of hashes) gives candidate pairs: each
-member of a signature with its smallest member. Every pair is verified on the
-full shingle sets, after exact bounds from sizes and parity sketches. Links
-join into components. Signatures that still hold several components then have
+member of a signature with its smallest member. Each set is verified against
+the smallest of its partners first; links join into components, and of the
+other pairs only those across components are verified then, so a group of near
+copies costs about one pair for each member. Verification is on the full
+shingle sets, after exact bounds from sizes and parity sketches. Signatures that still hold several components then have
 their members compared across components by the same bounds, inside tasks and
 in blocks, and the pairs that pass are verified. So no link between different
 sets is lost, members already joined are not paired again, and the pairs of a
@@ -28,7 +30,8 @@ are never paired. A group needs at least two filled parts to count; a set
 short of such groups takes all it has (below 1 in 1,000 sets just above
 SINGLES, falling quickly with size, and only pairs at the very threshold
 could then be missed). Null and empty texts have empty sets, linked with
-nothing; repeated rows have equal sets; extra columns pass through.
+nothing; repeated rows have equal sets; an empty table gives no rows; extra
+columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -38,9 +41,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.batches import bound_batches
+from tallystar.llm.batches import bound_batches, release, tidy
 from tallystar.llm.components import components
 from tallystar.llm.hashing import BASE, NOT_BLANK, byte_codes, chains, mix64, utf8, words
+from tallystar.llm.names import free_name
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -245,6 +249,7 @@ def with_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
         rows = []
         for _, raw in _sliced(pd.DataFrame({"text": text}), "text"):
             rows += [(set_id(s), len(s), sketch(s)) for s in shingle_sets(raw)]
+        release()
         return pd.DataFrame(rows, columns=["set", "n", "sketch"])
 
     made = F.pandas_udf(run, "set long, n long, sketch binary")(F.col(text)).alias("s")
@@ -281,9 +286,11 @@ def candidate_groups(docs: DataFrame, text: str) -> DataFrame:
                     yield pd.DataFrame(rows[a:a + 64], columns=["bucket", "blob"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _meet(pdf["blob"])
+        out = _meet(pdf["blob"])
+        release()
+        return out
 
-    packed = docs.select(F.col(text).alias("text")).mapInPandas(emit, "bucket int, blob binary")
+    packed = docs.select(F.col(text).alias("text")).mapInPandas(tidy(emit), "bucket int, blob binary")
     return packed.groupBy("bucket").applyInPandas(meet, "grp long, a long, b long")
 
 
@@ -328,6 +335,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: s
             texts = list(dict.fromkeys(x + y))
             sets = dict(zip(texts, shingle_sets(texts)))
             out += [similar(sets[p], sets[q]) for p, q in zip(x, y)]
+        release()
         return pd.Series(out, dtype=bool)
 
     both = left.join(side("a"), "a").join(side("b"), "b")
@@ -405,15 +413,26 @@ def across(named: DataFrame, sets: DataFrame) -> DataFrame:
     return small.unionByName(large).distinct()
 
 
-def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, row, set, n (shingles) and component (smallest key reachable, null
-    only if all are) of every document."""
+def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sets in different components."""
+    for side in "ab":
+        pairs = pairs.join(root.select(F.col("node").alias(side), F.col("root").alias(f"r_{side}")), side, "left")
+    return (pairs.where(F.coalesce("r_a", "a") != F.coalesce("r_b", "b")).select("a", "b"))
+
+
+def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, row, set, n and root (smallest set id reachable) of every document."""
     bound_batches(docs.sparkSession)
     sets = cut_lineage(with_sets(docs, key, text))
     found = cut_lineage(candidate_groups(docs, text))
     pairs = cut_lineage(found.where("grp = 0").select("a", "b").distinct())
-    links = verify(pairs, docs, sets, key, text)
+    nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
+    links = verify(nearest, docs, sets, key, text)
     root = components(links)
+    rest = cut_lineage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), root))
+    if rest.first() is not None:
+        links = links.unionByName(verify(rest, docs, sets, key, text))
+        root = components(links)
     # Signatures that still hold several components: compare across them.
     members = found.where("grp != 0").select("grp", F.col("a").alias("set")).distinct()
     named = cut_lineage(members.join(root.withColumnRenamed("node", "set"), "set", "left")
@@ -423,8 +442,14 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
         more = verify(more, docs, sets, key, text)
         if more.first() is not None:
             root = components(links.unionByName(more))
-    root = cut_lineage(root)
-    placed = sets.join(root.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    return (sets.join(cut_lineage(root).withColumnRenamed("node", "set"), "set", "left")
+            .select("key", "row", "set", "n", F.coalesce("root", "set").alias("root")))
+
+
+def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, row, set, n (shingles) and component (smallest key reachable, null
+    only if all are) of every document."""
+    placed = _placed(docs, key, text)
     smallest = placed.where("n > 0").groupBy("root").agg(F.min("key").alias("least"))
     return (placed.join(smallest, "root", "left")
             .select("key", "row", "set", "n", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component")))
@@ -432,16 +457,19 @@ def link(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest
-    key (of repeated rows, one). Documents without words all stay."""
-    placed = cut_lineage(link(docs, key, text))
-    kept = (placed.where(F.col("key").eqNullSafe(F.col("component")) & (F.col("n") > 0))
-            .groupBy("component").agg(F.min("row").alias("row")).select("row"))
-    rows = placed.join(kept, "row", "left_semi").groupBy("row").agg(F.count("*").alias("copies"))
-    named = docs.withColumn("__row", _row(key, text))
+    key, null keys last (of repeated rows, one). Documents without words all
+    stay. Components are sets of linked texts, so different texts that share a
+    key, or have none, are not mistaken for each other."""
+    placed = cut_lineage(_placed(docs, key, text))
+    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "row"))["row"]
+    kept = placed.where("n > 0").groupBy("root").agg(first.alias("row")).select("row")
+    rows = placed.where("n > 0").join(kept, "row", "left_semi").groupBy("row").agg(F.count("*").alias("copies"))
+    row, copies = free_name(docs, "__row"), free_name(docs, "__copies")
+    named = docs.withColumn(row, _row(key, text))
     blank = placed.where("n = 0").select("row").distinct().withColumn("copies", F.lit(1).cast("long"))
-    stay = named.join(rows.unionByName(blank).withColumnsRenamed({"row": "__row", "copies": "__copies"}), "__row")
-    once = stay.where("__copies = 1").select(*docs.columns)
-    again = stay.where("__copies > 1").dropDuplicates(["__row"]).select(*docs.columns)
+    stay = named.join(rows.unionByName(blank).withColumnsRenamed({"row": row, "copies": copies}), row)
+    once = stay.where(F.col(copies) == 1).select(*docs.columns)
+    again = stay.where(F.col(copies) > 1).dropDuplicates([row]).select(*docs.columns)
     return once.unionByName(again)
 
 

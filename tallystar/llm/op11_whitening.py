@@ -40,6 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.names import free_name
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -417,13 +418,6 @@ def _apply(models: dict[int, Model]):
     return F.pandas_udf(run, _WHITENING)
 
 
-def _free(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def whiten(rows: DataFrame, vector: str = "embedding", components: int = COMPONENTS,
            column: str = "whitening") -> DataFrame:
     """``rows`` that hold a usable vector, with struct ``column``: n, deviation,
@@ -431,7 +425,7 @@ def whiten(rows: DataFrame, vector: str = "embedding", components: int = COMPONE
     packed_udf = F.pandas_udf(lambda v: v.map(pack), "binary")
     packed = packed_udf(F.col(vector).cast("array<double>"))
     models = fit_models(rows.select(packed.alias("key")).where("key is not null"), components)
-    key = _free(rows, "key")
+    key = free_name(rows, "key")
     return (rows.withColumn(key, packed).where(F.col(key).isNotNull())
             .withColumn(column, _apply(models)(F.col(key))).drop(key))
 
