@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tallystar.functions.scalar import (MEAL_PERIOD_ORDER, SHARE_LABELS, SIZE_ORDER, cents,
                                         exact_round, from_cents, level_position, money,
                                         share_pct, strip_the)
+from tallystar.operators.dates import on_date
 
 B = F.broadcast
 
@@ -44,6 +45,13 @@ def _measures(orders: bool = True, units: bool = True, revenue: bool = True):
     return out
 
 
+def _lines(fact: DataFrame, column: str | None = None):
+    """Line items: rows of the fact, or the counts that a roll-up of it holds."""
+    if "lines" in fact.columns:
+        return F.sum("lines" if column is None else F.when(F.col(column).isNotNull(), F.col("lines")))
+    return F.count(F.lit(1) if column is None else F.col(column))
+
+
 def _finish(df: DataFrame, aov: bool = False) -> DataFrame:
     """Turn the DECIMAL revenue into the reported columns."""
     if aov:
@@ -55,9 +63,9 @@ def _finish(df: DataFrame, aov: bool = False) -> DataFrame:
 # --------------------------------------------------------------------- D0
 def weekday_line_counts(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Line items per weekday (the reference names this total_orders; it counts lines)."""
-    return (fact.join(B(dim_date), "date_id")
+    return (on_date(fact, dim_date, "day_name", "day_of_week")
             .groupBy("day_name", "day_of_week")
-            .agg(F.count("order_id").alias("line_items"))
+            .agg(_lines(fact, "order_id").alias("line_items"))
             .orderBy("day_of_week"))
 
 
@@ -68,7 +76,7 @@ def sales_by_hour(fact: DataFrame, dim_time: DataFrame, avg: str = "line") -> Da
     ``avg="line"``: revenue / line items; ``avg="unit"``: revenue / units.
     """
     df = (fact.join(B(dim_time), "time_id").groupBy("hour")
-          .agg(*_measures(), F.count(F.lit(1)).alias("lines")))
+          .agg(*_measures(), _lines(fact).alias("lines")))
     if avg == "line":
         df = df.withColumn("avg_line_item_value",
                            exact_round("rev_cents", F.col("lines") * 100, 2))
@@ -94,7 +102,7 @@ def sales_by_meal_period(fact: DataFrame, dim_time: DataFrame,
 
 # --------------------------------------------------------------------- D3
 def sales_by_weekday(fact: DataFrame, dim_date: DataFrame, units: bool = True) -> DataFrame:
-    df = (fact.join(B(dim_date), "date_id").groupBy("day_name", "day_of_week")
+    df = (on_date(fact, dim_date, "day_name", "day_of_week").groupBy("day_name", "day_of_week")
           .agg(*_measures(units=units)))
     return _finish(df, aov=True).orderBy("day_of_week")
 
@@ -106,7 +114,7 @@ def weekday_levels(dim_date: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- D4
 def sales_by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    df = (fact.join(B(dim_date), "date_id").groupBy("month", "month_name")
+    df = (on_date(fact, dim_date, "month", "month_name").groupBy("month", "month_name")
           .agg(*_measures()))
     return _finish(df).orderBy("month")
 
@@ -117,7 +125,7 @@ def sales_heatmap(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame,
     dt = dim_time.select("time_id", "hour")
     if min_hour is not None:
         dt = dt.filter(F.col("hour") >= min_hour)
-    df = (fact.join(B(dim_date.select("date_id", "day_name", "day_of_week")), "date_id")
+    df = (on_date(fact, dim_date, "day_name", "day_of_week")
           .join(B(dt), "time_id")
           .groupBy("day_name", "day_of_week", "hour")
           .agg(*_measures(units=not orders_only, revenue=not orders_only)))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import (COMPONENT_LABELS, cents, day_name, exact_round,
                                         from_cents)
+from tallystar.operators.dates import on_date
 from tallystar.session import cut_lineage
 
 B = F.broadcast
@@ -39,8 +40,7 @@ def _money_cols(df: DataFrame, aov: bool = True) -> DataFrame:
 
 # G1-G4 ---------------------------------------------------------------------
 def daily_series(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    dd = dim_date.select("date_id", "day_of_week", "day_name", "is_weekend")
-    df = (fact.join(B(dd), "date_id")
+    df = (on_date(fact, dim_date, "day_of_week", "day_name", "is_weekend")
           .groupBy("date_id", "day_of_week", "day_name", "is_weekend").agg(*_measures()))
     return _money_cols(df).orderBy("date_id")
 
@@ -49,10 +49,10 @@ def weekly_series(fact: DataFrame, dim_date: DataFrame, iso_year: bool = False)
     """(year, ISO week) buckets. ``iso_year=False`` pairs the calendar year with
     the ISO week as the reference does, so 1 Jan can land in week 52/53 of its
     own year; ``iso_year=True`` uses the ISO week-numbering year."""
-    dd = dim_date.select("date_id", "year", "week")
+    rows = on_date(fact, dim_date, "year", "week")
     if iso_year:
-        dd = dd.withColumn("year", F.expr("extract(YEAROFWEEK FROM date_id)").cast("int"))
-    df = (fact.join(B(dd), "date_id").groupBy("year", "week")
+        rows = rows.withColumn("year", F.expr("extract(YEAROFWEEK FROM date_id)").cast("int"))
+    df = (rows.groupBy("year", "week")
           .agg(F.min("date_id").alias("week_start_date"), *_measures()))
     if iso_year:
         df = df.withColumnRenamed("year", "iso_year")
@@ -60,8 +60,8 @@ def weekly_series(fact: DataFrame, dim_date: DataFrame, iso_year: bool = False)
 
 
 def monthly_series(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    dd = dim_date.select("date_id", "year", "month", "month_name")
-    df = fact.join(B(dd), "date_id").groupBy("year", "month", "month_name").agg(*_measures())
+    df = (on_date(fact, dim_date, "year", "month", "month_name")
+          .groupBy("year", "month", "month_name").agg(*_measures()))
     return _money_cols(df).orderBy("year", "month")
 
 
@@ -82,7 +82,7 @@ def daily_by_period(fact: DataFrame, dim_time: DataFrame, dim_date: DataFrame |
     df = fact.join(B(dt), "time_id")
     keys = ["date_id", "meal_period"]
     if dim_date is not None:
-        df = df.join(B(dim_date.select("date_id", "day_name")), "date_id")
+        df = on_date(df, dim_date, "day_name")
         keys = ["date_id", "day_name", "meal_period"]
     out = df.groupBy(*keys).agg(F.countDistinct("order_id").alias("daily_orders"),
                                 F.sum(cents("total_price")).alias("_rev"))
@@ -90,8 +90,7 @@ def daily_by_period(fact: DataFrame, dim_time: DataFrame, dim_date: DataFrame |
 
 
 def daily_by_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    dd = dim_date.select("date_id", "day_name", "day_of_week")
-    out = (fact.join(B(dd), "date_id").groupBy("date_id", "day_name", "day_of_week")
+    out = (on_date(fact, dim_date, "day_name", "day_of_week").groupBy("date_id", "day_name", "day_of_week")
            .agg(F.countDistinct("order_id").alias("daily_orders"),
                 F.sum(cents("total_price")).alias("_rev")))
     return out.withColumn("daily_revenue", from_cents("_rev")).drop("_rev").orderBy("date_id")

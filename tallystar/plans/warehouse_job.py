@@ -17,12 +17,26 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.session import ensure_checkpoint_dir
+from tallystar.sources.tables import FACT_BUCKETS
 
-_BUILT: dict[tuple[int, str], str] = {}
+SOURCES = ("lineitem", "orders", "part")
 
+# (application, folder) -> (where the copy is, state of the source files when it was made)
+_BUILT: dict[tuple[str, str], tuple[str, str]] = {}
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[int, str]:
-    return (id(spark), os.path.abspath(sf_dir))
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+
+
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the source files: a copy of other files is stale."""
+    found = []
+    for name in SOURCES:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path):
+            found.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("|".join(found).encode()).hexdigest()
 
 
 def _target(spark: SparkSession, sf_dir: str) -> str:
@@ -43,6 +57,7 @@ def build(spark: SparkSession, sf_dir: str, target: str | None = None) -> str:
     part = read_table(spark, sf_dir, "part")
     orders = read_table(spark, sf_dir, "orders")
     target = target or _target(spark, sf_dir)
+    state = _state(spark, sf_dir)
     sku = dim_sku(part)
     sku.write.mode("overwrite").parquet(f"{target}/dim_sku")
     sku = spark.read.parquet(f"{target}/dim_sku")
@@ -56,7 +71,7 @@ def build(spark: SparkSession, sf_dir: str, target: str | None = None) -> str:
     dim_date_from_dates(dates).write.mode("overwrite").parquet(f"{target}/dim_date")
     dim_time_from_ids(order_times(orders)) \
         .write.mode("overwrite").parquet(f"{target}/dim_time")
-    _BUILT[_key(spark, sf_dir)] = target
+    _BUILT[_key(spark, sf_dir)] = (target, state)
     return target
 
 
@@ -67,8 +82,8 @@ def forget(spark: SparkSession, sf_dir: str) -> None:
 def lookup(spark: SparkSession, sf_dir: str):
     from tallystar.sources.testdata import Star
 
-    target = _BUILT.get(_key(spark, sf_dir))
-    if target is None:
+    target, state = _BUILT.get(_key(spark, sf_dir), (None, None))
+    if target is None or state != _state(spark, sf_dir):
         return None
     r = spark.read.parquet
     return Star(fact=r(f"{target}/fact_sales"), dim_sku=r(f"{target}/dim_sku"),
@@ -98,16 +113,18 @@ def star_from_csv(spark: SparkSession, raw_dir: str, files: dict[str, str] | Non
 
 
 def load_from_csv(spark: SparkSession, raw_dir: str, database: str, mode: str = "overwrite",
-                  location: str | None = None):
+                  location: str | None = None, buckets: int = FACT_BUCKETS):
     """The reference's load job: create the schema if needed, write the five
-    tables (dimensions first), return their row counts as a DataFrame."""
+    tables (dimensions first; the fact by year and month, in buckets of
+    orders), return their row counts as a DataFrame."""
     from tallystar.operators.warehouse import row_counts
-    from tallystar.sources.tables import create_schema, table, write_table
+    from tallystar.sources.tables import create_schema, table, with_date_parts, write_table
 
-    create_schema(spark, database, location)
+    create_schema(spark, database, location, buckets)
     star = star_from_csv(spark, raw_dir)
     for name in ("dim_product", "dim_sku", "dim_date", "dim_time", "fact_sales"):
-        write_table(star.tables()[name], f"{database}.{name}", mode=mode)
+        rows = star.tables()[name]
+        write_table(with_date_parts(rows) if name == "fact_sales" else rows, f"{database}.{name}", mode=mode)
     return row_counts({n: table(spark, f"{database}.{n}") for n in star.tables()})
 
 
