@@ -111,14 +111,14 @@ def test_mcd_statistics_and_edge_cases(spark, sf_dir):
     texts = ["", None, "a b c a b c a b c", "x\n\nx\n \ny\n y", "é ü #*<> |", "w " * 300] * 2
     rows = [(k, t, None if k % 3 else "de", None, 0, "clash") for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, DOC + ", __s string")
-    out = op02_mcd.judge(df.drop("__s"))
+    out = op02_mcd.judge(df)
     for r in out.collect():
         n, chars, sym, dup, rep = brute_stats(texts[r.doc_id])
         q = r.quality
         assert (q.n_words, q.word_chars, q.n_symbols, q.n_dup_lines, q.n_repeat_words) == (n, chars, sym, dup, rep)
         assert q.base_failed == (n < 50 or 100 * rep > 50 * n)
         assert q.kept is not None and not (q.base_failed and q.kept)
-    assert op02_mcd.judge(df.limit(0).drop("__s")).count() == 0
+    assert op02_mcd.judge(df.limit(0)).count() == 0
     for r in op02_mcd.query(spark, sf_dir).collect()[:5]:
         assert r.n_words >= 0
 
