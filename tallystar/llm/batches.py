@@ -7,7 +7,7 @@ import ctypes
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def bound_batches(spark: SparkSession) -> None:

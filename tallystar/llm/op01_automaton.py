@@ -27,8 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.batches import bound_batches
+from tallystar.llm.batches import bound_batches, release
 from tallystar.llm.hashing import ALNUM, byte_codes, text_runs, utf8, words
+from tallystar.llm.names import free_name
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -233,7 +234,8 @@ def _matcher(blob):
     def run(text: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
         automaton = pickle.loads(blob.value) if blob is not None else None
         raw = utf8(text)
-        parts = [_matched(automaton, raw[a:b], before.iloc[a:b]) for a, b in text_runs(raw)]
+        parts = [_matched(automaton, raw[a:b], before.iloc[a:b]) for a, b in text_runs(raw, 1 << 20)]
+        release()
         return pd.concat(parts, ignore_index=True) if parts else _matched(None, [], before)
 
     return F.pandas_udf(run, LEAK).asNondeterministic()
@@ -242,7 +244,8 @@ def _matcher(blob):
 def find_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                item_text: str = "text", max_match: int = MAX_MATCH, column: str = "leak") -> DataFrame:
     """``docs`` with a struct column: n_words, n_hit, longest match, hit word
-    spans (starts, ends) and the names of the items found."""
+    spans (starts, ends) and the names of the items found. A column of that
+    name is replaced; others pass through whatever their names."""
     spark = docs.sparkSession
     bound_batches(spark)
     segments = cut_lineage(item_segments(items, item_id, item_text, max_match))
@@ -298,7 +301,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
                   max_coverage: float = MAX_COVERAGE) -> DataFrame:
     """``docs`` without leaked spans; documents whose hit words exceed
     ``max_coverage`` of all their words are left out. Same columns as ``docs``."""
-    name = "__leak"
+    name = free_name(docs, "__leak")
     found = find_leaks(docs, items, text, item_id, item_text, max_match, name)
     cut = F.pandas_udf(_without, "string")
     hit = F.col(f"{name}.n_hit")

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm.batches import bound_batches
+from tallystar.llm.batches import bound_batches, release
 from tallystar.llm.hashing import utf8
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
@@ -79,6 +79,7 @@ def _statistics(text: pd.Series) -> pd.DataFrame:
         rows.append((len(words), len(t or "") - blanks, len(raw) - len(raw.translate(None, SYMBOLS)),
                      len(lines) - len(set(lines)), len(lines), repeated,
                      len(raw) - len(raw.translate(None, UPPER))))
+    release()
     return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines",
                                        "n_repeat_words", "n_upper"])
 

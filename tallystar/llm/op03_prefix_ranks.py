@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.llm.hashing import BASE, byte_codes, mix64, powers, prefix_hash, range_hash, utf8
+from tallystar.llm.names import free_name
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -360,7 +361,8 @@ def _spans(found) -> list[tuple[int, int]]:
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", column: str = "dedup") -> DataFrame:
     """``docs`` with struct<n_bytes, n_removed, n_spans, kept, kept_sha256>."""
-    found = repeated_strings(docs, key, text).groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias("__found"))
+    own, extra = free_name(docs, "__row"), free_name(docs, "__found")
+    found = repeated_strings(docs, key, text).groupBy("row").agg(F.collect_set(F.struct("start", "n")).alias(extra))
 
     def cut(text: pd.Series, found: pd.Series) -> pd.DataFrame:
         rows = []
@@ -374,10 +376,10 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", column
             rows.append((len(raw), len(raw) - len(kept), len(spans), kept, hashlib.sha256(kept).hexdigest()))
         return pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    joined = (docs.withColumn("__row", _row(key, text))
-              .join(found.withColumnRenamed("row", "__row"), "__row", "left"))
+    joined = (docs.withColumn(own, _row(key, text))
+              .join(found.withColumnRenamed("row", own), own, "left"))
     made = F.pandas_udf(cut, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
-    return joined.withColumn(column, made(F.col(text), F.col("__found"))).select(*docs.columns, column)
+    return joined.withColumn(column, made(F.col(text), F.col(extra))).select(*[c for c in docs.columns if c.lower() != column.lower()], column)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

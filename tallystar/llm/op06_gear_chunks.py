@@ -235,10 +235,12 @@ def _cut(text: pd.Series, extra: pd.Series) -> pd.DataFrame:
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", column: str = "chunked") -> DataFrame:
     """``docs`` with struct<n_bytes, n_removed, n_spans, text>: what is left
     after repeated runs of chunks are removed."""
-    named = docs.withColumn("__row", F.xxhash64(F.col(key).cast("string"), F.col(text)))
-    joined = named.join(redundant(named, text, "__row").withColumnRenamed("row", "__row"), "__row", "left")
+    own, extra = free_name(docs, "__row"), free_name(docs, "__extra")
+    named = docs.withColumn(own, F.xxhash64(F.col(key).cast("string"), F.col(text)))
+    joined = named.join(redundant(named, text, own).withColumnsRenamed({"row": own, "__extra": extra}), own, "left")
     cut = F.pandas_udf(_cut, "n_bytes long, n_removed long, n_spans long, text string")
-    return joined.withColumn(column, cut(F.col(text), F.col("__extra"))).select(*docs.columns, column)
+    return joined.withColumn(column, cut(F.col(text), F.col(extra))).select(
+        *[c for c in docs.columns if c.lower() != column.lower()], column)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.llm.names import free_name
 from tallystar.session import cut_lineage
 from tallystar.sources.testdata import read_table
 
@@ -284,8 +285,10 @@ def find_spans(docs: DataFrame, text: str = "text", column: str = "pii", carry:
     """The ``carry`` columns (default: all) with struct<base, spans>, each an
     array<struct<kind, start, end>> ordered by start; spans holds the base
     spans and the added ones."""
-    carry = docs.columns if carry is None else carry
-    found = cut_lineage(candidates(docs, text, "__found").select(*carry, "__found"))
+    carry = [c for c in (docs.columns if carry is None else carry) if c.lower() != column.lower()]
+    # The carried columns travel in one struct: none of their names can meet a name of ours.
+    rows = docs.select(F.struct(*carry).alias("row"), F.col(text).alias("text"))
+    found = cut_lineage(candidates(rows, "text", "__found").select("row", "__found"))
     weights = fit(found, "__found")
     by_feature = {f: {v: w for (g, v), w in weights.items() if g == f} for f in FEATURES}
 
@@ -307,22 +310,23 @@ def find_spans(docs: DataFrame, text: str = "text", column: str = "pii", carry:
     ordered = F.array_sort(F.concat(F.col("__base"), first), lambda a, b: F.when(
         a["start"] != b["start"], a["start"] - b["start"]).otherwise(_rank(a["kind"]) - _rank(b["kind"])))
     return (found.withColumn("__base", plain(base)).withColumn("__more", plain(more))
-            .select(*carry, F.struct(F.col("__base").alias("base"), ordered.alias("spans")).alias(column)))
+            .select("row.*", F.struct(F.col("__base").alias("base"), ordered.alias("spans")).alias(column)))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping
     spans give one placeholder. Same columns."""
-    found = find_spans(docs, text, "__pii")
+    pii = free_name(docs, "__pii")
+    found = find_spans(docs, text, pii)
     t = F.col(text)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    built = F.aggregate(F.col("__pii.spans"), start, lambda acc, x: F.when(
+    built = F.aggregate(F.col(f"{pii}.spans"), start, lambda acc, x: F.when(
         x["start"] >= acc["at"], F.struct(
             F.concat(acc["out"], F.substring(t, acc["at"] + 1, x["start"] - acc["at"]),
                      F.lit("["), F.upper(x["kind"]), F.lit("]")).alias("out"), x["end"].alias("at")))
         .otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))),
         lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
-    return found.withColumn(text, F.when(F.size("__pii.spans") > 0, built).otherwise(t)).select(*docs.columns)
+    return found.withColumn(text, F.when(F.size(f"{pii}.spans") > 0, built).otherwise(t)).select(*docs.columns)
 
 
 def _written(spans: Column) -> Column:

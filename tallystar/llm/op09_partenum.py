@@ -271,7 +271,7 @@ def candidate_groups(docs: DataFrame, text: str) -> DataFrame:
     def emit(batches):
         often = frequent.value
         for pdf in batches:
-            for _, raw in _sliced(pdf, "text", 1 << 22):
+            for _, raw in _sliced(pdf, "text", 1 << 20):
                 sets = {}
                 for a in range(0, len(raw), 256):
                     for s in shingle_sets(raw[a:a + 256]):
