@@ -88,6 +88,11 @@ def sales_by_hour(fact: DataFrame, dim_time: DataFrame, avg: str = "line") -> Da
     return _finish(df).drop("lines").orderBy("hour")
 
 
+def label_hours(hourly: DataFrame) -> DataFrame:
+    """``hourly`` with its hour as a clock label (09:00)."""
+    return hourly.withColumn("hour_label", F.format_string("%02d:00", F.col("hour").cast("int")))
+
+
 # --------------------------------------------------------------------- D2
 def sales_by_meal_period(fact: DataFrame, dim_time: DataFrame,
                          exclude: Sequence[str] = ()) -> DataFrame:

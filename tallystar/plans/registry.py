@@ -38,4 +38,4 @@ def load_all() -> dict[str, Query]:
 
 
 PLAN_MODULES = ["q_warehouse", "q_audit", "q_sales", "q_basket", "q_series", "q_forecast",
-                "q_stats"]
+                "q_stats", "q_planted"]
