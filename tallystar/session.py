@@ -61,15 +61,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+# Scratch tables of this process that were not dropped yet, oldest first.
+SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A fresh path in the shared checkpoint folder, removed when the
     application ends."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    SCRATCH.append(path)
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hpath)
     return path
 
 
+def drop_scratch_since(spark: SparkSession, mark: int) -> None:
+    """Remove the scratch tables written from number ``mark`` of SCRATCH on,
+    all but the last: a step whose result is that last table needs no other."""
+    for path in SCRATCH[mark:-1]:
+        drop_scratch(spark, path)
+    del SCRATCH[mark:-1]
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a scratch table that nothing reads any more."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
