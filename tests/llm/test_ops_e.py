@@ -108,3 +108,90 @@ def test_rows_of_a_group_are_spread(spark, monkeypatch):
             found = re.search(r"Exchange hashpartitioning\(([^)]*?), \d+\)", line)
             if found and re.fullmatch(r"grp#\d+", found[1]):
                 assert "HashAggregate" in lines[k + 1] or "partial" in lines[k + 1], line
+
+
+NAMES = ["leak", "__leak", "__row", "__found", "__extra", "__t", "__c", "__base", "__more", "__pii", "row", "s", "key", "grp"]
+
+
+@pytest.mark.parametrize("apply", ["decontaminate", "prefix_ranks", "gear_chunks", "redact", "leaks"])
+def test_clashing_columns_pass_through(spark, apply):
+    from tallystar.llm import op01_automaton, op03_prefix_ranks, op06_gear_chunks, op08_weak_pii
+    item = "one two three four five six seven eight nine ten eleven"
+    long = "".join(chr(97 + k * 7 % 26) for k in range(400))
+    texts = ["clean text here", f"before {item} after " + "word " * 40, None, "", f"mail a.b@example.org now {long}", f"x{long}"]
+    df = spark.createDataFrame([(k, t, "en", "s", 0, *[f"{n}{k}" for n in NAMES]) for k, t in enumerate(texts)],
+                               DOC + ", " + ", ".join(f"{n} string" for n in NAMES))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    run = {"decontaminate": lambda: op01_automaton.decontaminate(df, items),
+           "leaks": lambda: op01_automaton.find_leaks(df, items, column="found"),
+           "prefix_ranks": lambda: op03_prefix_ranks.deduplicate(df),
+           "gear_chunks": lambda: op06_gear_chunks.deduplicate(df), "redact": lambda: op08_weak_pii.redact(df)}[apply]
+    out = run()
+    assert out.columns[:len(df.columns)] == df.columns
+    rows = out.collect()
+    assert len(rows) == len(texts)
+    assert all(r[n] == f"{n}{r.doc_id}" for r in rows for n in NAMES)
+    assert run().limit(0).count() == 0
+
+
+def test_line_blocks_weigh_markers():
+    from tallystar.llm.op05_lineblock import main_text
+    long = "<p>" + "A sentence of the article goes on and on. " * 8 + "</p>"
+    body = main_text(f'<article><h1>Title</h1></article><div class="content">{long}{long}</div><div>x</div>')
+    assert body.startswith("Title\nA sentence") and body.count("A sentence") == 16
+    teaser = f"<article><h1>Main</h1>{long}{long}</article><p>Read also</p><article><p>A teaser of another text.</p></article>"
+    assert main_text(teaser).startswith("Main\n") and "teaser" not in main_text(teaser) and "Read also" not in main_text(teaser)
+    for name in ("user-comments", "comments", "comment-list", "reader_comments", "disqus_thread", "replies"):
+        for outer in ("article", "div"):
+            page = f'<{outer}><h1>T</h1>{long}<div class="{name}">{long.replace("sentence", "remark")}</div></{outer}>'
+            assert "remark" not in main_text(page) and main_text(page).count("A sentence") == 8, name
+    assert "A sentence" in main_text(f'<div class="has-comments">{long}</div>')
+    assert main_text(f'<article>{long}<p style="Display : none">gone</p><p hidden>gone</p></article>').count("gone") == 0
+    assert "word" not in main_text(f"<article>{long}{long}</article><p>{'word ' * 60}</p>")
+
+
+def test_segments_equal_a_loop():
+    from tallystar.llm.op05_lineblock import segments
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = [rng.choice([0, 0, 5, 20, 50, 90]) for _ in range(rng.randrange(1, 40))]
+        inside = [False] * len(sizes)
+        for k in range(len(sizes)):
+            if sum(sizes[k:k + 3]) >= 80:
+                for j in range(k, min(k + 3, len(sizes))):
+                    inside[j] = True
+        want, first = [], None
+        for k, flag in enumerate([*inside, False]):
+            if flag and first is None:
+                first = k
+            elif not flag and first is not None:
+                want.append((first, k))
+                first = None
+        assert segments(np.array(sizes), 3, 80) == want
+
+
+def test_unmarked_pages_give_their_article(spark, sf_dir):
+    """Markers removed: the distribution finds nearly the same text."""
+    from tallystar.llm.op05_lineblock import main_text
+    same = total = extra = 0
+    for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        want = main_text(r.html)
+        bare = re.sub(r"</?article>", "", r.html).replace('class="ad"', "").replace("<nav>", "<div>").replace("</nav>", "</div>")
+        got = main_text(bare)
+        total += len(want)
+        same += sum(len(x) + 1 for x in want.split("\n") if x in set(got.split("\n")))
+        extra += sum(len(x) + 1 for x in got.split("\n") if x not in set(want.split("\n")))
+    assert same >= 0.97 * total and extra <= 0.1 * total
+
+
+@pytest.mark.parametrize("piece", ["<div>x", "</p>", "<select>", "<textarea>x<p>", "<a '", "<a \"<b '", "<", "<!--x", "<div class='ad'>y",
+                                   "<p style='", "&amp;<i>", "<article>z"])
+def test_hostile_pages_are_linear(piece):
+    import time
+
+    from tallystar.llm.op05_lineblock import main_text
+    page = piece * (2_000_000 // len(piece))
+    start = time.process_time()
+    main_text(page)
+    main_text("<article><p>" + page)
+    assert time.process_time() - start < 30
