@@ -83,7 +83,8 @@ def _round(df: DataFrame, keys: Sequence[str], period: int, window: int, weigh:
         order.rowsBetween(1 - window, window - 1))
     df = df.withColumn("_near", near)
     df = df.withColumn("trend", loess_line(F.col("_near"), F.col("_i"), F.col("_n"), window, F.coalesce("_z", F.lit(0.0))))
-    df = df.withColumn("_r", F.abs(F.col("_z") - F.col("trend")))
+    # Noise in the last bits must not decide weights where most remainders are zero.
+    df = df.withColumn("_r", F.round(F.abs(F.col("_z") - F.col("trend")), 9))
     if weigh:
         df = df.withColumn("_h", 6.0 * F.median("_r").over(whole))
         u = F.col("_r") / F.col("_h")
@@ -116,4 +117,10 @@ def stl(series: DataFrame, value: str = "total_orders", period: int = 7, robust:
     rest = F.col("observed") - F.col("trend") - F.col("seasonal")
     parts = {"trend": F.col("trend"), "seasonal": F.col("seasonal"), "remainder": rest}
     return df.select(*keys, "date_id", "observed",
-                     *[(F.round(c, digits) if digits is not None else c).alias(name) for name, c in parts.items()])
+                     *[(_shown(c, digits) if digits is not None else c).alias(name) for name, c in parts.items()])
+
+
+def _shown(c: Column, digits: int) -> Column:
+    """Rounded by way of 9 digits, so that noise in the last bits of an exact
+    half cannot decide; without a negative zero."""
+    return F.round(F.round(c, 9), digits) + F.lit(0.0)

@@ -233,10 +233,11 @@ t{k} AS MATERIALIZED (
   SELECT q.date_id, q.y, q.i, q.n, q.s, CASE WHEN s0 > 0 THEN CASE WHEN sqrt(greatest(sq - mean*mean, 0.0)) > 0.001 * (q.n - 1)
               THEN level - mean / (sq - mean*mean) * (xz - mean*level) ELSE level END ELSE q.z END AS t
   FROM s{k} q JOIN m{k} ON q.i = m{k}.i),
-h{k} AS (SELECT 6.0 * median(abs(y - s - t)) AS h FROM t{k}),
-y{k} AS MATERIALIZED (SELECT date_id, y, i, n, {weight} AS w, t, s FROM (SELECT t{k}.*, abs(y - s - t) AS r, h FROM t{k}, h{k}) u)"""
+h{k} AS (SELECT 6.0 * median(round(abs(y - s - t), 9)) AS h FROM t{k}),
+y{k} AS MATERIALIZED (SELECT date_id, y, i, n, {weight} AS w, t, s FROM (SELECT t{k}.*, round(abs(y - s - t), 9) AS r, h FROM t{k}, h{k}) u)"""
     return out + f""",
-stl AS (SELECT date_id, y AS observed, round(t, 4) AS trend, round(s, 4) AS seasonal, round(y - t - s, 4) AS remainder
+stl AS (SELECT date_id, y AS observed, round(round(t, 9), 4) + 0.0 AS trend, round(round(s, 9), 4) + 0.0 AS seasonal,
+               round(round(y - t - s, 9), 4) + 0.0 AS remainder
         FROM y{rounds}),
 trimmed AS (SELECT date_id, observed, CASE WHEN date_id > MAX(date_id) OVER () - INTERVAL 21 DAY THEN NULL ELSE trend END AS trend,
                    seasonal, remainder FROM stl)"""

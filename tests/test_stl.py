@@ -42,7 +42,7 @@ def numpy_stl(y, robust, q=11, period=7):
         seasonal = (c - c.mean())[place]
         trend = loess(y - seasonal, w, q)
         if robust and at < rounds - 1:
-            r = np.abs(y - seasonal - trend)
+            r = np.round(np.abs(y - seasonal - trend), 9)
             h = 6 * np.median(r)
             w = np.where(r <= .001 * h, 1, np.where(r <= .999 * h, (1 - (r / max(h, 1e-300)) ** 2) ** 2, 0))
     return trend, seasonal
