@@ -8,9 +8,10 @@ or more of them into every one of k // 2 + 1 groups, some group differs in at
 most ``K2`` = 1 part, and the sets share one of the enumerated signatures of
 ``N2 - K2`` parts. Sets take signatures for their own band and the next, so
 any two similar sets meet in one band. Groups are taken in a fixed order, the
-ones of shingles found often in a small sample of documents last: that order
-only saves work, any order gives the same links. Small sets (up to
-``SINGLES``) use single shingles as parts: the first k + 1 in that order.
+ones of shingles counted in many documents last: that order only saves work,
+any order gives the same links. Small sets (up to ``SINGLES``) use single
+shingles as parts: as many of the first in that order as a similar set can
+lack, and one more.
 
 Signatures are packed into one binary value per bucket and batch (about 5
 bytes each), so the shuffle holds no row per signature. A bucket (about
@@ -21,15 +22,16 @@ other pairs only those across components are verified then, so a group of near
 copies costs about one pair for each member. Verification is on the full
 shingle sets, after exact bounds from sizes and parity sketches. Signatures that still hold several components then have
 their members compared across components by the same bounds, inside tasks and
-in blocks, and the pairs that pass are verified. So no link between different
-sets is lost, members already joined are not paired again, and the pairs of a
-group are never rows of a table.
+in blocks. Of the pairs that pass, each member's ``CLOSEST`` few are verified
+first, which joins most of a group; then all that are still across components
+are. So no link between different sets is lost, members already joined are not
+paired again, and the pairs of a group are never rows of a table.
 
 Equal sets (64-bit sum of shingle hashes) are one set throughout, so copies
 are never paired. A group needs at least two filled parts to count; a set
-short of such groups takes all it has (below 1 in 1,000 sets just above
-SINGLES, falling quickly with size, and only pairs at the very threshold
-could then be missed). Null and empty texts have empty sets, linked with
+short of such groups takes all it has and signs by single shingles as well: a
+similar set that is not short meets it in one of its own groups, one that is
+short by a shingle. Null and empty texts have empty sets, linked with
 nothing; repeated rows have equal sets; an empty table gives no rows; extra
 columns pass through whatever their names.
 """
@@ -38,7 +40,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallystar.llm.batches import bound_batches, release, tidy
@@ -55,12 +57,16 @@ SINGLES = 224               # largest set with single shingles as parts
 GROUP_FILL = 1.75           # shingles per group at the low end of a band (3.5 at the top)
 BUCKET_ENTRIES = 1_000_000
 BYTES_PER_ENTRY = 6         # text bytes per signature, to size the buckets
-SAMPLE_DOCUMENTS = 8_000    # documents looked at to find frequent shingles
+SLAB = 1 << 21              # shingles counted at a time to find the frequent ones
+SLAB_DOCUMENTS = 8_000      # documents a counting task has at least
 MAX_SKETCH_BITS = 1 << 16
 SMALL = 32                  # members of a signature paired by a join
 FIRST = 16                  # signatures a member brings to a comparison
 BLOCK = 1024                # members of a signature compared at once
-FREQUENT = 4                # sampled documents that make a shingle frequent
+CLOSEST = 4                 # nearest members of other components verified first
+COMPARED = 1 << 20          # words of two sketches laid against each other at once
+FREQUENT = 4                # documents, and
+FREQUENT_SHARE = 1 / 2000   # share of them, that make a shingle frequent
 SIG_MASK = np.uint64((1 << 32) - 1)
 
 
@@ -98,13 +104,13 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     if not size:
         return np.zeros(0, np.uint64)
     k = size * (100 - PERCENT) // PERCENT      # most differences to any similar set
+    alone = size * (100 - PERCENT) // 100 + 1  # single shingles, one more than a similar set can lack
     rank = np.searchsorted(frequent, s) if len(frequent) else np.zeros(size, np.int64)
     often = frequent[np.minimum(rank, len(frequent) - 1)] == s if len(frequent) else np.zeros(size, bool)
-    out = []
+    out, single = [], False
     for groups in bands(size):
         if not groups:
-            order = np.concatenate((s[~often], s[often]))
-            out.append(mix64(order[:k + 1] + np.uint64(77)))
+            single = True
             continue
         spot = mix64(s + np.uint64(groups * int(BASE) & (1 << 64) - 1))
         part = (spot % np.uint64(groups * N2)).astype(np.int64)
@@ -119,6 +125,7 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
         filled = np.diff(np.append(begin, len(group)))
         good = np.cumsum(filled >= N2 - K2)
         last = int(np.searchsorted(good, k // (K2 + 1) + 1)) + 1      # groups taken
+        single |= last > len(good)                                    # short of groups
         table = np.zeros((len(begin), N2), np.uint64)
         table[np.repeat(np.arange(len(begin)), filled), part % N2] = content
         table, name = table[:last], group[begin][:last].astype(np.uint64)
@@ -128,6 +135,8 @@ def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
                 x = mix64(table[:, a] * BASE + np.uint64(a * N2 + b + 1)) + table[:, b]
                 out.append(mix64(mix64(x) + (name * np.uint64(64) + np.uint64(a * N2 + b)) * BASE
                                  + np.uint64(groups))[any_])
+    if single:
+        out.append(mix64(np.concatenate((s[~often], s[often]))[:alone] + np.uint64(77)))
     return np.concatenate(out)
 
 
@@ -202,23 +211,37 @@ def _meet(blobs) -> pd.DataFrame:
 
 
 def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
-    """Sorted shingles of FREQUENT or more of about SAMPLE_DOCUMENTS documents
-    (one per distinct set). Only orders the parts."""
+    """Sorted shingles of many documents, counted over all of them (texts equal
+    within a slab count once). Each slab passes on the shingles of its own share
+    of ``least`` documents, so what it holds back adds up to less than that:
+    every shingle of 2 * least documents is found, none of fewer than least.
+    Only orders the parts."""
     n = docs.count()
-    share = min(1.0, SAMPLE_DOCUMENTS / max(1, n))
-    spread = F.pmod(F.xxhash64(F.col(text), F.lit(17)), F.lit(1 << 30))
+    least = max(FREQUENT, n * FREQUENT_SHARE)
+
+    def fold(sets):
+        h, c = np.unique(np.concatenate(sets), return_counts=True)
+        keep = c * n >= least * len(sets)
+        return pd.DataFrame({"h": h[keep].view(np.int64), "c": c[keep].astype(np.int64)})
 
     def run(batches):
+        full, held, seen = [], [], set()
         for pdf in batches:
             for _, raw in _sliced(pdf, "text"):
-                sets = [s for s in shingle_sets(raw) if len(s)]
-                yield pd.DataFrame({"h": np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64),
-                                    "s": np.repeat(np.array([set_id(s) for s in sets], np.int64), [len(s) for s in sets])})
-
-    sample = docs.where(spread < int(share * (1 << 30))).select(F.col(text).alias("text")).distinct()
-    often = (sample.mapInPandas(run, "h long, s long").distinct().groupBy("h").agg(F.count("*").alias("n"))
-             .where(F.col("n") >= FREQUENT).select("h"))
-    rows = often.collect()          # at most the sample's shingles / FREQUENT
+                new = {hash(t): t for t in raw if hash(t) not in seen}
+                seen.update(new)
+                held += [s for s in shingle_sets(list(new.values())) if len(s)]
+                if sum(map(len, held)) >= SLAB:       # kept until the next is full, so none is small
+                    if full:
+                        yield fold(full)
+                    full, held, seen = held, [], set()
+        if full or held:
+            yield fold(full + held)
+
+    texts = docs.select(F.col(text).alias("text")).coalesce(max(1, n // SLAB_DOCUMENTS))
+    often = (texts.mapInPandas(tidy(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+             .where(F.col("c") >= least).select("h"))
+    rows = often.collect()          # at most the shingles of all sets / least: as many for any number of documents
     return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
 
 
@@ -342,12 +365,13 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: s
     return cut_lineage(both.where(F.pandas_udf(run, "boolean")("t_a", "t_b")).select("a", "b"))
 
 
-def _compare(n, sets, roots, sketches, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _compare(n, roots, sketches, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs (of ``first`` x ``second``) in different components that
-    sizes and sketches do not rule out."""
-    out_a, out_b = [], []
-    for at in range(0, len(first), 64):
-        i = first[at:at + 64]
+    sizes and sketches do not rule out, and how far apart their sketches are."""
+    out_a, out_b, out_d = [], [], []
+    step = min(64, max(1, COMPARED // (len(second) * sketches.shape[1])))
+    for at in range(0, len(first), step):
+        i = first[at:at + step]
         apart = np.bitwise_count(sketches[i][:, None, :] ^ sketches[second][None, :, :]).sum(axis=2, dtype=np.int64)
         total = n[i][:, None] + n[second][None, :]
         ok = ((100 + PERCENT) * apart <= (100 - PERCENT) * total) & (roots[i][:, None] != roots[second][None, :])
@@ -355,17 +379,30 @@ def _compare(n, sets, roots, sketches, first: np.ndarray, second: np.ndarray) ->
         x, y = np.nonzero(ok)
         out_a.append(i[x])
         out_b.append(second[y])
-    return np.concatenate(out_a), np.concatenate(out_b)
+        out_d.append(apart[x, y] / total[x, y])
+    return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_d)
+
+
+def _closest(x: np.ndarray, y: np.ndarray, far: np.ndarray, few: int) -> np.ndarray:
+    """Whether a pair is among the ``few`` nearest of either member."""
+    keep = np.zeros(len(x), bool)
+    for own, other in ((x, y), (y, x)):
+        order = np.lexsort((other, far, own))
+        sorted_ = own[order]
+        keep[order[np.arange(len(order)) - np.searchsorted(sorted_, sorted_) < few]] = True
+    return keep
 
 
-def across(named: DataFrame, sets: DataFrame) -> DataFrame:
+def across(named: DataFrame, sets: DataFrame, few: int | None = None, wide_only: bool = False) -> DataFrame:
     """Pairs (a, b) of members of one signature (grp, set, root) in different
     components that sizes do not rule out. Up to SMALL members meet in a join;
     those of larger groups are compared by their sketches inside tasks, in
     blocks of about BLOCK, so a large group is spread and none of its pairs is
-    a row before it has passed."""
+    a row before it has passed. With ``few``, a member of a larger group brings
+    its ``few`` nearest there only; without, groups of up to SMALL, which such
+    a call has paired, are left out if ``wide_only``."""
     split = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")) \
-        .where("lo != hi").select("grp", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+        .where("lo != hi").where(F.col("m") > (SMALL if wide_only else 0)).select("grp", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     open_ = cut_lineage(named.join(split, "grp"))
     sized = open_.where(F.col("m") <= SMALL).join(sets.select("set", "n").distinct(), "set")
     left = sized.select("grp", F.col("set").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
@@ -398,7 +435,13 @@ def across(named: DataFrame, sets: DataFrame) -> DataFrame:
         mine = (pdf["own"] == pdf["p"]).to_numpy()
         first = np.flatnonzero(mine)
         second = first if mine.all() else np.flatnonzero(~mine)
-        x, y = _compare(n, ids, roots, sketches, first, second)
+        x, y, far = _compare(n, roots, sketches, first, second)
+        if first is second:                                        # each pair once
+            x, y, far = x[x < y], y[x < y], far[x < y]
+        if few:
+            near = _closest(x, y, far, few)
+            x, y, far = x[near], y[near], far[near]
+            return pd.DataFrame({"a": np.maximum(ids[x], ids[y]), "b": np.minimum(ids[x], ids[y]), "far": far})
         grp, held = int(pdf["grp"].iloc[0]), {}
         lists = pdf["grps"].tolist()
         for i in np.unique(np.concatenate((x, y))).tolist():
@@ -407,10 +450,15 @@ def across(named: DataFrame, sets: DataFrame) -> DataFrame:
         new = np.array([held[i].isdisjoint(held[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
         x, y = x[new], y[new]
         pair = np.unique(np.stack([np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])], axis=1), axis=0)
-        return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})
+        return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1], "far": np.zeros(len(pair))})
 
-    large = spread.groupBy("grp", "p", "q").applyInPandas(run, "a long, b long")
-    return small.unionByName(large).distinct()
+    large = spread.groupBy("grp", "p", "q").applyInPandas(run, "a long, b long, far double")
+    if few:                                                        # the nearest of all its groups
+        large = large.groupBy("a", "b").agg(F.min("far").alias("far"))
+        sides = large.select("*", F.explode(F.array("a", "b")).alias("own"))
+        rank = F.row_number().over(Window.partitionBy("own").orderBy("far", "a", "b"))
+        large = sides.withColumn("rank", rank).where(F.col("rank") <= few)
+    return small.unionByName(large.select("a", "b")).distinct()
 
 
 def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
@@ -433,15 +481,22 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
     if rest.first() is not None:
         links = links.unionByName(verify(rest, docs, sets, key, text))
         root = components(links)
-    # Signatures that still hold several components: compare across them.
-    members = found.where("grp != 0").select("grp", F.col("a").alias("set")).distinct()
-    named = cut_lineage(members.join(root.withColumnRenamed("node", "set"), "set", "left")
-                        .withColumn("root", F.coalesce("root", "set")))
-    more = cut_lineage(across(named, sets).join(pairs, ["a", "b"], "left_anti"))
-    if more.first() is not None:
-        more = verify(more, docs, sets, key, text)
+    # Signatures that still hold several components: compare across them, the
+    # nearest members first.
+    members = cut_lineage(found.where("grp != 0").select("grp", F.col("a").alias("set")).distinct())
+    for few, wide_only in ((CLOSEST, False), (None, True)):
+        if wide_only:
+            wide = named.groupBy("grp").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+            members = named.join(wide.where(F.col("m") > SMALL).where("lo != hi"), "grp", "left_semi").select("grp", "set")
+        named = cut_lineage(members.join(root.withColumnRenamed("node", "set"), "set", "left")
+                            .withColumn("root", F.coalesce("root", "set")))
+        more = cut_lineage(across(named, sets, few, wide_only).join(pairs, ["a", "b"], "left_anti"))
         if more.first() is not None:
-            root = components(links.unionByName(more))
+            linked = verify(more, docs, sets, key, text)
+            pairs = pairs.unionByName(more)
+            if linked.first() is not None:
+                links = links.unionByName(linked)
+                root = components(links)
     return (sets.join(cut_lineage(root).withColumnRenamed("node", "set"), "set", "left")
             .select("key", "row", "set", "n", F.coalesce("root", "set").alias("root")))
 
