@@ -16,13 +16,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystar.functions.scalar import exact_round, strip_the
+from tallystar.operators.composition import order_products
 from tallystar.operators.cooccur import pair_comoments, pair_counts, pearson
 from tallystar.session import cut_lineage
 
 
 def order_items(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """One row per (order, product): map-side partial distinct, then names."""
-    return (fact.select("order_id", "product_id").distinct()
+    """One row per (order, product), then names."""
+    return (order_products(fact)
             .join(dim_product.select("product_id", "name", "category"), "product_id")
             .select("order_id", "product_id", "name", "category"))
 
