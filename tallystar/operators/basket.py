@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallystar.functions.scalar import exact_round, strip_the
 from tallystar.operators.composition import order_products
 from tallystar.operators.cooccur import pair_comoments, pair_counts, pearson
-from tallystar.session import cut_lineage
+from tallystar.session import cut_lineage, deal_count, dealt
 
 
 def order_items(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -53,14 +53,22 @@ def _label_pairs(pairs: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def pair_support(items: DataFrame, dim_product: DataFrame, min_support: int = 1) -> DataFrame:
-    """Orders containing both products, for every pair in ``min_support`` orders or more."""
+    """Orders containing both products, for every pair in ``min_support`` orders or more.
+
+    The (order, product) rows are written once: their number tells in how many
+    partitions orders are dealt, so the sort of a task does not grow with them.
+    """
+    items = cut_lineage(items.select("order_id", "product_id"))
+    return _pairs_of(items, dim_product, min_support, deal_count(items))
+
+
+def _pairs_of(rows: DataFrame, dim_product: DataFrame, min_support: int, parts: int | None) -> DataFrame:
     index = product_index(dim_product)
-    rows = items.select("order_id", "product_id")
     if min_support > 1:
         frequent = rows.groupBy("product_id").count().where(F.col("count") >= min_support)
         rows = rows.join(frequent.select("product_id"), "product_id", "left_semi")
     rows = rows.join(index.select("product_id", "idx"), "product_id").select("order_id", "idx")
-    pairs = pair_counts(rows, ["order_id"], "idx")
+    pairs = pair_counts(rows, ["order_id"], "idx", parts)
     if min_support > 1:
         pairs = pairs.where(F.col("n") >= min_support)
     return (_label_pairs(pairs, index)
@@ -78,12 +86,13 @@ def pair_lift(items: DataFrame, dim_product: DataFrame, min_support: int = 50) -
 
     The (order, product) rows are written once; supports, the number of orders
     N (a one-row scalar) and the pairs of frequent products read them, so the
-    fact is scanned once.
+    fact is scanned once. Large ones are dealt by order to count the orders too.
     """
     items = cut_lineage(items.select("order_id", "product_id"))
-    pairs = pair_support(items, dim_product, min_support)
+    parts = deal_count(items)
+    pairs = _pairs_of(items, dim_product, min_support, parts)
     support = items.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
-    n_orders = items.agg(F.countDistinct("order_id").cast("decimal(17,0)")).scalar()
+    n_orders = dealt(items.select("order_id"), parts, "order_id").agg(F.countDistinct("order_id").cast("decimal(17,0)")).scalar()
     for side in "ab":
         pairs = pairs.join(support.select(F.col("product_id").alias(f"product_id_{side}"), F.col("n").alias(f"orders_{side}")),
                            f"product_id_{side}")

@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallystar.session import dealt
+
 WIDE = 1024
 PAIRS = 1 << 20
 HELD = 1 << 20
@@ -142,10 +144,11 @@ def _then_none(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]
     yield None
 
 
-def _partial(rows: DataFrame, group_cols: Sequence[str], item: str, value: str | None, schema: str) -> DataFrame:
+def _partial(rows: DataFrame, group_cols: Sequence[str], item: str, value: str | None, schema: str,
+             parts: int | None = None) -> DataFrame:
     groups = list(group_cols)
     cols = [*groups, item] + ([value] if value else [])
-    counted = (rows.select(*cols).dropna(subset=groups)
+    counted = (dealt(rows.select(*cols).dropna(subset=groups), parts, *groups)
                .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*groups))))
     narrow = (counted.where(F.col("_k") <= WIDE).drop("_k").sortWithinPartitions(*groups)
               .mapInPandas(_make_task(groups, item, value), schema))
@@ -163,10 +166,11 @@ def _partial(rows: DataFrame, group_cols: Sequence[str], item: str, value: str |
     return narrow.unionByName(wide)
 
 
-def pair_counts(rows: DataFrame, group_cols: Sequence[str], item: str) -> DataFrame:
+def pair_counts(rows: DataFrame, group_cols: Sequence[str], item: str, parts: int | None = None) -> DataFrame:
     """(item_a, item_b, n) with item_a < item_b: groups that hold both items.
-    ``rows``: one row for each (group, item), items numbered."""
-    return _partial(rows, group_cols, item, None, _COUNTS).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
+    ``rows``: one row for each (group, item), items numbered; their groups are
+    dealt in ``parts`` partitions (default: as the session does)."""
+    return _partial(rows, group_cols, item, None, _COUNTS, parts).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
 
 
 def pair_comoments(rows: DataFrame, group_cols: Sequence[str], item: str, value: str) -> DataFrame:
