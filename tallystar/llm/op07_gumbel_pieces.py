@@ -190,9 +190,10 @@ class Lattice:
             self.p[lo:hi] = x / np.repeat(mass, count[a:b])
         # Draws take the likeliest edge of a node first, then the others in order.
         best = np.maximum.reduceat(self.p, first[:-1]) if n else self.p
-        is_top = np.flatnonzero(self.p == np.repeat(best, count))
+        owner = np.repeat(np.arange(n, dtype=np.int32), count)
+        is_top = np.flatnonzero(self.p == best[owner])
         self.top = np.empty(n, np.int64)
-        self.top[np.searchsorted(first, is_top[::-1], side="right") - 1] = is_top[::-1]
+        self.top[owner[is_top[::-1]]] = is_top[::-1]
         self.p_top = np.where(count == 1, 1.0, best)
         self.first, self.n, self.entry = first, n, rank[start].astype(np.int64)
 
@@ -381,18 +382,21 @@ def _earliest(samples: list[_Sample]):
     return best
 
 
-def _ids(edge_ids: np.ndarray, n_ids: int, byte_ids: np.ndarray) -> np.ndarray:
-    """Piece numbers with characters outside the vocabulary as byte pieces."""
+def _ids(edge_ids: np.ndarray, n_ids: int, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Piece numbers with characters outside the vocabulary as byte pieces, and
+    where those of each edge begin (one more: the end)."""
+    width = np.ones(len(edge_ids), np.int64)
     odd = np.flatnonzero(edge_ids >= n_ids)
-    if not len(odd):
-        return edge_ids
-    parts, at = [], 0
-    for j in odd.tolist():
-        cp = int(edge_ids[j]) - n_ids
-        char = MARK if cp == LITERAL_MARK else chr(cp)
-        parts += [edge_ids[at:j], byte_ids[np.frombuffer(char.encode("utf-8", "surrogatepass"), np.uint8)]]
-        at = j + 1
-    return np.concatenate([*parts, edge_ids[at:]])
+    chars, which = np.unique(edge_ids[odd] - n_ids, return_inverse=True)
+    coded = [(MARK if c == LITERAL_MARK else chr(c)).encode("utf-8", "surrogatepass") for c in chars.tolist()]
+    width[odd] = np.array([len(x) for x in coded], np.int64)[which]
+    begin = np.concatenate(([0], np.cumsum(width)))
+    out = np.repeat(edge_ids.astype(np.int32), width)
+    for k in range(max(map(len, coded), default=0)):
+        byte = byte_ids[np.array([x[min(k, len(x) - 1)] for x in coded], np.int64)][which]
+        wide = width[odd] > k
+        out[begin[odd[wide]] + k] = byte[wide]
+    return out, begin
 
 
 def decode_ids(raw: list[bytes], ids) -> str:
@@ -416,10 +420,11 @@ def _sub_batches(texts: list):
 
 def _as_arrow(rows: list, n_ids: int, byte_ids: np.ndarray) -> pa.Array:
     flat = [x for r in rows for x in r]
-    ids = [_ids(x[0], n_ids, byte_ids).astype(np.int32) for x in flat]
-    inner = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+    edges = np.concatenate([x[0] for x in flat]) if flat else np.zeros(0, np.int32)
+    ids, begin = _ids(edges, n_ids, byte_ids)
+    inner = begin[np.concatenate(([0], np.cumsum([len(x[0]) for x in flat], dtype=np.int64)))].astype(np.int32)
     outer = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
-    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+    values = pa.array(ids, pa.int32())
     item = pa.StructArray.from_arrays(
         [pa.ListArray.from_arrays(pa.array(inner), values), pa.array(np.array([x[1] for x in flat], float)),
          pa.array(np.array([x[2] for x in flat], float))], ["ids", "logp", "log_inclusion"])
@@ -428,13 +433,22 @@ def _as_arrow(rows: list, n_ids: int, byte_ids: np.ndarray) -> pa.Array:
 
 def _round_trips(raw: list[bytes], samples: pa.Array, texts: list) -> pa.Array:
     """Whether all segmentations of a text decode to it."""
-    table = np.array(raw, dtype=object)
+    joined, size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw])
+    start = np.cumsum(size) - size
     ids, bounds = samples.flatten().field("ids"), samples.offsets.to_numpy()
     values, cuts = ids.values.to_numpy(), ids.offsets.to_numpy()
+
+    def decoded(ids: np.ndarray) -> bytes:
+        length = size[ids]
+        end = np.cumsum(length)
+        at = np.repeat(start[ids] - end + length, length)
+        at += np.arange(len(at))
+        return joined[at[1:]].tobytes()              # without the first mark
+
     out = []
-    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
-        out.append(None if text is None else all(
-            b"".join(table[values[cuts[j]:cuts[j + 1]]].tolist())[1:].decode("utf-8", "surrogatepass") == text for j in range(a, b)))
+    for text, a, b in zip(texts, bounds[:-1].tolist(), bounds[1:].tolist()):
+        own = None if text is None else text.encode("utf-8", "surrogatepass")
+        out.append(None if text is None else all(decoded(values[cuts[j]:cuts[j + 1]]) == own for j in range(a, b)))
     return pa.array(out, pa.bool_())
 
 

@@ -89,3 +89,11 @@ def test_group_of_near_copies_costs_one_pair_a_member(spark, monkeypatch):
         return sum(p.count() for p in seen)
     few, many = run(40), run(160)
     assert many <= 8 * few, (few, many)
+
+
+def test_pieces_that_are_no_text_do_not_round_trip():
+    raw = [b" a", b"\xff", "é".encode()]
+    rows = [[(np.array(ids, np.int32), 0.0, 0.0)] for ids in ([0, 1], [0, 2], [0, 3 + 0xE9])]
+    samples = op07_gumbel_pieces._as_arrow(rows, 3, np.array([0] * 0xA9 + [1] + [0] * 86, np.int32))
+    assert op07_gumbel_pieces._round_trips(raw, samples, ["a", "aé", "a"]).to_pylist() == [False, True, False]
+    assert samples.flatten().field("ids").to_pylist() == [[0, 1], [0, 2], [0, 0, 1]]
