@@ -145,8 +145,10 @@ _MOMENTS = "origin long, span long, n long, names array<string>, xtx array<doubl
 
 
 def moments(prepared: DataFrame, keys: Sequence[str], spec: Spec) -> DataFrame:
-    """One row of moments for each series and stretch of days."""
+    """One row of moments for each series and stretch of days. Rows are added in
+    order of day, however they arrive, so repeated runs give equal sums."""
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["day", "y"])
         names = sorted({name for own in pdf["events"] for name in own})
         origin, span = int(pdf["origin"].iloc[0]), int(pdf["span"].iloc[0])
         x = np.hstack((spec.design(pdf["day"].to_numpy(dtype=np.float64), origin, span), _event_columns(pdf["events"], names)))
@@ -180,6 +182,7 @@ def solve(moment_rows: DataFrame, keys: Sequence[str], spec: Spec) -> DataFrame:
     base = sum(spec.sizes)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["yty", "n"])                              # one order of adding in every run
         names, xtx, xty, yty, n = added(pdf, base)
         penalty = spec.penalties(len(names))
         factor = np.linalg.cholesky(xtx + np.diag(penalty))
@@ -218,6 +221,7 @@ def predict(fitted: dict, future_only: bool = False) -> DataFrame:
     def apply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({name: pd.Series(dtype=object) for name in columns})
+        left = left.sort_values("day")
         model = right.iloc[0]
         beta, names = np.asarray(model["beta"]), list(model["names"])
         x = spec.design(left["day"].to_numpy(dtype=np.float64), int(model["origin"]), int(model["span"]))
