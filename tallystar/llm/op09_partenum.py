@@ -64,7 +64,8 @@ SMALL = 32                  # members of a signature paired by a join
 FIRST = 16                  # signatures a member brings to a comparison
 BLOCK = 1024                # members of a signature compared at once
 CLOSEST = 4                 # nearest members of other components verified first
-COMPARED = 1 << 20          # words of two sketches laid against each other at once
+COMPARED = 1 << 20          # words of sketches laid against each other at once
+PAIRS_OUT = 1 << 17         # pairs of a comparing task's output batch
 FREQUENT = 4                # documents, and
 FREQUENT_SHARE = 1 / 2000   # share of them, that make a shingle frequent
 SIG_MASK = np.uint64((1 << 32) - 1)
@@ -279,6 +280,11 @@ def with_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("key"), _row(key, text), made).select("key", "row", "s.*")
 
 
+def distinct_sets(sets: DataFrame) -> DataFrame:
+    """set, n, sketch and the smallest row of each set of ``with_sets``."""
+    return sets.groupBy("set").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("row").alias("row"))
+
+
 def _row(key: str, text: str) -> F.Column:
     return F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row")
 
@@ -342,11 +348,12 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of set ids whose full shingle sets are similar. Only
-    texts that a remaining pair needs are gathered, one per set."""
-    left = cut_lineage(possible(pairs, sets.groupBy("set").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))))
+    """The pairs (a, b) of set ids whose full shingle sets are similar. ``sets``
+    has a row per set (see ``distinct_sets``). Only texts that a remaining pair
+    needs are gathered, one per set."""
+    left = cut_lineage(possible(pairs, sets))
     needed = left.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    chosen = sets.join(needed, "set", "left_semi").groupBy("set").agg(F.min("row").alias("row"))
+    chosen = sets.join(needed, "set", "left_semi").select("set", "row")
     texts = cut_lineage(docs.select(_row(key, text), F.col(text).alias("text")).join(chosen, "row")
                         .groupBy("set").agg(F.min("text").alias("text")))
     side = lambda c: texts.select(F.col("set").alias(c), F.col("text").alias(f"t_{c}"))
@@ -366,23 +373,80 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: s
 
 
 def _compare(n, roots, sketches, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index pairs (of ``first`` x ``second``) in different components that
-    sizes and sketches do not rule out, and how far apart their sketches are."""
-    out_a, out_b, out_d = [], [], []
-    step = min(64, max(1, COMPARED // (len(second) * sketches.shape[1])))
+    """Index pairs (of ``first`` x ``second``; each pair once, the smaller index
+    first, where both are the same array) in different components that sizes
+    and sketches do not rule out, and how far apart their sketches are. Half of
+    a sketch's words rule out most pairs; the others are compared whole."""
+    none = np.zeros(0, np.int64)
+    out_a, out_b, out_d = [none], [none], [np.zeros(0)]
+    once, width = first is second, sketches.shape[1]
+    half = -(-width // 2)
+    words_of = np.ascontiguousarray(sketches[second, :half].T)
+    step = min(64, max(1, COMPARED // len(second)))
     for at in range(0, len(first), step):
-        i = first[at:at + step]
-        apart = np.bitwise_count(sketches[i][:, None, :] ^ sketches[second][None, :, :]).sum(axis=2, dtype=np.int64)
-        total = n[i][:, None] + n[second][None, :]
-        ok = ((100 + PERCENT) * apart <= (100 - PERCENT) * total) & (roots[i][:, None] != roots[second][None, :])
-        ok &= np.minimum(n[i][:, None], n[second][None, :]) * 100 >= np.maximum(n[i][:, None], n[second][None, :]) * PERCENT
+        i, skip = first[at:at + step], at if once else 0
+        j = second[skip:]
+        total = n[i][:, None] + n[j][None, :]
+        apart = np.zeros(total.shape, np.uint16)       # of half a sketch: at most MAX_SKETCH_BITS / 2
+        for k in range(half):
+            apart += np.bitwise_count(sketches[i, k][:, None] ^ words_of[k, skip:][None, :])
+        ok = (apart <= (100 - PERCENT) * total // (100 + PERCENT)) & (roots[i][:, None] != roots[j][None, :])
+        ok &= np.minimum(n[i][:, None], n[j][None, :]) * 100 >= np.maximum(n[i][:, None], n[j][None, :]) * PERCENT
         x, y = np.nonzero(ok)
-        out_a.append(i[x])
-        out_b.append(second[y])
-        out_d.append(apart[x, y] / total[x, y])
+        far, size = apart[x, y].astype(np.int64), total[x, y]
+        x, y = i[x], j[y]
+        if half < width:
+            for a in range(0, len(x), piece := max(1, COMPARED // width)):
+                far[a:a + piece] += np.bitwise_count(sketches[x[a:a + piece], half:] ^ sketches[y[a:a + piece], half:]).sum(axis=1, dtype=np.int64)
+        ok = (100 + PERCENT) * far <= (100 - PERCENT) * size
+        if once:
+            ok &= x < y
+        out_a.append(x[ok])
+        out_b.append(y[ok])
+        out_d.append(far[ok] / size[ok])
     return np.concatenate(out_a), np.concatenate(out_b), np.concatenate(out_d)
 
 
+def _folded(raw: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, folded to the shortest one's width."""
+    width = min(map(len, raw))
+    rows = []
+    for x in raw:
+        a = np.frombuffer(x, np.uint8)
+        while len(a) > width:
+            a = a[:len(a) // 2] ^ a[len(a) // 2:]
+        rows.append(a)
+    return np.stack(rows).view(np.uint64)
+
+
+def _groups(batches, columns: list[str]):
+    """Runs of rows of equal ``columns`` of sorted batches, as dicts of arrays;
+    a run may go on in the next batch."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        change = np.zeros(len(pdf), bool)
+        change[0] = bool(held) and any(held[-1][c].iloc[-1] != pdf[c].iloc[0] for c in columns)
+        for c in columns:
+            v = pdf[c].to_numpy()
+            change[1:] |= v[1:] != v[:-1]
+        cuts = np.flatnonzero(change).tolist()
+        if not cuts:
+            held.append(pdf)
+            continue
+        if held or cuts[0]:
+            whole = pd.concat([*held, pdf.iloc[:cuts[0]]]) if cuts[0] else pd.concat(held)
+            yield {c: whole[c].to_numpy() for c in whole}
+        arrays = {c: pdf[c].to_numpy() for c in pdf}
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            yield {c: v[a:b] for c, v in arrays.items()}
+        held = [pdf.iloc[cuts[-1]:]]
+    if held:
+        whole = pd.concat(held)
+        yield {c: whole[c].to_numpy() for c in whole}
+
+
 def _closest(x: np.ndarray, y: np.ndarray, far: np.ndarray, few: int) -> np.ndarray:
     """Whether a pair is among the ``few`` nearest of either member."""
     keep = np.zeros(len(x), bool)
@@ -400,16 +464,15 @@ def across(named: DataFrame, sets: DataFrame, few: int | None = None, wide_only:
     blocks of about BLOCK, so a large group is spread and none of its pairs is
     a row before it has passed. With ``few``, a member of a larger group brings
     its ``few`` nearest there only; without, groups of up to SMALL, which such
-    a call has paired, are left out if ``wide_only``."""
+    a call has paired, are left out if ``wide_only``. ``sets`` has a row per set."""
     split = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")) \
         .where("lo != hi").where(F.col("m") > (SMALL if wide_only else 0)).select("grp", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     open_ = cut_lineage(named.join(split, "grp"))
-    sized = open_.where(F.col("m") <= SMALL).join(sets.select("set", "n").distinct(), "set")
+    sized = open_.where(F.col("m") <= SMALL).join(sets.select("set", "n"), "set")
     left = sized.select("grp", F.col("set").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
     right = sized.select("grp", F.col("set").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
     small = (left.join(right, "grp").where("a > b and ra != rb")
              .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT).select("a", "b"))
-    one = sets.groupBy("set").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     wide = open_.where(F.col("m") > SMALL)
@@ -417,42 +480,46 @@ def across(named: DataFrame, sets: DataFrame, few: int | None = None, wide_only:
     # each member brings its first FIRST signatures to tell. The first shared
     # one always gives the pair.
     first = F.slice(F.array_sort(F.collect_set("grp")), 1, FIRST).alias("grps")
-    one = one.join(wide.groupBy("set").agg(first), "set")
+    one = sets.select("set", "n", "sketch").join(wide.groupBy("set").agg(first), "set")
     spread = (wide.join(one, "set").withColumn("own", own).withColumn("other", other)
               .withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        raw = pdf["sketch"].tolist()
-        width = min(map(len, raw))
-        rows = []
-        for x in raw:
-            a = np.frombuffer(x, np.uint8)
-            while len(a) > width:
-                a = a[:len(a) // 2] ^ a[len(a) // 2:]
-            rows.append(a)
-        sketches = np.stack(rows).view(np.uint64)
-        n, ids, roots = (pdf[c].to_numpy() for c in ("n", "set", "root"))
-        mine = (pdf["own"] == pdf["p"]).to_numpy()
+    def pairs_of(rows: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sketches = _folded(rows["sketch"].tolist())
+        n, ids, roots = rows["n"], rows["set"], rows["root"]
+        mine = rows["own"] == rows["p"]
         first = np.flatnonzero(mine)
         second = first if mine.all() else np.flatnonzero(~mine)
         x, y, far = _compare(n, roots, sketches, first, second)
-        if first is second:                                        # each pair once
-            x, y, far = x[x < y], y[x < y], far[x < y]
         if few:
             near = _closest(x, y, far, few)
             x, y, far = x[near], y[near], far[near]
-            return pd.DataFrame({"a": np.maximum(ids[x], ids[y]), "b": np.minimum(ids[x], ids[y]), "far": far})
-        grp, held = int(pdf["grp"].iloc[0]), {}
-        lists = pdf["grps"].tolist()
+            return np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y]), far
+        grp, held = int(rows["grp"][0]), {}
         for i in np.unique(np.concatenate((x, y))).tolist():
-            before = lists[i]
+            before = rows["grps"][i]
             held[i] = set(before[:np.searchsorted(before, grp)].tolist())
         new = np.array([held[i].isdisjoint(held[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
         x, y = x[new], y[new]
         pair = np.unique(np.stack([np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])], axis=1), axis=0)
-        return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1], "far": np.zeros(len(pair))})
+        return pair[:, 0], pair[:, 1], np.zeros(len(pair))
 
-    large = spread.groupBy("grp", "p", "q").applyInPandas(run, "a long, b long, far double")
+    def run(batches):
+        ready, size = [], 0
+        for rows in _groups(batches, ["grp", "p", "q"]):
+            found = pairs_of(rows)
+            ready.append(found)
+            size += len(found[0])
+            if size >= PAIRS_OUT:
+                yield pd.DataFrame(dict(zip(("a", "b", "far"), map(np.concatenate, zip(*ready)))))
+                ready, size = [], 0
+        if ready:
+            yield pd.DataFrame(dict(zip(("a", "b", "far"), map(np.concatenate, zip(*ready)))))
+
+    # The blocks of a task come one after the other: a call for each would cost
+    # more than most comparisons.
+    large = (spread.repartition("grp", "p", "q").sortWithinPartitions("grp", "p", "q")
+             .mapInPandas(tidy(run), "a long, b long, far double"))
     if few:                                                        # the nearest of all its groups
         large = large.groupBy("a", "b").agg(F.min("far").alias("far"))
         sides = large.select("*", F.explode(F.array("a", "b")).alias("own"))
@@ -472,14 +539,15 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, row, set, n and root (smallest set id reachable) of every document."""
     bound_batches(docs.sparkSession)
     sets = cut_lineage(with_sets(docs, key, text))
+    one = cut_lineage(distinct_sets(sets))
     found = cut_lineage(candidate_groups(docs, text))
     pairs = cut_lineage(found.where("grp = 0").select("a", "b").distinct())
     nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    links = verify(nearest, docs, sets, key, text)
+    links = verify(nearest, docs, one, key, text)
     root = components(links)
     rest = cut_lineage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), root))
     if rest.first() is not None:
-        links = links.unionByName(verify(rest, docs, sets, key, text))
+        links = links.unionByName(verify(rest, docs, one, key, text))
         root = components(links)
     # Signatures that still hold several components: compare across them, the
     # nearest members first.
@@ -490,14 +558,14 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
             members = named.join(wide.where(F.col("m") > SMALL).where("lo != hi"), "grp", "left_semi").select("grp", "set")
         named = cut_lineage(members.join(root.withColumnRenamed("node", "set"), "set", "left")
                             .withColumn("root", F.coalesce("root", "set")))
-        more = cut_lineage(across(named, sets, few, wide_only).join(pairs, ["a", "b"], "left_anti"))
+        more = cut_lineage(across(named, one, few, wide_only).join(pairs, ["a", "b"], "left_anti"))
         if more.first() is not None:
-            linked = verify(more, docs, sets, key, text)
+            linked = verify(more, docs, one, key, text)
             pairs = pairs.unionByName(more)
             if linked.first() is not None:
                 links = links.unionByName(linked)
                 root = components(links)
-    return (sets.join(cut_lineage(root).withColumnRenamed("node", "set"), "set", "left")
+    return (sets.join(root.withColumnRenamed("node", "set"), "set", "left")
             .select("key", "row", "set", "n", F.coalesce("root", "set").alias("root")))
 
 
