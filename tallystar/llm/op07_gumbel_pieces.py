@@ -453,10 +453,11 @@ def _round_trips(raw: list[bytes], samples: pa.Array, texts: list) -> pa.Array:
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SAMPLES, model: str = MODEL,
-           scores: str = "rank", column: str = "samples", check: str | None = None) -> DataFrame:
-    """``docs`` with up to k distinct sampled segmentations of each text.
-    ``check`` names a column that tells whether every one of them decodes to
-    the text (null for a null text)."""
+           scores: str = "rank", column: str = "samples", check: str | None = None,
+           carry: list[str] | None = None) -> DataFrame:
+    """The ``carry`` columns (default: all) with up to k distinct sampled
+    segmentations of each text. ``check`` names a column that tells whether
+    every one of them decodes to the text (null for a null text)."""
     bound_batches(docs.sparkSession)
     vocabulary = load_vocabulary(model, scores)
     # Built once; its size is fixed by the model file (about 10 MB).
@@ -474,11 +475,13 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SA
                     found.append(_round_trips(raw, found[0], texts[a:b]))
                 yield pa.RecordBatch.from_arrays([*rest.slice(a, b - a).columns, *found], names)
 
-    own_text, own_seed = free_name(docs, "__text"), free_name(docs, "__seed")
     made = [column, check] if check else [column]
-    kept = [c for c in docs.columns if c.lower() not in [m.lower() for m in made]]
+    kept = [c for c in (docs.columns if carry is None else carry) if c.lower() not in [m.lower() for m in made]]
     names = [*kept, *made]
-    seeded = docs.select(*kept, F.col(text).alias(own_text), F.xxhash64(F.col(key).cast("string")).alias(own_seed))
+    # The text goes to the tasks once, and comes back only if it is carried.
+    own_text, own_seed = text if text in kept else free_name(docs, "__text"), free_name(docs, "__seed")
+    sent = [] if text in kept else [F.col(text).alias(own_text)]
+    seeded = docs.select(*kept, *sent, F.xxhash64(F.col(key).cast("string")).alias(own_seed))
     schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(column, T._parse_datatype_string(SEGMENTATION)),
                            *([T.StructField(check, T.BooleanType())] if check else [])])
     return seeded.mapInArrow(tidy(run), schema)
@@ -492,5 +495,5 @@ def decode(samples: DataFrame, ids: str = "ids", column: str = "decoded", model:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), check="round_trip").select(
+    return encode(read_table(spark, sf_dir, "documents").select("doc_id", "text"), check="round_trip", carry=["doc_id"]).select(
         "doc_id", F.size("samples").alias("n_samples"), "round_trip", "samples")
