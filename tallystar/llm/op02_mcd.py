@@ -131,7 +131,7 @@ def _model_row(group, start: int, n: float, mean: np.ndarray, cov: np.ndarray) -
 
 def _concentrate(pdf: pd.DataFrame) -> pd.DataFrame:
     """One group and start: bins of sums -> next centre and scatter from the nearest
-    SUPPORT share of its rows (whole bins)."""
+    SUPPORT share of its rows (whole bins), with the determinant it had."""
     pdf = pdf.sort_values("bin")
     n = pdf["n"].to_numpy(dtype=float)
     upto = int(np.searchsorted(np.cumsum(n), SUPPORT * n.sum())) + 1
@@ -141,7 +141,8 @@ def _concentrate(pdf: pd.DataFrame) -> pd.DataFrame:
     cov = np.zeros((P, P))
     for i, j in PAIRS:
         cov[i, j] = cov[j, i] = used[f"s{i}_{j}"].sum() / h - mean[i] * mean[j]
-    return pd.DataFrame([_model_row(pdf["grp"].iloc[0], pdf["start"].iloc[0], n.sum(), mean, cov)])
+    row = _model_row(pdf["grp"].iloc[0], pdf["start"].iloc[0], n.sum(), mean, cov)
+    return pd.DataFrame([row | {"before": pdf["before"].iloc[0]}])
 
 
 def _groups(lang: str, source: str) -> tuple[F.Column, F.Column]:
@@ -199,12 +200,11 @@ def estimate(rows: DataFrame) -> DataFrame:
         d = F.log2(F.greatest(_distance(), F.lit(1e-6)))
         near = F.least(F.greatest(F.floor(d * 128) + BINS // 2, F.lit(0)), F.lit(BINS - 1)).cast("int")
         sums = (_met(fit, model).withColumn("bin", near).groupBy("grp", "start", "bin")
-                .agg(F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(X)],
+                .agg(F.count("*").alias("n"), F.first("logdet").alias("before"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(X)],
                      *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in PAIRS]))
-        nxt = cut_lineage(sums.groupBy("grp", "start").applyInPandas(lambda pdf: _concentrate(pdf), MODEL))
-        moved = (nxt.select("grp", "start", F.col("logdet").alias("now")).join(model, ["grp", "start"])
-                 .agg(F.max(F.abs(F.col("logdet") - F.col("now"))).alias("d")).first()["d"])
-        model = nxt
+        nxt = cut_lineage(sums.groupBy("grp", "start").applyInPandas(lambda pdf: _concentrate(pdf), MODEL + ", before double"))
+        moved = nxt.agg(F.max(F.abs(F.col("before") - F.col("logdet"))).alias("d")).first()["d"]
+        model = nxt.drop("before")
         if moved is None or moved < TOLERANCE:
             break
     # The least determinant (to the stopping tolerance; then the first start) is the estimate.
