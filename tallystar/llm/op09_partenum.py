@@ -40,8 +40,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tallystar.llm.batches import bound_batches, release, tidy
 from tallystar.llm.components import components
@@ -56,7 +58,6 @@ N2, K2 = 3, 1
 SINGLES = 224               # largest set with single shingles as parts
 GROUP_FILL = 1.75           # shingles per group at the low end of a band (3.5 at the top)
 BUCKET_ENTRIES = 1_000_000
-BYTES_PER_ENTRY = 6         # text bytes per signature, to size the buckets
 SLAB = 1 << 21              # shingles counted at a time to find the frequent ones
 SLAB_DOCUMENTS = 8_000      # documents a counting task has at least
 MAX_SKETCH_BITS = 1 << 16
@@ -79,16 +80,28 @@ def shingle_sets(texts: list[bytes], n: int = SHINGLE) -> list[np.ndarray]:
     out = []
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
         if b - a >= n:
-            out.append(np.unique(full[a:b - n + 1]))
+            one = np.sort(full[a:b - n + 1])
+            new = np.ones(len(one), bool)
+            np.not_equal(one[1:], one[:-1], out=new[1:])
+            out.append(one[new])
         else:
             out.append(chains(h[a:b], b - a) if b > a else np.zeros(0, np.uint64))
     return out
 
 
-def set_id(s: np.ndarray) -> int:
-    """Signed 64-bit id of a set."""
-    x = mix64(np.array([mix64(s + np.uint64(1)).sum() + np.uint64(len(s))], np.uint64))
-    return int(x.view(np.int64)[0])
+def _lengths(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Size of each set and where it begins in their concatenation."""
+    size = np.array([len(s) for s in sets], np.int64)
+    return size, np.cumsum(size) - size
+
+
+def set_ids(sets: list[np.ndarray]) -> np.ndarray:
+    """Signed 64-bit ids of sets."""
+    size, begin = _lengths(sets)
+    total, full = np.zeros(len(sets), np.uint64), size > 0
+    if full.any():
+        total[full] = np.add.reduceat(mix64(np.concatenate(sets) + np.uint64(1)), begin[full])
+    return mix64(total + size.astype(np.uint64)).view(np.int64)
 
 
 def bands(size: int) -> list[int]:
@@ -101,44 +114,69 @@ def bands(size: int) -> list[int]:
 
 def signatures(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """PartEnum signatures of one set of shingles."""
-    size = len(s)
-    if not size:
-        return np.zeros(0, np.uint64)
+    return all_signatures([s], frequent)[0]
+
+
+def all_signatures(sets: list[np.ndarray], frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """PartEnum signatures of sets of shingles, and the set (its number) of each."""
+    size, _ = _lengths(sets)
+    flat, own = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
     k = size * (100 - PERCENT) // PERCENT      # most differences to any similar set
     alone = size * (100 - PERCENT) // 100 + 1  # single shingles, one more than a similar set can lack
-    rank = np.searchsorted(frequent, s) if len(frequent) else np.zeros(size, np.int64)
-    often = frequent[np.minimum(rank, len(frequent) - 1)] == s if len(frequent) else np.zeros(size, bool)
-    out, single = [], False
-    for groups in bands(size):
-        if not groups:
-            single = True
-            continue
-        spot = mix64(s + np.uint64(groups * int(BASE) & (1 << 64) - 1))
+    rank = np.searchsorted(frequent, flat) if len(frequent) else np.zeros(len(flat), np.int64)
+    often = frequent[np.minimum(rank, len(frequent) - 1)] == flat if len(frequent) else np.zeros(len(flat), bool)
+    content_of = mix64(flat + np.uint64(5))
+    by_band: dict[int, list[int]] = {}
+    for i, n in enumerate(size.tolist()):
+        for groups in bands(n) if n else ():
+            by_band.setdefault(groups, []).append(i)
+    single = np.zeros(len(sets), bool)
+    single[by_band.pop(0, [])] = True
+    out, out_own = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for groups, members in by_band.items():
+        chosen = np.zeros(len(sets), bool)
+        chosen[members] = True
+        at = np.flatnonzero(chosen[own])
+        spot = mix64(flat[at] + np.uint64(groups * int(BASE) & (1 << 64) - 1))
         part = (spot % np.uint64(groups * N2)).astype(np.int64)
-        part = np.where(often, groups * N2 + rank, part)      # frequent shingles: later groups
-        order = np.argsort(part, kind="stable")
-        part, value = part[order], mix64(s[order] + np.uint64(5))
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        content = np.add.reduceat(value, first)
-        part = part[first]
-        group = part // N2
-        begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        filled = np.diff(np.append(begin, len(group)))
+        part = np.where(often[at], groups * N2 + rank[at], part)      # frequent shingles: later groups
+        most = groups + len(frequent) // N2 + 1                       # groups of a set
+        place = own[at] * (most * N2) + part
+        order = np.argsort(place)
+        place = place[order]
+        first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+        content = np.add.reduceat(content_of[at][order], first)
+        place = place[first]
+        start = np.flatnonzero(np.concatenate(([True], place[1:] // N2 != place[:-1] // N2)))
+        filled = np.diff(np.append(start, len(place)))
+        holder, group = np.divmod(place[start] // N2, most)
         good = np.cumsum(filled >= N2 - K2)
-        last = int(np.searchsorted(good, k // (K2 + 1) + 1)) + 1      # groups taken
-        single |= last > len(good)                                    # short of groups
-        table = np.zeros((len(begin), N2), np.uint64)
-        table[np.repeat(np.arange(len(begin)), filled), part % N2] = content
-        table, name = table[:last], group[begin][:last].astype(np.uint64)
+        # Groups of a set are taken until it has enough good ones.
+        head = np.flatnonzero(np.concatenate(([True], holder[1:] != holder[:-1])))
+        before = np.append(0, good)[head]                              # good groups of the sets before
+        need = k[holder[head]] // (K2 + 1) + 1
+        single[holder[head]] |= good[np.append(head[1:], len(good)) - 1] - before < need     # short of groups
+        per_set = np.diff(np.append(head, len(holder)))
+        taken = np.append(0, good)[:-1] - np.repeat(before, per_set) < np.repeat(need, per_set)
+        table = np.zeros((len(start), N2), np.uint64)
+        table[np.repeat(np.arange(len(start)), filled), place % N2] = content
+        table, name, holder = table[taken], group[taken].astype(np.uint64), holder[taken]
         for a in range(N2):
             for b in range(a + 1, N2):
                 any_ = (table[:, a] != 0) | (table[:, b] != 0)
                 x = mix64(table[:, a] * BASE + np.uint64(a * N2 + b + 1)) + table[:, b]
                 out.append(mix64(mix64(x) + (name * np.uint64(64) + np.uint64(a * N2 + b)) * BASE
                                  + np.uint64(groups))[any_])
-    if single:
-        out.append(mix64(np.concatenate((s[~often], s[often]))[:alone] + np.uint64(77)))
-    return np.concatenate(out)
+                out_own.append(holder[any_])
+    if single.any():
+        at = np.flatnonzero(single[own])
+        at = at[np.argsort(own[at] * 2 + often[at], kind="stable")]
+        lone = np.flatnonzero(single & (size > 0))
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(size[lone]) - size[lone], size[lone])
+        at = at[nth < alone[own[at]]]
+        out.append(mix64(flat[at] + np.uint64(77)))
+        out_own.append(own[at])
+    return np.concatenate(out), np.concatenate(out_own)
 
 
 def _sliced(pdf: pd.DataFrame, column: str, limit: int = 1 << 21):
@@ -157,7 +195,7 @@ def _pack(sets: np.ndarray, sigs: np.ndarray, owner: np.ndarray, n_buckets: int)
     (the bucket comes from the high ones). In a bucket of BUCKET_ENTRIES about
     100 pairs meet by chance; verification drops them."""
     bucket = (sigs >> np.uint64(32)) % np.uint64(n_buckets)
-    order = np.lexsort((owner, bucket))
+    order = np.argsort(bucket.astype(np.int64) * len(sets) + owner)
     bucket, owner, sigs = bucket[order], owner[order], sigs[order] & SIG_MASK
     cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)]):
@@ -211,50 +249,21 @@ def _meet(blobs) -> pd.DataFrame:
                          "b": np.concatenate((pairs[:, 1], sets[take]))})
 
 
-def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
-    """Sorted shingles of many documents, counted over all of them (texts equal
-    within a slab count once). Each slab passes on the shingles of its own share
-    of ``least`` documents, so what it holds back adds up to less than that:
-    every shingle of 2 * least documents is found, none of fewer than least.
-    Only orders the parts."""
-    n = docs.count()
-    least = max(FREQUENT, n * FREQUENT_SHARE)
-
-    def fold(sets):
-        h, c = np.unique(np.concatenate(sets), return_counts=True)
-        keep = c * n >= least * len(sets)
-        return pd.DataFrame({"h": h[keep].view(np.int64), "c": c[keep].astype(np.int64)})
-
-    def run(batches):
-        full, held, seen = [], [], set()
-        for pdf in batches:
-            for _, raw in _sliced(pdf, "text"):
-                new = {hash(t): t for t in raw if hash(t) not in seen}
-                seen.update(new)
-                held += [s for s in shingle_sets(list(new.values())) if len(s)]
-                if sum(map(len, held)) >= SLAB:       # kept until the next is full, so none is small
-                    if full:
-                        yield fold(full)
-                    full, held, seen = held, [], set()
-        if full or held:
-            yield fold(full + held)
-
-    texts = docs.select(F.col(text).alias("text")).coalesce(max(1, n // SLAB_DOCUMENTS))
-    often = (texts.mapInPandas(tidy(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-             .where(F.col("c") >= least).select("h"))
-    rows = often.collect()          # at most the shingles of all sets / least: as many for any number of documents
-    return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
-
-
 def sketch(s: np.ndarray) -> bytes:
     """Parities of the set's shingles over a power of two of bits (at least
     twice the set's size, at most MAX_SKETCH_BITS). Two sets' sketches, folded
     to one width, differ in no more bits than the sets differ in shingles."""
-    bits = 64
-    while bits < 2 * len(s) and bits < MAX_SKETCH_BITS:
-        bits *= 2
-    spot = (mix64(s + np.uint64(31)) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits(np.bincount(spot, minlength=bits) & 1).tobytes()
+    return sketches_of([s])[0]
+
+
+def sketches_of(sets: list[np.ndarray]) -> list[bytes]:
+    """``sketch`` of each set."""
+    spots = (mix64(np.concatenate(sets) + np.uint64(31)) & np.uint64(MAX_SKETCH_BITS - 1)).astype(np.int64)
+    out = []
+    for n, at in zip(*(x.tolist() for x in _lengths(sets))):
+        bits = min(MAX_SKETCH_BITS, max(64, 1 << (2 * n - 1).bit_length()))
+        out.append(np.packbits(np.bincount(spots[at:at + n] & (bits - 1), minlength=bits) & 1).tobytes())
+    return out
 
 
 def sketch_distance(x: bytes, y: bytes) -> int:
@@ -266,18 +275,94 @@ def sketch_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def _least(n: int) -> float:
+    """Documents of ``n`` that make a shingle frequent."""
+    return max(FREQUENT, n * FREQUENT_SHARE)
+
+
+def counted_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Two kinds of rows from one reading of the texts. Of each document: key,
+    row (hash of key and text), set id, number of shingles and sketch. And
+    (h, c), with no set: shingles h found in c texts, of which ``frequent_of``
+    makes the frequent ones. Texts equal within a slab count once. Each slab
+    passes on the shingles of its own share of the documents that make a
+    shingle frequent, so what it holds back adds up to less than that."""
+    n = docs.count()
+    least = _least(n)
+    kinds = [StructField("key", docs.select(key).schema[0].dataType)] + [StructField(c, LongType()) for c in ("row", "set", "n")] \
+        + [StructField("sketch", BinaryType())] + [StructField(c, LongType()) for c in "hc"]
+
+    def fold(sets):
+        share = max(1, int(np.ceil(least * len(sets) / n)))     # texts that a shingle needs to be passed on
+        h = np.concatenate(sets)
+        sets.clear()
+        h.sort()
+        h = h[:len(h) - share + 1][h[share - 1:] == h[:len(h) - share + 1]] if share <= len(h) else h[:0]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+        c = np.diff(np.append(first, len(h))) + share - 1
+        return h[first], c
+
+    def run(batches):
+        names = [f.name for f in kinds]
+        key_kind = None
+
+        def count_rows(sets):
+            h, c = fold(sets)
+            for a in range(0, len(h), SLAB // 16):
+                m = len(h[a:a + SLAB // 16])
+                none = [pa.nulls(m, key_kind), *[pa.nulls(m, pa.int64())] * 3, pa.nulls(m, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*none, pa.array(h[a:a + m].view(np.int64)), pa.array(c[a:a + m].astype(np.int64))], names)
+
+        full, held, size, seen = [], [], 0, set()
+        for batch in batches:
+            key_kind = batch.column("key").type
+            for at, raw in _sliced({"text": batch.column("text").to_pylist()}, "text"):
+                sets, m = shingle_sets(raw), len(raw)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("key").slice(at, m), batch.column("row").slice(at, m), pa.array(set_ids(sets)),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches_of(sets), pa.binary()),
+                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names)
+                for t, s in zip(map(hash, raw), sets):
+                    if t not in seen and len(s):
+                        held.append(s)
+                        size += len(s)
+                    seen.add(t)
+                if size >= SLAB:                          # kept until the next is full, so none is small
+                    if full:
+                        yield from count_rows(full)
+                    full, held, size, seen = held, [], 0, set()
+        if full or held:
+            full += held
+            held.clear()
+            yield from count_rows(full)
+
+    return (docs.select(F.col(key).alias("key"), _row(key, text), F.col(text).cast("binary").alias("text"))
+            .coalesce(max(1, n // SLAB_DOCUMENTS)).mapInArrow(tidy(run), StructType(kinds)))
+
+
+def set_rows(counted: DataFrame) -> DataFrame:
+    """The rows of documents of ``counted_sets``."""
+    return counted.where("set is not null").select("key", "row", "set", "n", "sketch")
+
+
+def frequent_of(counted: DataFrame, n: int) -> np.ndarray:
+    """Sorted shingles of many of ``n`` documents: every shingle of 2 * least
+    documents is found, none of fewer than least. Only orders the parts."""
+    often = (counted.where("set is null").groupBy("h").agg(F.sum("c").alias("c"))
+             .where(F.col("c") >= _least(n)).select("h"))
+    rows = often.collect()          # at most the shingles of all sets / least: as many for any number of documents
+    return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
+
+
+def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
+    """``frequent_of`` the texts, counted over all of them."""
+    return frequent_of(counted_sets(docs, text, text), docs.count())
+
+
 def with_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, row (hash of key and text), set id, number of shingles and sketch
     per document."""
-    def run(text: pd.Series) -> pd.DataFrame:
-        rows = []
-        for _, raw in _sliced(pd.DataFrame({"text": text}), "text"):
-            rows += [(set_id(s), len(s), sketch(s)) for s in shingle_sets(raw)]
-        release()
-        return pd.DataFrame(rows, columns=["set", "n", "sketch"])
-
-    made = F.pandas_udf(run, "set long, n long, sketch binary")(F.col(text)).alias("s")
-    return docs.select(F.col(key).alias("key"), _row(key, text), made).select("key", "row", "s.*")
+    return set_rows(counted_sets(docs, key, text))
 
 
 def distinct_sets(sets: DataFrame) -> DataFrame:
@@ -289,37 +374,33 @@ def _row(key: str, text: str) -> F.Column:
     return F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("row")
 
 
-def candidate_groups(docs: DataFrame, text: str) -> DataFrame:
+def candidate_groups(docs: DataFrame, text: str, often: np.ndarray, shingles: int) -> DataFrame:
     """(grp, a, b): grp 0 are candidate pairs of set ids, others the members a
-    of signatures of three or more sets."""
+    of signatures of three or more sets. ``often``: the frequent shingles,
+    ``shingles``: of all sets together, about as many as signatures."""
     spark = docs.sparkSession
-    frequent = spark.sparkContext.broadcast(frequent_shingles(docs, text))
-    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
-    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (BYTES_PER_ENTRY * BUCKET_ENTRIES)))
+    frequent = spark.sparkContext.broadcast(often)
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shingles // BUCKET_ENTRIES))
 
     def emit(batches):
-        often = frequent.value
-        for pdf in batches:
-            for _, raw in _sliced(pdf, "text", 1 << 20):
-                sets = {}
-                for a in range(0, len(raw), 256):
-                    for s in shingle_sets(raw[a:a + 256]):
-                        if len(s):
-                            sets.setdefault(set_id(s), s)
+        for batch in batches:
+            for _, raw in _sliced({"text": batch.column("text").to_pylist()}, "text", 1 << 20):
+                sets = [s for a in range(0, len(raw), 256) for s in shingle_sets(raw[a:a + 256]) if len(s)]
                 if not sets:
                     continue
-                sigs = [signatures(s, often) for s in sets.values()]
-                owner = np.repeat(np.arange(len(sigs)), [len(x) for x in sigs])
-                rows = list(_pack(np.array(list(sets), np.int64), np.concatenate(sigs), owner, n_buckets))
+                ids, one = np.unique(set_ids(sets), return_index=True)
+                sigs, owner = all_signatures([sets[i] for i in one.tolist()], frequent.value)
+                rows = list(_pack(ids, sigs, owner, n_buckets))
                 for a in range(0, len(rows), 64):
-                    yield pd.DataFrame(rows[a:a + 64], columns=["bucket", "blob"])
+                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[a:a + 64]], pa.int32()),
+                                                      pa.array([r[1] for r in rows[a:a + 64]], pa.binary())], ["bucket", "blob"])
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         out = _meet(pdf["blob"])
         release()
         return out
 
-    packed = docs.select(F.col(text).alias("text")).mapInPandas(tidy(emit), "bucket int, blob binary")
+    packed = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(tidy(emit), "bucket int, blob binary")
     return packed.groupBy("bucket").applyInPandas(meet, "grp long, a long, b long")
 
 
@@ -499,10 +580,9 @@ def across(named: DataFrame, sets: DataFrame, few: int | None = None, wide_only:
         for i in np.unique(np.concatenate((x, y))).tolist():
             before = rows["grps"][i]
             held[i] = set(before[:np.searchsorted(before, grp)].tolist())
-        new = np.array([held[i].isdisjoint(held[j]) for i, j in zip(x.tolist(), y.tolist())], dtype=bool)
+        new = np.fromiter((held[i].isdisjoint(held[j]) for i, j in zip(x, y)), bool, len(x))
         x, y = x[new], y[new]
-        pair = np.unique(np.stack([np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])], axis=1), axis=0)
-        return pair[:, 0], pair[:, 1], np.zeros(len(pair))
+        return np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y]), np.zeros(len(x))
 
     def run(batches):
         ready, size = [], 0
@@ -538,9 +618,11 @@ def apart(pairs: DataFrame, root: DataFrame) -> DataFrame:
 def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """key, row, set, n and root (smallest set id reachable) of every document."""
     bound_batches(docs.sparkSession)
-    sets = cut_lineage(with_sets(docs, key, text))
+    counted = cut_lineage(counted_sets(docs, key, text))
+    sets = set_rows(counted)
     one = cut_lineage(distinct_sets(sets))
-    found = cut_lineage(candidate_groups(docs, text))
+    total = sets.agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).first()
+    found = cut_lineage(candidate_groups(docs, text, frequent_of(counted, total["rows"]), total["shingles"] or 0))
     pairs = cut_lineage(found.where("grp = 0").select("a", "b").distinct())
     nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
     links = verify(nearest, docs, one, key, text)
