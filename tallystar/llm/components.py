@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.llm.batches import tidy
-from tallystar.session import cut_lineage
+from tallystar.session import cut_lineage, few_files
 
 JOINED = 1 << 19            # links that a task joins at once
 
@@ -86,4 +86,5 @@ def components(links: DataFrame) -> DataFrame:
             .select("e.*").where("u != v").distinct())
         edges = cut_lineage(small)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return cut_lineage(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
+    both = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    return cut_lineage(few_files(both, 2 * edges.count()))

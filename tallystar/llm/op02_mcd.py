@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.batches import bound_batches, release
 from tallystar.llm.hashing import utf8
-from tallystar.session import cut_lineage
+from tallystar.session import cut_lineage, few_files
 from tallystar.sources.testdata import read_table
 
 MIN_WORDS = 50
@@ -194,7 +194,7 @@ def estimate(rows: DataFrame) -> DataFrame:
               .where((F.col("n") >= MIN_GROUP) | (F.col("grp") == "0")).select("grp"))
     fit = rows.select(F.explode(levels).alias("grp"), _salt().alias("salt"), *X)
     fit = cut_lineage(_met(fit, counts))
-    model = cut_lineage(_starts(fit))
+    model = cut_lineage(few_files(_starts(fit)))
     for _ in range(MAX_STEPS):
         # 128 bins per factor of two in squared distance, clipped to BINS.
         d = F.log2(F.greatest(_distance(), F.lit(1e-6)))
@@ -202,7 +202,7 @@ def estimate(rows: DataFrame) -> DataFrame:
         sums = (_met(fit, model).withColumn("bin", near).groupBy("grp", "start", "bin")
                 .agg(F.count("*").alias("n"), F.first("logdet").alias("before"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(X)],
                      *[F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i, j in PAIRS]))
-        nxt = cut_lineage(sums.groupBy("grp", "start").applyInPandas(lambda pdf: _concentrate(pdf), MODEL + ", before double"))
+        nxt = cut_lineage(few_files(sums.groupBy("grp", "start").applyInPandas(lambda pdf: _concentrate(pdf), MODEL + ", before double")))
         moved = nxt.agg(F.max(F.abs(F.col("before") - F.col("logdet"))).alias("d")).first()["d"]
         model = nxt.drop("before")
         if moved is None or moved < TOLERANCE:
@@ -210,12 +210,12 @@ def estimate(rows: DataFrame) -> DataFrame:
     # The least determinant (to the stopping tolerance; then the first start) is the estimate.
     rounded = F.round(F.col("logdet") / (10 * TOLERANCE))
     best = model.groupBy("grp").agg(F.min(F.struct(rounded.alias("least"), "start")).alias("best"))
-    model = cut_lineage(model.join(best.select("grp", "best.start"), ["grp", "start"]))
+    model = cut_lineage(few_files(model.join(best.select("grp", "best.start"), ["grp", "start"])))
     # Consistency: the subset's scatter is scaled up until the median distance of
     # all rows is the chi-square median (never down: the ridge is a floor).
     median = (_met(fit, model).groupBy("grp").agg(F.percentile_approx(_distance(), 0.5, 1000).alias("median")))
     scale = F.greatest(F.col("median") / F.lit(wilson_hilferty(P, 0.0)), F.lit(1.0))
-    return cut_lineage(model.join(median, "grp").withColumn("scale", scale))
+    return cut_lineage(few_files(model.join(median, "grp").withColumn("scale", scale)))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",

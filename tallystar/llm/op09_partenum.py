@@ -49,7 +49,7 @@ from tallystar.llm.batches import bound_batches, release, tidy
 from tallystar.llm.components import components
 from tallystar.llm.hashing import BASE, NOT_BLANK, byte_codes, chains, mix64, utf8, words
 from tallystar.llm.names import free_name
-from tallystar.session import cut_lineage
+from tallystar.session import cut_lineage, few_files
 from tallystar.sources.testdata import read_table
 
 SHINGLE = 5
@@ -59,6 +59,8 @@ SINGLES = 224               # largest set with single shingles as parts
 GROUP_FILL = 1.75           # shingles per group at the low end of a band (3.5 at the top)
 BUCKET_ENTRIES = 1_000_000
 SLAB = 1 << 21              # shingles counted at a time to find the frequent ones
+PAIRS_PER_TASK = 10_000     # pairs whose texts a task lays side by side
+SETS_PER_TASK = 50_000      # sets with sketches in one file
 SLAB_DOCUMENTS = 8_000      # documents a counting task has at least
 MAX_SKETCH_BITS = 1 << 16
 SMALL = 32                  # members of a signature paired by a join
@@ -432,11 +434,12 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: s
     """The pairs (a, b) of set ids whose full shingle sets are similar. ``sets``
     has a row per set (see ``distinct_sets``). Only texts that a remaining pair
     needs are gathered, one per set."""
-    left = cut_lineage(possible(pairs, sets))
+    left = cut_lineage(few_files(possible(pairs, sets), pairs.count(), PAIRS_PER_TASK))
+    n = left.count()
     needed = left.select(F.explode(F.array("a", "b")).alias("set")).distinct()
     chosen = sets.join(needed, "set", "left_semi").select("set", "row")
-    texts = cut_lineage(docs.select(_row(key, text), F.col(text).alias("text")).join(chosen, "row")
-                        .groupBy("set").agg(F.min("text").alias("text")))
+    texts = cut_lineage(few_files(docs.select(_row(key, text), F.col(text).alias("text")).join(chosen, "row")
+                                  .groupBy("set").agg(F.min("text").alias("text")), 2 * n, PAIRS_PER_TASK))
     side = lambda c: texts.select(F.col("set").alias(c), F.col("text").alias(f"t_{c}"))
 
     def run(t_a: pd.Series, t_b: pd.Series) -> pd.Series:
@@ -450,7 +453,7 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, key: str, text: s
         return pd.Series(out, dtype=bool)
 
     both = left.join(side("a"), "a").join(side("b"), "b")
-    return cut_lineage(both.where(F.pandas_udf(run, "boolean")("t_a", "t_b")).select("a", "b"))
+    return cut_lineage(few_files(both.where(F.pandas_udf(run, "boolean")("t_a", "t_b")).select("a", "b"), n, PAIRS_PER_TASK))
 
 
 def _compare(n, roots, sketches, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -548,7 +551,7 @@ def across(named: DataFrame, sets: DataFrame, few: int | None = None, wide_only:
     a call has paired, are left out if ``wide_only``. ``sets`` has a row per set."""
     split = named.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")) \
         .where("lo != hi").where(F.col("m") > (SMALL if wide_only else 0)).select("grp", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    open_ = cut_lineage(named.join(split, "grp"))
+    open_ = cut_lineage(few_files(named.join(split, "grp"), named.count()))
     sized = open_.where(F.col("m") <= SMALL).join(sets.select("set", "n"), "set")
     left = sized.select("grp", F.col("set").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
     right = sized.select("grp", F.col("set").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
@@ -620,26 +623,27 @@ def _placed(docs: DataFrame, key: str, text: str) -> DataFrame:
     bound_batches(docs.sparkSession)
     counted = cut_lineage(counted_sets(docs, key, text))
     sets = set_rows(counted)
-    one = cut_lineage(distinct_sets(sets))
     total = sets.agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).first()
+    one = cut_lineage(few_files(distinct_sets(sets), total["rows"], SETS_PER_TASK))
     found = cut_lineage(candidate_groups(docs, text, frequent_of(counted, total["rows"]), total["shingles"] or 0))
-    pairs = cut_lineage(found.where("grp = 0").select("a", "b").distinct())
+    n = found.count()
+    pairs = cut_lineage(few_files(found.where("grp = 0").select("a", "b").distinct(), n))
     nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
     links = verify(nearest, docs, one, key, text)
     root = components(links)
-    rest = cut_lineage(apart(pairs.join(nearest, ["a", "b"], "left_anti"), root))
+    rest = cut_lineage(few_files(apart(pairs.join(nearest, ["a", "b"], "left_anti"), root), n))
     if rest.first() is not None:
         links = links.unionByName(verify(rest, docs, one, key, text))
         root = components(links)
     # Signatures that still hold several components: compare across them, the
     # nearest members first.
-    members = cut_lineage(found.where("grp != 0").select("grp", F.col("a").alias("set")).distinct())
+    members = cut_lineage(few_files(found.where("grp != 0").select("grp", F.col("a").alias("set")).distinct(), n))
     for few, wide_only in ((CLOSEST, False), (None, True)):
         if wide_only:
             wide = named.groupBy("grp").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"))
             members = named.join(wide.where(F.col("m") > SMALL).where("lo != hi"), "grp", "left_semi").select("grp", "set")
-        named = cut_lineage(members.join(root.withColumnRenamed("node", "set"), "set", "left")
-                            .withColumn("root", F.coalesce("root", "set")))
+        named = cut_lineage(few_files(members.join(root.withColumnRenamed("node", "set"), "set", "left")
+                                      .withColumn("root", F.coalesce("root", "set")), n))
         more = cut_lineage(across(named, one, few, wide_only).join(pairs, ["a", "b"], "left_anti"))
         if more.first() is not None:
             linked = verify(more, docs, one, key, text)
